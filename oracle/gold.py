@@ -363,7 +363,7 @@ ON d.k = s.k""")
 oracle("a24_block_rate", BLOCK_RATE)
 oracle("r4_block_rate_tile", f"{BLOCK_RATE} ORDER BY hour DESC LIMIT 1")
 BAND = f"""
-WITH days AS (SELECT DATE '{{day}}' - 7 * w AS d FROM range(0, 5) g(w)),
+WITH days AS (SELECT DATE '{{day}}' - (7 * w)::INT AS d FROM range(0, 5) g(w)),
 m AS (SELECT dt, ms // 60000 % 1440 AS mod_, sum(amount_vnd)::BIGINT AS gmv FROM clean WHERE {GMV} GROUP BY ALL),
 f AS (SELECT d, k AS minute_of_day, coalesce(gmv, 0) AS gmv FROM days CROSS JOIN range(0, 1440) r(k) LEFT JOIN m ON m.dt = d AND m.mod_ = k)
 SELECT minute_of_day, sum(gmv) FILTER (d = DATE '{{day}}')::BIGINT AS gmv,
@@ -448,7 +448,9 @@ SELECT * FROM (SELECT 'account_tier' AS column_name, count(*) - count(account_ti
   UNION ALL SELECT 'amount_vnd', count(*) - count(amount_vnd) FROM enriched) WHERE nulls > 0""")
 oracle("qb_accepted_values", """
 SELECT 'status' AS column_name, status AS value, count(*) AS rows FROM enriched WHERE status NOT IN ('SUCCESS', 'PENDING') GROUP BY status""")
-oracle("qb_lifecycle_states", "SELECT 'state' AS column_name, state AS value, count(*) AS rows FROM life_states WHERE state = '?' GROUP BY state")
+oracle("qb_lifecycle_states", """
+SELECT 'state' AS column_name, state AS value, count(*) AS rows FROM life_states 
+WHERE state NOT IN ('HIGH_RISK_SUSPENDED', 'NEW', 'CHURNED', 'DORMANT', 'AT_RISK', 'HIGHLY_ACTIVE', 'ACTIVE') GROUP BY state""")
 oracle("qc_relationships", """
 SELECT merchant_id, count(*) AS rows FROM merchant_fact WHERE merchant_id NOT IN (SELECT merchant_id FROM merchant_industry) GROUP BY 1""")
 oracle("qd_merchant_invariants", """

@@ -16,7 +16,7 @@ from tillwatch.operators import arrival, enrich, latest, points, retries, slices
 from tillwatch.operators import card_testing as card
 from tillwatch.operators.rules import active_rules, decide
 from tillwatch.plans import fraud, lifecycle, loyalty, merchant, quality, screens
-from tillwatch.plans.silver import clean, merge_late
+from tillwatch.plans.silver import clean, merge_late, protect
 from tillwatch.sources import changelog, files, seeds
 from tillwatch.testbed import LIFECYCLE_AS_OF, SALT
 
@@ -137,19 +137,23 @@ def _(c: Context):
 
 @query("p3_enrich_projection")
 def _(c: Context):
-    return c.wh.enriched.select(
+    return _enriched_once(c).select(
         "transaction_id", "account_tier", "kyc_status", "risk_score_baseline", "profile_missing")
 
 
 @query("p4_serialise")
 def _(c: Context):
-    return c.wh.enriched.select("transaction_id", F.to_json(F.struct(
+    return _enriched_once(c).select("transaction_id", F.to_json(F.struct(
         "transaction_id", "account_tier", "kyc_status", "risk_score_baseline", "profile_missing")).alias("value"))
 
 
+def _enriched_once(c: Context) -> DataFrame:
+    return enrich.enrich(c.wh.clean, c.wh.profiles)
+
+
 def _rule_hits(c: Context, rules: DataFrame):
     return (
-        decide(c.wh.enriched, rules).where("rule_id IS NOT NULL")
+        decide(_enriched_once(c), rules).where("rule_id IS NOT NULL")
         .groupBy("rule_id", "rule_type", "decision").agg(F.count("*").alias("txns")))
 
 
@@ -201,13 +205,13 @@ def _(c: Context):
 @query("p12_kyc_abuse")
 def _(c: Context):
     return (
-        decide(c.wh.enriched, c.wh.rules.where("rule_id = 'R-001'")).where("decision = 'BLOCK'")
+        decide(_enriched_once(c), c.wh.rules.where("rule_id = 'R-001'")).where("decision = 'BLOCK'")
         .select("transaction_id", "user_id", "amount_vnd", "rule_id"))
 
 
 @query("p13_vip")
 def _(c: Context):
-    return c.wh.enriched.where("account_tier = 'VIP'").groupBy("user_id").agg(
+    return _enriched_once(c).where("account_tier = 'VIP'").groupBy("user_id").agg(
         F.count("*").alias("txns"), F.sum("amount_vnd").alias("amount_vnd"))
 
 
@@ -221,13 +225,13 @@ def _(c: Context):
 
 @query("j1_enrich")
 def _(c: Context):
-    return c.wh.enriched.select(
+    return _enriched_once(c).select(
         "transaction_id", "user_id", "event_ts", "amount_vnd", *enrich.PROFILE_COLUMNS, "profile_missing")
 
 
 @query("j2_enrich_as_of")
 def _(c: Context):
-    return enrich.enrich_as_of(c.wh.clean, c.tb.profile_changes).select(
+    return enrich.enrich_as_of(c.wh.facts, c.tb.profile_changes).select(
         "transaction_id", "user_id", "event_ts", "amount_vnd", *enrich.PROFILE_COLUMNS, "profile_missing")
 
 
@@ -283,7 +287,7 @@ def _(c: Context):
 
 @query("j10_refund_links")
 def _(c: Context):
-    return merchant.refund_links(c.wh.clean)
+    return merchant.refund_links(c.wh.facts)
 
 
 @query("j11_relationships")
@@ -293,21 +297,17 @@ def _(c: Context):
 
 @query("j12_layer_reconciliation")
 def _(c: Context):
-    return screens.layer_reconciliation(c.wh.fct_merchant_profitability, c.wh.silver)
-
-
-def _found(c: Context) -> DataFrame:
-    return c.wh.alerts
+    return screens.layer_reconciliation(c.wh.merchant_margin(c.wh.facts), c.wh.facts)
 
 
 @query("j13_detector_recall")
 def _(c: Context):
-    return fraud.recall_by_scenario(c.tb.injected, _found(c))
+    return fraud.recall_by_scenario(c.tb.injected, c.wh.alerts)
 
 
 @query("j14_lineage")
 def _(c: Context):
-    return fraud.lineage(c.tb.payments, c.wh.alerts, c.wh.silver, c.wh.outcomes)
+    return fraud.lineage(c.tb.payments, c.wh.alerts, protect(c.wh.facts, SALT), c.wh.outcomes)
 
 
 # ---- aggregations ------------------------------------------------------------------------------
@@ -471,12 +471,12 @@ def _(c: Context):
 
 @query("a28_kpi_row")
 def _(c: Context):
-    return screens.kpi_row(c.wh.clean, c.wh.fct_merchant_profitability, c.wh.fct_fraud_performance)
+    return screens.kpi_row(c.wh.facts, c.wh.merchant_margin(c.wh.facts), c.wh.fct_fraud_performance)
 
 
 @query("a29_index_100")
 def _(c: Context):
-    return screens.shift_series(c.wh.clean, c.wh.alerts)
+    return screens.shift_series(c.wh.facts, c.wh.alerts)
 
 
 # ---- windows -----------------------------------------------------------------------------------
@@ -511,7 +511,7 @@ def _(c: Context):
 
 @query("w5_card_testing_evidence")
 def _(c: Context):
-    return card.card_testing_evidence(c.wh.clean)
+    return card.card_testing_evidence(c.wh.facts)
 
 
 @query("w6_lifecycle_history")
@@ -599,7 +599,7 @@ def _(c: Context):
 
 @query("x7_rules_not_ready")
 def _(c: Context):
-    return decide(c.wh.enriched, c.wh.rules.where("false")).groupBy("decision", "rules_not_ready").agg(
+    return decide(_enriched_once(c), c.wh.rules.where("false")).groupBy("decision", "rules_not_ready").agg(
         F.count("*").alias("txns"))
 
 
@@ -639,12 +639,12 @@ def _(c: Context):
 
 @query("qa_not_null")
 def _(c: Context):
-    return quality.is_null(c.wh.enriched, ["transaction_id", "user_id", "amount_vnd", "account_tier"])
+    return quality.is_null(_enriched_once(c), ["transaction_id", "user_id", "amount_vnd", "account_tier"])
 
 
 @query("qb_accepted_values")
 def _(c: Context):
-    return quality.not_accepted(c.wh.enriched, {
+    return quality.not_accepted(_enriched_once(c), {
         "status": ("SUCCESS", "PENDING"), "channel": schemas.CHANNELS, "account_tier": schemas.TIERS})
 
 
@@ -673,14 +673,15 @@ def _(c: Context):
 
 @query("qf_gmv_mismatch")
 def _(c: Context):
-    return quality.gmv_mismatch(c.wh.fct_merchant_profitability, c.wh.silver)
+    return quality.gmv_mismatch(c.wh.merchant_margin(c.wh.facts), c.wh.facts)
 
 
 def _stream_points(c: Context) -> DataFrame:
     """Points as the stream would emit them: only rows that were on time when they arrived."""
     on_time = _watermarked(c).where("NOT late").select(*c.tb.payments.columns)
     wh = c.wh
-    decided = decide(enrich.enrich(clean(on_time, c.seeds.fx_rate), wh.profiles), wh.rules)
+    rows = c.stage(clean(on_time, c.seeds.fx_rate), "on_time")
+    decided = decide(enrich.enrich(rows, wh.profiles), wh.rules)
     return points.loyalty_points(decided.withColumn("experiment_group", loyalty.group_of_user()))
 
 
@@ -790,7 +791,7 @@ def _(c: Context):
 
 @query("m4_layers_meet")
 def _(c: Context):
-    return screens.layer_reconciliation(c.wh.fct_merchant_profitability, c.wh.silver).agg(
+    return screens.layer_reconciliation(c.wh.merchant_margin(c.wh.facts), c.wh.facts).agg(
         F.sum("gold_gmv").alias("gold_gmv"), F.sum("silver_gmv").alias("silver_gmv"),
         F.count_if(F.col("difference") != 0).alias("days_off"))
 
@@ -805,7 +806,7 @@ def _(c: Context):
 
 @query("r2_geo_alerts")
 def _(c: Context):
-    where = c.wh.clean.select("transaction_id", "location", "amount_vnd")
+    where = c.wh.facts.select("transaction_id", "location", "amount_vnd")
     return screens.geo_heatmap(where.join(
         c.wh.alerts.select("transaction_id").distinct(), "transaction_id", "left_semi"), 0.1)
 
@@ -836,7 +837,7 @@ def _(c: Context):
 @query("e1_kpi_row")
 def _(c: Context):
     return (
-        screens.kpi_row(c.wh.clean, c.wh.fct_merchant_profitability, c.wh.fct_fraud_performance)
+        screens.kpi_row(c.wh.facts, c.wh.merchant_margin(c.wh.facts), c.wh.fct_fraud_performance)
         .orderBy(F.desc("date_day")).limit(1))
 
 

@@ -27,7 +27,13 @@ class Context:
     def wh(self) -> Warehouse:
         tb = self.tb
         return Warehouse(tb.payments, tb.profile_changes, tb.rules, tb.labels, tb.redemptions,
-                         self.seeds, SALT)
+                         self.seeds, SALT, self.stage)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write once to the shared folder and read back."""
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def scratch(self, name: str) -> str:
         return scratch(self.spark, name)

@@ -1,11 +1,13 @@
-"""The lake as a graph of lazy DataFrames, from Bronze to the Gold marts.
+"""The lake as a graph of DataFrames, from Bronze to the Gold marts.
 
-Facts are partitioned by transaction once, by the dedup; every later join on the transaction reuses
-that partitioning, and detectors shuffle only the few columns they need.
+Bronze is deduplicated and converted once. Whatever reads the result more than once (decisions,
+detectors, points, outcomes) starts from ``facts``, the same rows written as a table to the shared
+folder, and scans only its own columns; a plan that needs the rows once uses ``clean`` directly.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -27,6 +29,7 @@ class Warehouse:
     def __init__(
         self, payments: DataFrame, profile_changes: DataFrame, rules: DataFrame, labels: DataFrame,
         redemptions: DataFrame, seeds: Seeds, salt: str,
+        stage: Callable[[DataFrame, str], DataFrame],
     ):
         self.payments = payments
         self.profile_changes = profile_changes
@@ -35,11 +38,17 @@ class Warehouse:
         self.redemptions = redemptions
         self.seeds = seeds
         self.salt = salt
+        self.stage = stage
 
     @cached_property
     def clean(self) -> DataFrame:
         return clean(self.payments, self.seeds.fx_rate)
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """The clean rows as a written table: it outlives lost executors and is scanned by column."""
+        return self.stage(self.clean, "facts")
+
     @cached_property
     def silver(self) -> DataFrame:
         return protect(self.clean, self.salt)
@@ -54,7 +63,7 @@ class Warehouse:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich(self.clean, self.profiles)
+        return enrich(self.facts, self.profiles)
 
     @cached_property
     def decided(self) -> DataFrame:
@@ -62,11 +71,11 @@ class Warehouse:
 
     @cached_property
     def card_testing(self) -> DataFrame:
-        return card_testing(self.clean)
+        return card_testing(self.facts)
 
     @cached_property
     def travel(self) -> DataFrame:
-        return impossible_travel(self.clean)
+        return impossible_travel(self.facts)
 
     @cached_property
     def alerts(self) -> DataFrame:
@@ -103,7 +112,10 @@ class Warehouse:
 
     @cached_property
     def fct_merchant_profitability(self) -> DataFrame:
-        return merchant.fct_merchant_profitability(self.clean, self.labels, self.seeds)
+        return self.merchant_margin(self.clean)
+
+    def merchant_margin(self, rows: DataFrame) -> DataFrame:
+        return merchant.fct_merchant_profitability(rows, self.labels, self.seeds)
 
     def lifecycle(self, activity: DataFrame, suspended: DataFrame, as_of: list[str]) -> DataFrame:
         return lifecycle.states(activity, suspended, as_of)

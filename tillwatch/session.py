@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,11 @@ def local_session(cpus: int | str = "*", app: str = "tillwatch") -> SparkSession
     return tune(spark)
 
 
+@lru_cache(maxsize=1)
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="tillwatch-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder of the cluster.
 
@@ -56,5 +62,5 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tillwatch-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -129,7 +129,7 @@ RULES = [
     ("R-070", "AMOUNT_THRESHOLD", None, {"max_amount_vnd": "100000"},
      "BLOCK", 900, True, "2024-02-15T00:00:00Z", 1, "2024-01-20T00:00:00Z"),
     ("R-080", "AMOUNT_THRESHOLD", {"account_tier": "VIP"}, {"max_amount_vnd": "0"},
-     "ALLOW", 300, True, "2024-01-01T00:00:00Z", 1, "2024-01-01T00:00:00Z"),
+     "ALLOW", 300, True, "2024-01-20T00:00:00Z", 1, "2024-01-19T00:00:00Z"),
 ]
 
 LIFECYCLE_AS_OF = "2024-07-01"
