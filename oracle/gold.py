@@ -466,3 +466,15 @@ WHERE last_ingested < epoch_ms(TIMESTAMP '2024-01-31 12:00:00') - 900000""")
 oracle("q_holdout_contamination", """
 SELECT c.user_id, count(*) AS rows FROM clean c JOIN holdout h ON c.user_id = h.user_id
 WHERE c.experiment_group <> h.grp GROUP BY 1""")
+
+MEET = """
+SELECT dt::VARCHAR AS dt, coalesce(a, 0)::BIGINT AS points_stream, coalesce(b, 0)::BIGINT AS points_batch,
+  (coalesce(a, 0) - coalesce(b, 0))::BIGINT AS difference,
+  round(abs(coalesce(a, 0) - coalesce(b, 0)) / nullif(coalesce(b, 0), 0), 6) AS relative,
+  coalesce(abs(coalesce(a, 0) - coalesce(b, 0)) / nullif(coalesce(b, 0), 0) < 0.005, coalesce(a, 0) = coalesce(b, 0)) AS ok
+FROM (SELECT dt, sum(points) AS a FROM ontime_points_of GROUP BY dt) FULL JOIN
+     (SELECT dt, sum(points) AS b FROM points_of GROUP BY dt) USING (dt)"""
+oracle("qg_points_reconciliation", MEET)
+oracle("m3_points_meet", f"""
+SELECT sum(points_stream)::BIGINT AS points_stream, sum(points_batch)::BIGINT AS points_batch,
+  round(abs(sum(points_stream) - sum(points_batch)) / sum(points_batch), 6) AS relative FROM ({MEET})""")

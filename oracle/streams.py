@@ -47,6 +47,10 @@ oracle("p2_profile_projection", f"SELECT {PUBLIC}, changed_ms AS updated_at FROM
 oracle("p3_enrich_projection", """
 SELECT transaction_id, account_tier, kyc_status, round(risk_score_baseline, 6) AS risk_score_baseline,
   profile_missing FROM enriched""")
+oracle("p4_serialise", """
+SELECT transaction_id, concat('{"transaction_id":"', transaction_id, '"', ',"account_tier":"' || account_tier || '"',
+  ',"kyc_status":"' || kyc_status || '"', ',"risk_score_baseline":' || risk_score_baseline::VARCHAR,
+  ',"profile_missing":', profile_missing::VARCHAR, '}') AS value FROM enriched""")
 WINNER = """
 SELECT rule_id, rule_type, action AS decision, count(*) AS txns FROM (
   SELECT * FROM rule_matches WHERE {cond}
@@ -169,3 +173,50 @@ FROM points_of WHERE eligible""")
 oracle("x12_sliding_sums", """
 SELECT user_id, (ms // 60000 - k) * 60000 AS window_start, sum(amount_vnd)::BIGINT AS total
 FROM points_of, range(0, 15) g(k) WHERE eligible GROUP BY ALL""")
+
+# ---- streams -----------------------------------------------------------------------------------
+
+oracle("s1_read_payment_events", """
+SELECT src_partition AS partition, count(*) AS records, count(DISTINCT user_id) AS keys FROM payments GROUP BY 1""")
+oracle("s2_read_user_profiles", "SELECT op, count(*) AS records FROM profile_changes GROUP BY op")
+oracle("s4_land_bronze", f"""
+SELECT CASE WHEN {BROKEN} THEN 'quarantine' ELSE 'event' END AS kind,
+  (CASE WHEN {BROKEN} THEN make_timestamp(ingested_ms * 1000)::DATE ELSE dt END)::VARCHAR AS dt, count(*) AS rows
+FROM payments GROUP BY ALL""")
+oracle("s7_topic_sinks", """
+SELECT 'blocked_transactions' AS route, count(*) AS records FROM ok_decided WHERE decision = 'BLOCK'
+UNION ALL SELECT 'fraud_alerts', count(*) FROM ok_alerts
+UNION ALL SELECT 'loyalty_points', count(*) FROM ok_points_of WHERE eligible
+UNION ALL SELECT 'stream_metrics', 1""")
+oracle("s8_serving_sink", """
+SELECT ms // 60000 * 60000 AS minute, coalesce(sum(amount_vnd) FILTER (status = 'SUCCESS' AND txn_type = 'PAYMENT'), 0)::BIGINT AS gmv,
+  count(*) AS txns, count(*) FILTER (status = 'SUCCESS') AS succeeded FROM ok_clean GROUP BY 1""")
+oracle("s16_keyed_producer", """
+SELECT user_id AS key, count(*) AS records, 1::BIGINT AS partitions FROM payments GROUP BY 1""")
+oracle("x3_late_side_output", """
+WITH runs AS (SELECT *, CASE WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-21') THEN 2
+    WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-11') OR src_partition = 5 THEN 1 ELSE 0 END AS run FROM ok_payments),
+first_seen AS (SELECT transaction_id, any_value(ms) AS ms, min(run) AS run FROM runs GROUP BY 1),
+tops AS (SELECT run, max(max(ms)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM runs GROUP BY run)
+SELECT transaction_id, ms AS event_ts FROM first_seen JOIN tops USING (run) WHERE ms < top - 10000""")
+oracle("x6_rules_arrive_later", """
+WITH runs AS (SELECT transaction_id, min(ingested_ms) < epoch_ms(TIMESTAMP '2024-01-21') AS early FROM ok_payments GROUP BY 1)
+SELECT early AS rules_not_ready, CASE WHEN early THEN 'PASS' ELSE decision END AS decision, count(*) AS txns
+FROM ok_decided JOIN runs USING (transaction_id) GROUP BY ALL""")
+oracle("x8_stream_decisions", "SELECT transaction_id, decision, rule_id, rule_type FROM ok_decided")
+oracle("x9_card_testing_stream", """
+SELECT device_id, alert_txn AS transaction_id, b_ms AS event_ms, large_amount_vnd, chain_len,
+  min(ms) OVER (PARTITION BY alert_txn) AS chain_start_ms, transaction_id AS evidence_id FROM chains WHERE chain_len >= 5""")
+oracle("x10_travel_stream", """
+SELECT user_id, transaction_id, ms AS event_ms, prev_transaction_id, round(km, 3) AS km, gap_ms FROM travel""")
+oracle("x11_stream_points", """
+SELECT transaction_id, total_15m, multiplier::BIGINT AS multiplier, points::BIGINT AS points FROM ok_points_of WHERE eligible""")
+oracle("x12_sliding_stream", """
+SELECT user_id, (ms // 60000 - k) * 60000 AS window_start, sum(amount_vnd)::BIGINT AS total
+FROM points_of, range(0, 15) g(k) WHERE eligible AND (ms // 60000 - k) * 60000 + 900000
+  <= (SELECT max(ms) FROM points_of WHERE eligible) - 10000 GROUP BY ALL""")
+oracle("x14_resume", "SELECT dt::VARCHAR AS dt, count(*) AS txns, count(*) AS distinct_txns FROM ok_clean GROUP BY dt")
+oracle("x15_live_metrics", """
+SELECT count(*) AS events, round(quantile_cont(ingested_ms - ms, 0.5), 6) AS lag_p50_ms,
+  round(quantile_cont(ingested_ms - ms, 0.95), 6) AS lag_p95_ms, round(quantile_cont(ingested_ms - ms, 0.99), 6) AS lag_p99_ms,
+  0::DOUBLE AS late_rate, 0::BIGINT AS rules_not_ready FROM ok_clean""")

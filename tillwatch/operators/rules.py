@@ -31,18 +31,26 @@ def _velocity(window_sec: int) -> str:
     return f"_txns_{window_sec}s"
 
 
-def with_velocity(payments: DataFrame, thresholds: dict[int, int]) -> DataFrame:
+def with_velocity(
+    payments: DataFrame, thresholds: dict[int, int], recent: DataFrame | None = None,
+) -> DataFrame:
     """Add the trailing transaction count of the user, per window, where it can matter.
 
+    ``recent`` rows count as well but get no result (the look-back of a micro-batch).
+
     ``thresholds`` maps a window in seconds to the smallest count that any rule tests. Only three
     narrow columns are shuffled by user, and only the rows above the threshold come back, so the
     wide rows keep the partitioning by transaction they already have.
     """
+    narrow = ["transaction_id", "user_id", "event_ts"]
+    counted = payments.select(*narrow)
+    if recent is not None:
+        counted = counted.unionByName(recent.select(*narrow))
     for sec, threshold in sorted(thresholds.items()):
         name = _velocity(sec)
         hits = (
-            trailing_sums(payments.select("transaction_id", "user_id", "event_ts"), ["user_id"],
-                          F.unix_millis("event_ts"), sec * SECOND, {name: F.lit(1).cast("bigint")})
+            trailing_sums(counted, ["user_id"], F.unix_millis("event_ts"), sec * SECOND,
+                          {name: F.lit(1).cast("bigint")})
             .where(F.col(name) > threshold).select("transaction_id", name))
         payments = payments.join(hits, "transaction_id", "left")
     return payments
@@ -137,12 +145,15 @@ def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFr
         .select(*payments.columns, "_v.rule_id", "_v.rule_type", F.col("_v.action").alias("decision")))
 
 
-def decide(enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_LIMIT) -> DataFrame:
+def decide(
+    enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_LIMIT,
+    recent: DataFrame | None = None,
+) -> DataFrame:
     """Add ``decision``, ``rule_id``, ``rule_type`` and ``rules_not_ready``.
 
     ``enriched`` needs unique transactions with ``amount_vnd`` and profile columns; ``rules`` are
-    active rules. Blocked rows are flagged, not removed. Without any rule every row passes and
-    carries ``rules_not_ready``.
+    active rules; ``recent`` are earlier rows that velocity rules must see. Blocked rows are flagged,
+    not removed. Without any rule every row passes and carries ``rules_not_ready``.
     """
     rows = rules.limit(compile_limit + 1).collect()
     columns = enriched.columns
@@ -156,10 +167,10 @@ def decide(enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_L
             if r["rule_type"] == "VELOCITY":
                 sec, count = int(r["params"]["window_sec"]), int(r["params"]["max_count"])
                 thresholds[sec] = min(count, thresholds.get(sec, count))
-        out = _compiled(with_velocity(enriched, thresholds), rows)
+        out = _compiled(with_velocity(enriched, thresholds, recent), rows)
     else:
         thresholds = _velocity_thresholds(rules)
-        out = _joined(with_velocity(enriched, thresholds), rules, sorted(thresholds))
+        out = _joined(with_velocity(enriched, thresholds, recent), rules, sorted(thresholds))
     return out.select(
         *columns, "rule_id", "rule_type", F.coalesce("decision", F.lit("PASS")).alias("decision"),
         F.lit(not rows).alias("rules_not_ready"))
