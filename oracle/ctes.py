@@ -53,10 +53,10 @@ cte("ev", "SELECT event_id AS id, epoch_us(ts) // 1000 AS ms0, user_id AS u, eve
 cte("expanded", f"""
 SELECT *, {_cols({**tb.PASS_1, 'uid': f"cast({tb.PASS_1['uid']} AS bigint)"})}
 FROM ev, (VALUES {', '.join(f"('{f}', {k}::BIGINT)" for f, k in tb.SLOTS)}) s(fam, k)
-WHERE {tb.SLOT_CONDITION}""")
+WHERE CASE fam {' '.join(f"WHEN '{f}' THEN {cond}" for f, (_, cond) in tb.FAMILIES.items())} END""")
 cte("copied", f"""
 SELECT *, {_cols(tb.PASS_2)}
-FROM (SELECT * FROM expanded, (VALUES (0::BIGINT), (1::BIGINT)) c(copy) WHERE {tb.COPY_CONDITION})""")
+FROM (SELECT * FROM expanded, (VALUES (0::BIGINT), (1::BIGINT)) c(copy) WHERE copy = 0 OR {tb.COPIED})""")
 cte("holdout", f"""
 SELECT user_id, CASE WHEN ({CRC32}) % 10 = 0 THEN 'CONTROL' ELSE 'TREATMENT' END AS grp
 FROM (SELECT DISTINCT user_id FROM copied)""")
@@ -90,7 +90,10 @@ cte("live_rules", """
 SELECT * FROM rules
 QUALIFY row_number() OVER (PARTITION BY rule_id ORDER BY version DESC, updated_at DESC) = 1 AND enabled""")
 cte("rule_changes", f"SELECT {_cols(tb.RULE_CHANGE)} FROM ev WHERE {tb.RULE_CHANGE_CONDITION}")
-cte("labels_t", f"SELECT transaction_id, {_cols(tb.LABEL)} FROM expanded WHERE {tb.LABEL_PRESENT}")
+cte("labels_t", f"""
+SELECT transaction_id, {_cols(tb.LABEL)} FROM expanded, (VALUES (0), (1)) o(old)
+WHERE ({tb.LABEL_PRESENT}) AND (old = 0 OR {tb.REVISED})
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY resolved_ms DESC) = 1""")
 cte("redemptions", f"""
 SELECT concat('D', id) AS redemption_id, {tb.PROFILE['user_id']} AS user_id,
   id % 40 + 1 AS points_spent, ms0 AS ms FROM ev WHERE {tb.REDEMPTION_CONDITION}""")

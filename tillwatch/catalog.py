@@ -109,14 +109,14 @@ def _(c: Context):
 @query("s15_fraud_labels")
 def _(c: Context):
     return (
-        c.wh.clean.select("transaction_id", "event_ts").join(c.tb.labels, "transaction_id")
+        c.wh.clean.select("transaction_id", "event_ts").join(c.wh.labels, "transaction_id")
         .groupBy("label_source", F.datediff("resolved_at", "event_ts").alias("delay_days"))
         .agg(F.count("*").alias("labels"), F.count_if("is_fraud_confirmed").alias("confirmed")))
 
 
 @query("s15_redemptions")
 def _(c: Context):
-    return c.tb.redemptions.groupBy("user_id").agg(
+    return c.wh.redemptions.groupBy("user_id").agg(
         F.count("*").alias("redemptions"), F.sum("points_spent").alias("points_spent"))
 
 
@@ -259,7 +259,7 @@ def _(c: Context):
 
 def _scenario_fact(c: Context) -> DataFrame:
     return merchant.fct_merchant_profitability(
-        c.wh.clean, c.tb.labels, c.seeds.with_costs(seeds.costs(c.spark, seeds.WHAT_IF)))
+        c.wh.clean, c.wh.labels, c.seeds.with_costs(seeds.costs(c.spark, seeds.WHAT_IF)))
 
 
 @query("j6_scenarios")
@@ -277,7 +277,7 @@ def _(c: Context):
 
 @query("j8_missed_fraud")
 def _(c: Context):
-    return fraud.missed_fraud(c.wh.outcomes, c.wh.alerts, c.tb.labels)
+    return fraud.missed_fraud(c.wh.outcomes, c.wh.alerts, c.wh.labels)
 
 
 @query("j9_fp_proxy")
@@ -389,7 +389,7 @@ def _(c: Context):
 @query("a14_chargeback_penalty")
 def _(c: Context):
     return (
-        merchant.channel_days(c.wh.clean, c.tb.labels)
+        merchant.channel_days(c.wh.clean, c.wh.labels)
         .groupBy("merchant_id").agg(F.sum("chargeback_count").alias("chargebacks"),
                                     F.sum("chargeback_amount").alias("chargeback_amount"))
         .where("chargebacks > 0"))
@@ -521,7 +521,7 @@ def _(c: Context):
 
 @query("w7_points_overspent")
 def _(c: Context):
-    return quality.overspent(c.wh.points, c.tb.redemptions)
+    return quality.overspent(c.wh.points, c.wh.redemptions)
 
 
 @query("w8_rule_before_after")
@@ -721,7 +721,7 @@ def _(c: Context):
 @query("q4_missed_fraud")
 def _(c: Context):
     return screens.missed_by_segment(
-        c.wh.outcomes, c.wh.alerts, c.tb.labels, c.seeds.merchant_industry)
+        c.wh.outcomes, c.wh.alerts, c.wh.labels, c.seeds.merchant_industry)
 
 
 @query("q5_loss_making")

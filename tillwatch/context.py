@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.plans.warehouse import Warehouse
-from tillwatch.session import scratch
+from tillwatch.session import scratch, size_shuffles
 from tillwatch.sources.seeds import Seeds, default_seeds
 from tillwatch.testbed import SALT, Testbed
 
@@ -18,6 +18,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.tb = Testbed(spark, sf_dir)
+        size_shuffles(spark, self.tb.events)
 
     @cached_property
     def seeds(self) -> Seeds:

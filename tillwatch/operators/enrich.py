@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillwatch.operators.slices import DAY, slice_of
+from tillwatch.operators.slices import HOUR, slice_of
 
 PROFILE_COLUMNS = ["account_tier", "kyc_status", "risk_score_baseline", "home_country"]
 
@@ -23,7 +23,7 @@ def enrich(payments: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
-def enrich_as_of(payments: DataFrame, changes: DataFrame, slice_ms: int = DAY) -> DataFrame:
+def enrich_as_of(payments: DataFrame, changes: DataFrame, slice_ms: int = HOUR) -> DataFrame:
     """Enrich with the profile that was valid at event time, for repeatable replays.
 
     Changes and payments are merged per (user, slice) and the newest change is filled forward. The

@@ -6,27 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillwatch.operators.slices import DAY
+from tillwatch.operators.slices import DAY, HOUR, slice_of
 
 
-def gaps(activity: DataFrame) -> DataFrame:
+def gaps(activity: DataFrame, slice_ms: int = HOUR) -> DataFrame:
     """Time between neighbouring transactions of a user, with the day of the later one.
 
-    Inside a day the gap is a ``lag``; between days it is the first row of a day minus the last row
-    of the user's previous active day. No window holds more than one day of a user, or one row per
-    active day.
+    Inside a time slice the gap is a ``lag``; between slices it is the first row of a slice minus
+    the last row of the user's previous slice with rows. No window holds more than one slice of a
+    user, or one row per slice.
     """
-    rows = activity.select(
-        "user_id", "transaction_id", "event_ts", F.unix_millis("event_ts").alias("ms"),
-        F.to_date("event_ts").alias("dt"))
-    inside = W.partitionBy("user_id", "dt").orderBy("ms", "transaction_id")
-    within = rows.select(
-        "user_id", "dt", (F.col("ms") - F.lag("ms").over(inside)).alias("gap_ms"))
-    by_day = W.partitionBy("user_id").orderBy("dt")
+    rows = activity.select("user_id", "transaction_id", F.unix_millis("event_ts").alias("ms"))
+    sliced = rows.withColumn("slice", slice_of(F.col("ms"), slice_ms))
+    inside = W.partitionBy("user_id", "slice").orderBy("ms", "transaction_id")
+    within = sliced.select("user_id", "ms", (F.col("ms") - F.lag("ms").over(inside)).alias("gap_ms"))
+    by_slice = W.partitionBy("user_id").orderBy("slice")
     across = (
-        rows.groupBy("user_id", "dt").agg(F.min("ms").alias("lo"), F.max("ms").alias("hi"))
-        .select("user_id", "dt", (F.col("lo") - F.lag("hi").over(by_day)).alias("gap_ms")))
-    return within.unionByName(across).where("gap_ms IS NOT NULL")
+        sliced.groupBy("user_id", "slice").agg(F.min("ms").alias("ms"), F.max("ms").alias("hi"))
+        .select("user_id", "ms", (F.col("ms") - F.lag("hi").over(by_slice)).alias("gap_ms")))
+    return within.unionByName(across).where("gap_ms IS NOT NULL").select(
+        "user_id", F.to_date(F.timestamp_millis("ms")).alias("dt"), "gap_ms")
 
 
 def features(activity: DataFrame, as_of: list[str]) -> DataFrame:

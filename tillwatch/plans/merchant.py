@@ -95,12 +95,17 @@ def waterfall(fact: DataFrame) -> DataFrame:
 
 
 def refund_links(rows: DataFrame) -> DataFrame:
-    """Refunds next to their original payment; an orphan is flagged, not dropped."""
+    """Refunds next to their original payment; an orphan is flagged, not dropped.
+
+    Refunds that name no original never meet one, so they stay out of the join instead of filling
+    one partition with empty keys.
+    """
     refunds = rows.where("txn_type = 'REFUND'").select(
-        "transaction_id", "merchant_id", "amount_vnd", "original_txn_id")
+        "original_txn_id", "transaction_id", "merchant_id", "amount_vnd")
     originals = rows.select(
         F.col("transaction_id").alias("original_txn_id"), F.col("amount_vnd").alias("original_vnd"),
         F.lit(True).alias("_hit"))
+    linked = refunds.where("original_txn_id IS NOT NULL").join(originals, "original_txn_id", "left")
     return (
-        refunds.join(originals, "original_txn_id", "left")
+        linked.unionByName(refunds.where("original_txn_id IS NULL"), allowMissingColumns=True)
         .withColumn("orphan", F.col("_hit").isNull()).drop("_hit"))

@@ -7,8 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwatch.functions.exprs import grid_cell, is_gmv, ratio, sum_if
+from tillwatch.operators.quantiles import exact_percentiles
 from tillwatch.operators.slices import slice_of
 from tillwatch.plans import fraud
+from tillwatch.plans.merchant import roll_up
 
 
 def minute_of(ts: Column) -> Column:
@@ -78,32 +80,39 @@ def block_rate_hourly(decided: DataFrame) -> DataFrame:
         .withColumn("sparkline", F.array_join(F.collect_list("blocked").over(last_day), ",")))
 
 
+def _lags() -> tuple[Column, Column]:
+    """Event-time lag and watermark lag of a row, in milliseconds."""
+    return (F.col("arrived_ms") - F.col("event_ms"), F.col("arrived_ms") - F.col("watermark_ms"))
+
+
 def stream_health(with_watermark: DataFrame, period_ms: int = 10_000) -> DataFrame:
     """Lag, disorder and rate per arrival period."""
-    lag = F.col("arrived_ms") - F.col("event_ms")
-    wm_lag = F.col("arrived_ms") - F.col("watermark_ms")
+    rows = with_watermark.withColumn("period", slice_of(F.col("arrived_ms"), period_ms))
+    lag, wm_lag = _lags()
+    rates = rows.groupBy("period").agg(
+        F.count("*").alias("events"),
+        F.avg(F.col("out_of_order").cast("int")).alias("out_of_order_rate"),
+        F.avg(F.col("late").cast("int")).alias("late_rate"))
+    event_lag = exact_percentiles(rows, ["period"], lag, {
+        "event_lag_p50_ms": 0.5, "event_lag_p95_ms": 0.95, "event_lag_p99_ms": 0.99}).drop("n")
+    watermark_lag = exact_percentiles(
+        rows, ["period"], wm_lag, {"watermark_lag_p99_ms": 0.99}).drop("n")
     return (
-        with_watermark.groupBy(slice_of(F.col("arrived_ms"), period_ms).alias("period"))
-        .agg(
-            F.count("*").alias("events"),
-            F.percentile(lag, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("_lag"),
-            F.percentile(wm_lag, F.lit(0.99)).alias("watermark_lag_p99_ms"),
-            F.avg(F.col("out_of_order").cast("int")).alias("out_of_order_rate"),
-            F.avg(F.col("late").cast("int")).alias("late_rate"))
+        rates.join(event_lag, "period").join(watermark_lag, "period", "left")
         .select(
             F.timestamp_millis(F.col("period") * period_ms).alias("period_start"), "events",
-            (F.col("events") / (period_ms / 1000)).alias("events_per_s"),
-            F.col("_lag")[0].alias("event_lag_p50_ms"), F.col("_lag")[1].alias("event_lag_p95_ms"),
-            F.col("_lag")[2].alias("event_lag_p99_ms"), "watermark_lag_p99_ms",
-            "out_of_order_rate", "late_rate"))
+            (F.col("events") / (period_ms / 1000)).alias("events_per_s"), "event_lag_p50_ms",
+            "event_lag_p95_ms", "event_lag_p99_ms", "watermark_lag_p99_ms", "out_of_order_rate",
+            "late_rate"))
 
 
 def data_completeness(with_watermark: DataFrame) -> DataFrame:
     """Per day: is the data complete enough to be read."""
-    return with_watermark.groupBy(F.col("dt").alias("date_day")).agg(
-        F.count("*").alias("events"),
-        F.avg(F.col("late").cast("int")).alias("late_rate"),
-        F.percentile(F.col("arrived_ms") - F.col("watermark_ms"), F.lit(0.99)).alias("watermark_lag_p99_ms"))
+    rows = with_watermark.withColumn("date_day", F.col("dt"))
+    rates = rows.groupBy("date_day").agg(
+        F.count("*").alias("events"), F.avg(F.col("late").cast("int")).alias("late_rate"))
+    lag = exact_percentiles(rows, ["date_day"], _lags()[1], {"watermark_lag_p99_ms": 0.99}).drop("n")
+    return rates.join(lag, "date_day", "left")
 
 
 def success_by_channel(rows: DataFrame) -> DataFrame:
@@ -236,8 +245,6 @@ def missed_by_segment(
 
 def loss_making(merchant_fact: DataFrame, n: int = 20) -> DataFrame:
     """Merchants with a negative net take rate, largest volume first."""
-    from tillwatch.plans.merchant import roll_up
-
     return (
         roll_up(merchant_fact, ["merchant_id", "industry"]).where("net_take_rate < 0")
         .orderBy(F.desc("gmv"), "merchant_id").limit(n))
@@ -245,8 +252,6 @@ def loss_making(merchant_fact: DataFrame, n: int = 20) -> DataFrame:
 
 def what_if(merchant_fact: DataFrame) -> DataFrame:
     """Net take rate per industry for every scenario and whether it turns negative."""
-    from tillwatch.plans.merchant import roll_up
-
     return roll_up(merchant_fact, ["industry", "scenario"]).withColumn(
         "is_margin_negative", F.col("net_take_rate") < 0)
 

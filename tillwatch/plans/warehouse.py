@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillwatch.functions.exprs import device_hash
 from tillwatch.operators.card_testing import card_testing
 from tillwatch.operators.enrich import enrich
-from tillwatch.operators.latest import current_rows
+from tillwatch.operators.latest import current_rows, latest
 from tillwatch.operators.points import loyalty_points
 from tillwatch.operators.rules import active_rules, decide
 from tillwatch.operators.travel import impossible_travel
@@ -34,8 +34,8 @@ class Warehouse:
         self.payments = payments
         self.profile_changes = profile_changes
         self.rule_rows = rules
-        self.labels = labels
-        self.redemptions = redemptions
+        self.label_rows = labels
+        self.redemption_rows = redemptions
         self.seeds = seeds
         self.salt = salt
         self.stage = stage
@@ -53,6 +53,15 @@ class Warehouse:
     def silver(self) -> DataFrame:
         return protect(self.clean, self.salt)
 
+    @cached_property
+    def labels(self) -> DataFrame:
+        """The newest verdict of every transaction; labels are revised for weeks."""
+        return latest(self.label_rows, ["transaction_id"], [F.desc("resolved_at")])
+
+    @cached_property
+    def redemptions(self) -> DataFrame:
+        return self.redemption_rows.dropDuplicates(["redemption_id"])
+
     @cached_property
     def profiles(self) -> DataFrame:
         return current_rows(self.profile_changes, ["user_id"], [F.desc("updated_at")])

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,6 +33,19 @@ def tune(spark: SparkSession, streaming: bool = False) -> SparkSession:
     return spark
 
 
+# Scan splits (about 128 MB of compressed columns each) per shuffle partition, and the number of
+# partitions beyond which the bookkeeping costs more than it gains.
+SPLITS_PER_PARTITION = 2
+MOST_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, scan: DataFrame) -> None:
+    """Start with enough shuffle partitions for the input; adaptive execution merges small ones."""
+    wanted = min(scan.rdd.getNumPartitions() // SPLITS_PER_PARTITION, MOST_PARTITIONS)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, now)))
+
+
 def local_session(cpus: int | str = "*", app: str = "tillwatch") -> SparkSession:
     """A local session for tests and the bench."""
     spark = (

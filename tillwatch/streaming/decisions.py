@@ -19,6 +19,7 @@ from tillwatch.operators.card_testing import card_testing
 from tillwatch.operators.enrich import enrich
 from tillwatch.operators.latest import dedup
 from tillwatch.operators.points import SPAN_MS, earns_points, loyalty_points
+from tillwatch.operators.quantiles import exact_percentiles
 from tillwatch.operators.rules import decide
 from tillwatch.operators.slices import SECOND
 from tillwatch.operators.travel import impossible_travel
@@ -153,13 +154,13 @@ class DecisionStream:
 def batch_metrics(decided: DataFrame, batch_id: int) -> DataFrame:
     """Health of one micro-batch: size, event-time lag, late share."""
     lag = F.unix_millis("ingested_at") - F.unix_millis("event_ts")
-    return decided.agg(
-        F.count("*").alias("events"), F.percentile(lag, F.lit(0.5)).alias("lag_p50_ms"),
-        F.percentile(lag, F.lit(0.95)).alias("lag_p95_ms"),
-        F.percentile(lag, F.lit(0.99)).alias("lag_p99_ms"),
+    rows = decided.withColumn("batch_id", F.lit(batch_id))
+    rates = rows.groupBy("batch_id").agg(
         F.avg(F.col("late").cast("int")).alias("late_rate"),
-        F.count_if("rules_not_ready").alias("rules_not_ready"),
-    ).withColumn("batch_id", F.lit(batch_id))
+        F.count_if("rules_not_ready").alias("rules_not_ready"))
+    lags = exact_percentiles(rows, ["batch_id"], lag, {
+        "lag_p50_ms": 0.5, "lag_p95_ms": 0.95, "lag_p99_ms": 0.99})
+    return rates.join(lags.withColumnRenamed("n", "events"), "batch_id")
 
 
 def progress_metrics(query: StreamingQuery) -> dict:

@@ -29,8 +29,6 @@ FAMILIES = {
 }
 FIRST_K = {"L": 1}
 SLOTS = [(fam, k) for fam, (last, _) in FAMILIES.items() for k in range(FIRST_K.get(fam, 0), last + 1)]
-SLOT_CONDITION = "CASE fam " + " ".join(
-    f"WHEN '{fam}' THEN {cond}" for fam, (_, cond) in FAMILIES.items()) + " END"
 
 _USER = "concat('U', lpad(cast(uid AS string), 6, '0'))"
 
@@ -86,7 +84,7 @@ PASS_2 = {
     "src_partition": "CASE WHEN fam IN ('C', 'I') THEN id % 6 ELSE u % 6 END",
 }
 FX_TEXT = "CASE currency WHEN 'USD' THEN 24000 + 10 * {dom} WHEN 'SGD' THEN 18000 + 7 * {dom} ELSE 1 END"
-COPY_CONDITION = "copy = 0 OR id % 40 = 0"
+COPIED = "id % 40 = 0"
 
 # Profiles: one row per change. op c at v=1, u at v=2, d at v=3.
 PROFILE_PRESENT = "u % 37 <> 3"
@@ -151,12 +149,15 @@ RULE_CHANGE_CONDITION = "event_type = 'signup'"
 LABEL_PRESENT = """CASE fam WHEN 'C' THEN k = 6 WHEN 'I' THEN k = 1 WHEN 'K' THEN true
     WHEN 'R' THEN k = 0 AND id % 4 <> 3 WHEN 'L' THEN id % 40 = 0 WHEN 'T' THEN id % 3 <> 1
     ELSE false END"""
+# Some labels are revised: the older one (old = 1) says the opposite and came one day earlier.
+REVISED = "id % 8 = 0"
 LABEL = {
-    "is_fraud_confirmed": "fam IN ('C', 'I', 'K') OR (fam = 'T' AND id % 211 = 0)",
+    "is_fraud_confirmed": "(fam IN ('C', 'I', 'K') OR (fam = 'T' AND id % 211 = 0)) <> (old = 1)",
     "label_source": """CASE id % 3 WHEN 0 THEN 'CHARGEBACK' WHEN 1 THEN 'INVESTIGATION'
         ELSE 'COMPLAINT' END""",
-    "resolved_ms": "ms + 86400000 * (7 + id % 39)",
+    "resolved_ms": "ms + 86400000 * (7 + id % 39 - old)",
 }
+REDEEMED_TWICE = "id % 20 = 5"
 REDEMPTION_CONDITION = "event_type = 'signup' AND id % 10 = 5"
 ACTIVITY_MS = """1719792000000 - 86400000 * cast(CASE u % 7 WHEN 3 THEN 3 WHEN 4 THEN 40 WHEN 5 THEN 75
     WHEN 6 THEN 120 ELSE 0 END AS bigint) - (1 + u % 5) * (1706659200000 - ms)"""
@@ -201,12 +202,14 @@ class Testbed:
     @cached_property
     def expanded(self) -> DataFrame:
         """One row per transaction, before duplicates."""
-        slots = "array(" + ", ".join(
-            f"named_struct('fam', '{fam}', 'k', {k}L)" for fam, k in SLOTS) + ")"
-        selected = SLOT_CONDITION.replace("CASE fam", "CASE s.fam")
+        none = "cast(array() AS array<struct<fam: string, k: bigint>>)"
+        families = []
+        for fam, (_, cond) in FAMILIES.items():
+            slots = ", ".join(f"named_struct('fam', '{f}', 'k', {k}L)" for f, k in SLOTS if f == fam)
+            families.append(f"CASE WHEN {cond} THEN array({slots}) ELSE {none} END")
         return (
             self.events
-            .select("*", F.expr(f"inline(filter({slots}, s -> {selected}))"))
+            .select("*", F.expr(f"inline(concat({', '.join(families)}))"))
             .select("*", *_select({**PASS_1, "uid": f"cast({PASS_1['uid']} AS bigint)"}))
         )
 
@@ -218,8 +221,8 @@ class Testbed:
                   f"cast(floor(base_vnd / {FX_TEXT.format(dom=dom)}) AS bigint)) END")
         rows = (
             self.expanded
-            .select("*", F.explode(F.expr("filter(array(0L, 1L), copy -> " + COPY_CONDITION + ")"))
-                    .alias("copy"))
+            .select("*", F.explode(F.expr(
+                f"CASE WHEN {COPIED} THEN array(0L, 1L) ELSE array(0L) END")).alias("copy"))
             .select("*", *_select(PASS_2))
         )
         group = F.when(F.col("fam").isin("C", "I", "K"), F.lit("TREATMENT")).otherwise(
@@ -284,13 +287,18 @@ class Testbed:
 
     @cached_property
     def labels(self) -> DataFrame:
+        """Labels as they arrive; a later one replaces an earlier one."""
         return (self.expanded.where(LABEL_PRESENT)
+                .select("*", F.explode(F.expr(
+                    f"CASE WHEN {REVISED} THEN array(0L, 1L) ELSE array(0L) END")).alias("old"))
                 .select("transaction_id", *_select(LABEL))
                 .withColumn("resolved_at", F.timestamp_millis("resolved_ms")).drop("resolved_ms"))
 
     @cached_property
     def redemptions(self) -> DataFrame:
-        return self.events.where(REDEMPTION_CONDITION).select(
+        """Redemptions as they arrive, some of them twice."""
+        return self.events.where(REDEMPTION_CONDITION).select("*", F.explode(F.expr(
+            f"CASE WHEN {REDEEMED_TWICE} THEN array(0, 1) ELSE array(0) END")).alias("copy")).select(
             F.concat(F.lit("D"), F.col("id").cast("string")).alias("redemption_id"),
             F.expr(PROFILE["user_id"]).alias("user_id"),
             (F.col("id") % 40 + 1).alias("points_spent"), F.lit("VOUCHER").alias("reward_type"),
