@@ -46,14 +46,17 @@ def size_shuffles(spark: SparkSession, scan: DataFrame) -> None:
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, now)))
 
 
-def local_session(cpus: int | str = "*", app: str = "tillwatch") -> SparkSession:
-    """A local session for tests and the bench."""
+def local_session(
+    cpus: int | str = "*", app: str = "tillwatch", conf: dict[str, str] | None = None,
+) -> SparkSession:
+    """A local session for tests and the bench; ``conf`` holds further start-up settings."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.python.unix.domain.socket.enabled", "true")
+        .config(map=conf or {})
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
