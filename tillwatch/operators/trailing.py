@@ -21,31 +21,28 @@ def trailing_sums(
     that slice at its first millisecond. Rows with equal time see each other.
     """
     names = list(measures)
-    own = slice_of(F.col("_at"), slice_ms)
-    end = F.col("_at") + span_ms
+    slice_, at = F.col("_slice"), F.col("_at")
+    own, end = slice_of(at, slice_ms), at + span_ms
     end_slice = slice_of(end, slice_ms)
+    payload = F.struct(*[F.col(c) for c in df.columns])
 
-    def entry(slice_: Column, at: Column, sign: int, row: Column) -> Column:
-        return F.struct(
-            slice_.alias("_slice"), at.alias("_entry_at"), row.alias("_row"),
-            *[(F.col(f"_m_{n}") * sign).alias(f"_d_{n}") for n in names])
+    def entry(when: Column, sign: int, row: Column) -> Column:
+        return F.struct(when.alias("_entry_at"), row.alias("_row"),
+                        *[(F.col(f"_m_{n}") * sign).alias(f"_d_{n}") for n in names])
 
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    nothing = F.when(F.lit(False), payload)
-    entries = F.concat(
-        F.array(entry(own, F.col("_at"), 1, payload), entry(end_slice, end, -1, nothing)),
-        F.transform(
-            F.when(end_slice > own, F.sequence(own + 1, end_slice))
-            .otherwise(F.array().cast("array<bigint>")),
-            lambda s: entry(s, s * slice_ms, 1, nothing)),
-    )
-    running = (W.partitionBy(*[f"_k_{k}" for k in keys], "_slice").orderBy("_entry_at")
+    # enters at its own time, or at the start of a later slice it still counts in
+    enter = entry(F.greatest(at, slice_ * slice_ms), 1, F.when(slice_ == own, payload))
+    leave = entry(end, -1, F.when(F.lit(False), payload))
+    keys_of = [f"_k_{k}" for k in keys]
+    running = (W.partitionBy(*keys_of, "_slice").orderBy("_entry_at")
                .rangeBetween(W.unboundedPreceding, W.currentRow))
     return (
         df.select(
             *[F.col(k).alias(f"_k_{k}") for k in keys],
             ms.alias("_at"), *[c.alias(f"_m_{n}") for n, c in measures.items()], *df.columns)
-        .select(*[f"_k_{k}" for k in keys], F.inline(entries))
+        .withColumn("_slice", F.explode(F.sequence(own, end_slice)))
+        .select(*keys_of, "_slice", F.inline(
+            F.when(slice_ == end_slice, F.array(enter, leave)).otherwise(F.array(enter))))
         .withColumns({n: F.sum(f"_d_{n}").over(running) for n in names})
         .where("_row IS NOT NULL")
         .select("_row.*", *names)
