@@ -1,6 +1,10 @@
 """Streams: landing, restarts, late data, rule changes, keyed state."""
 
 import json
+import os
+import subprocess
+import sys
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -222,3 +226,21 @@ def test_silent_partition_holds_nothing_back(spark):
     totals = sorted(r["total"] for r in spark.read.parquet(path).collect())
     assert totals == [100_000] * 2 + [200_000] * 15
     assert progress_metrics(query)["watermark"] is not None
+
+
+def test_state_machines_reach_workers_that_do_not_have_the_package():
+    """Run from another folder, without the repository on any path of the workers."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+import __spark_entry__ as registered
+from tillwatch.session import local_session
+spark = local_session(2, "elsewhere")
+for name in ("x9_card_testing_stream", "x10_travel_stream"):
+    print(name, registered.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, timeout=300,
+                          capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "x9_card_testing_stream 66" in done.stdout and "x10_travel_stream" in done.stdout

@@ -7,126 +7,17 @@ keys that dominate the traffic use the decision stream, which works on time slic
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tillwatch.functions.exprs import EARTH_RADIUS_KM
 from tillwatch.operators.card_testing import CardTestingLimits
 from tillwatch.operators.slices import HOUR, MINUTE
+from tillwatch.streaming import processors
 from tillwatch.streaming.windows import with_watermark
 
-CARD_ALERT = ("device_id string, transaction_id string, event_ms bigint, large_amount_vnd bigint, "
-              "chain_len bigint, chain_start_ms bigint, evidence_id string")
-TRAVEL_ALERT = ("user_id string, transaction_id string, event_ms bigint, prev_transaction_id string, "
-                "km double, gap_ms bigint")
-
-
-def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["ms", "transaction_id"], kind="stable")
-
-
-class CardTestingState(StatefulProcessor):
-    """Streak of small failures per device: list of rows, its start, and a timer that clears it.
-
-    The streak is anchored at its first failure. An alert emits one row per evidence transaction.
-    """
-
-    def __init__(self, lim: CardTestingLimits):
-        self.lim = lim
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.streak = handle.getListState("streak", "transaction_id string, ms bigint")
-        self.start = handle.getValueState("streak_start", "ms bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(rows)
-        streak = [tuple(r) for r in self.streak.get()] if self.start.exists() else []
-        first = streak[0][1] if streak else None
-        alerts = []
-        for txn, ms, amount, status in zip(pdf["transaction_id"], pdf["ms"], pdf["amount_vnd"], pdf["status"]):
-            if streak and ms - streak[0][1] > self.lim.within_ms:
-                streak = []  # the timer of this streak is due
-            if status == "FAILED" and amount < self.lim.small_below_vnd:
-                streak.append((txn, int(ms)))
-                continue
-            if status == "SUCCESS" and amount > self.lim.large_above_vnd and len(streak) >= self.lim.min_failures:
-                alerts += [(key[0], txn, int(ms), int(amount), len(streak), streak[0][1], e) for e, _ in streak]
-            streak = []
-        self._keep(streak, first)
-        if alerts:
-            yield pd.DataFrame(alerts, columns=[c.split()[0] for c in CARD_ALERT.split(", ")])
-
-    def _keep(self, streak: list[tuple[str, int]], before: int | None) -> None:
-        now = streak[0][1] if streak else None
-        if before is not None and before != now:
-            self.handle.deleteTimer(before + self.lim.within_ms)
-        if streak:
-            self.streak.put(streak)
-            self.start.update((now,))
-            if before != now:
-                self.handle.registerTimer(now + self.lim.within_ms)
-        elif before is not None:
-            self.streak.clear()
-            self.start.clear()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.streak.clear()
-        self.start.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-class TravelState(StatefulProcessor):
-    """Last position per user; a timer forgets it after a day without transactions."""
-
-    def __init__(self, min_km: float, max_gap_ms: int, ttl_ms: int):
-        self.min_km, self.max_gap_ms, self.ttl_ms = min_km, max_gap_ms, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "transaction_id string, ms bigint, lat double, lon double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(rows)[["transaction_id", "ms", "lat", "lon"]]
-        known = self.last.get() if self.last.exists() else None
-        if known is not None:
-            # a row older than the remembered one is out of order: no pair, no update
-            pdf = pdf[pdf["ms"] >= known[1]]
-            pdf = pd.concat([pd.DataFrame([tuple(known)], columns=pdf.columns), pdf], ignore_index=True)
-        if pdf.empty:
-            return
-        prev = pdf.shift(1)
-        lat, plat = np.radians(pdf["lat"]), np.radians(prev["lat"])
-        chord = (np.sin((lat - plat) / 2) ** 2 + np.cos(plat) * np.cos(lat)
-                 * np.sin(np.radians(pdf["lon"] - prev["lon"]) / 2) ** 2)
-        out = pd.DataFrame({
-            "user_id": key[0], "transaction_id": pdf["transaction_id"], "event_ms": pdf["ms"],
-            "prev_transaction_id": prev["transaction_id"],
-            "km": 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0))),
-            "gap_ms": pdf["ms"] - prev["ms"]})
-        hits = out[(out["km"] > self.min_km) & (out["gap_ms"] < self.max_gap_ms)]
-        newest = pdf.iloc[-1]
-        if known is not None:
-            self.handle.deleteTimer(int(known[1]) + self.ttl_ms)
-        self.last.update((newest["transaction_id"], int(newest["ms"]), float(newest["lat"]), float(newest["lon"])))
-        self.handle.registerTimer(int(newest["ms"]) + self.ttl_ms)
-        if len(hits):
-            yield hits.astype({"gap_ms": "int64", "event_ms": "int64"})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
+cloudpickle.register_pickle_by_value(processors)
 
 
 def card_testing_stream(payments: DataFrame, lim: CardTestingLimits = CardTestingLimits()) -> DataFrame:
@@ -135,7 +26,9 @@ def card_testing_stream(payments: DataFrame, lim: CardTestingLimits = CardTestin
         "device_id", "transaction_id", "event_ts", F.unix_millis("event_ts").alias("ms"),
         "amount_vnd", "status")
     return narrow.groupBy("device_id").transformWithStateInPandas(
-        CardTestingState(lim), CARD_ALERT, "Append", "EventTime")
+        processors.CardTestingState(
+            lim.small_below_vnd, lim.large_above_vnd, lim.min_failures, lim.within_ms),
+        processors.CARD_ALERT, "Append", "EventTime")
 
 
 def travel_stream(
@@ -146,4 +39,5 @@ def travel_stream(
         "user_id", "transaction_id", "event_ts", F.unix_millis("event_ts").alias("ms"),
         F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon"))
     return narrow.groupBy("user_id").transformWithStateInPandas(
-        TravelState(min_km, max_gap_ms, ttl_ms), TRAVEL_ALERT, "Append", "EventTime")
+        processors.TravelState(min_km, max_gap_ms, ttl_ms, EARTH_RADIUS_KM),
+        processors.TRAVEL_ALERT, "Append", "EventTime")
