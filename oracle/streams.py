@@ -193,6 +193,10 @@ SELECT ms // 60000 * 60000 AS minute, coalesce(sum(amount_vnd) FILTER (status =
   count(*) AS txns, count(*) FILTER (status = 'SUCCESS') AS succeeded FROM ok_clean GROUP BY 1""")
 oracle("s16_keyed_producer", """
 SELECT user_id AS key, count(*) AS records, 1::BIGINT AS partitions FROM payments GROUP BY 1""")
+oracle("x2_silent_partition", """
+WITH t AS (SELECT * FROM clean WHERE src_partition <> 5)
+SELECT ms // 60000 * 60000 AS minute, count(*) AS txns, sum(amount_vnd)::BIGINT AS amount_vnd FROM t
+WHERE ms // 60000 * 60000 + 60000 <= (SELECT max(ms) FROM t) - 10000 GROUP BY 1""")
 oracle("x3_late_side_output", """
 WITH runs AS (SELECT *, CASE WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-21') THEN 2
     WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-11') OR src_partition = 5 THEN 1 ELSE 0 END AS run FROM ok_payments),

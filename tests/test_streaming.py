@@ -161,6 +161,20 @@ def test_resume_after_a_crash_repeats_the_batch_without_duplicates(stream, topic
     assert (kpis["txns"], kpis["gmv"]) == (3, 6_200_000)
 
 
+def test_marks_stay_few_and_survive_a_restart(stream, topic, spark):
+    """Only batches within reach are remembered, in a running stream and after a restart."""
+    _, publish = topic
+    for hour in range(4):
+        publish(record(f"h{hour}", hour * 3600))
+        stream()
+    d = DecisionStream(spark, stream.out, None, None, None)
+    d._load_marks()
+    assert sorted(d.marks) == [2, 3]
+    assert d._watermark_before(3) == int(at(2 * 3600).timestamp() * 1000) - 10_000
+    d._forget(3)
+    assert sorted(d.marks) == [2, 3]
+
+
 def run_detector(spark, build, *batches):
     tune(spark, streaming=True)
     source, path, ck = scratch(spark, "src"), scratch(spark, "alerts"), scratch(spark, "ck")

@@ -17,6 +17,7 @@ from tillwatch.testbed import SALT, Testbed
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.staged: dict[str, str] = {}
         self.tb = Testbed(spark, sf_dir)
         size_shuffles(spark, self.tb.events)
 
@@ -32,10 +33,14 @@ class Context:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write once to the shared folder and read back."""
-        path = self.scratch(name)
+        path = self.staged[name] = self.scratch(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def stream_of(self, staged: DataFrame, name: str) -> DataFrame:
+        """A staged table as a stream."""
+        return self.spark.readStream.schema(staged.schema).parquet(self.staged[name])
+
     def scratch(self, name: str) -> str:
         return scratch(self.spark, name)
 

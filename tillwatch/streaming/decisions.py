@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -50,15 +51,31 @@ class DecisionStream:
 
     # -- progress ---------------------------------------------------------------------------------
 
+    def _horizon(self) -> int:
+        """How far below an event-time maximum a batch can still matter."""
+        return self.reach_ms + WATERMARK_MS
+
     def _load_marks(self) -> None:
-        """After a restart, read the event-time range of the batches already written."""
+        """After a restart, read the event-time range of the batches that can still matter."""
         try:
-            rows = self.spark.read.parquet(f"{self.out}/marks").collect()
-        except Exception as missing:  # nothing written yet
-            if "PATH_NOT_FOUND" not in str(missing):
+            marks = self.spark.read.parquet(f"{self.out}/marks")
+        except AnalysisException as missing:  # nothing written yet
+            if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = []
-        self.marks = {r["batch_id"]: (r["lo_ms"], r["hi_ms"]) for r in rows}
+            return
+        newest = marks.agg(F.max("batch_id")).first()[0]
+        before = marks.where(F.col("batch_id") < newest).agg(F.max("hi_ms")).first()[0]
+        recent = F.col("batch_id") == newest
+        if before is not None:
+            recent = recent | (F.col("hi_ms") >= before - self._horizon())
+        self.marks = {r["batch_id"]: (r["lo_ms"], r["hi_ms"]) for r in marks.where(recent).collect()}
+
+    def _forget(self, newest: int) -> None:
+        """Keep the newest batch and what its repetition would need; the rest is out of reach."""
+        tops = [hi for b, (_, hi) in self.marks.items() if b < newest]
+        if tops:
+            floor = max(tops) - self._horizon()
+            self.marks = {b: m for b, m in self.marks.items() if b == newest or m[1] >= floor}
 
     def _watermark_before(self, batch_id: int) -> int | None:
         tops = [hi for b, (_, hi) in self.marks.items() if b < batch_id]
@@ -145,6 +162,7 @@ class DecisionStream:
         mark = self.spark.sql(f"SELECT {lo_ms}L AS lo_ms, {hi_ms}L AS hi_ms")
         sinks.write_batch(mark, f"{self.out}/marks", batch_id)
         self.marks[batch_id] = (lo_ms, hi_ms)
+        self._forget(batch_id)
 
     def run(self, raw: DataFrame, checkpoint: str, finite: bool = False) -> StreamingQuery:
         writer = raw.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)

@@ -24,3 +24,11 @@ def sliding_sums(decided: DataFrame) -> DataFrame:
         .groupBy("user_id", F.window("event_ts", "15 minutes", "1 minute").alias("w"))
         .agg(F.sum("amount_vnd").alias("total"))
         .select("user_id", F.col("w.start").alias("window_start"), "total"))
+
+
+def minute_counts(rows: DataFrame) -> DataFrame:
+    """Transactions and money per closed minute."""
+    return (
+        with_watermark(rows).groupBy(F.window("event_ts", "1 minute").alias("w"))
+        .agg(F.count("*").alias("txns"), F.sum("amount_vnd").alias("amount_vnd"))
+        .select(F.col("w.start").alias("minute"), "txns", "amount_vnd"))
