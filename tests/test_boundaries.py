@@ -138,6 +138,16 @@ def test_rule_choice(judged, limit):
                   limit=limit)["a"][0] == "PASS"
 
 
+@pytest.mark.parametrize("limit", [200, 0])
+@pytest.mark.parametrize("devices", [3, 20_000])
+def test_device_blacklist(judged, limit, devices):
+    listed = ",".join(f"d{i}" for i in range(devices))
+    rules = [rule("L", kind="DEVICE_BLACKLIST", params={"device_ids": listed}, scope={"channel": "APP"}),
+             rule("A", prio=0, params={"max_amount_vnd": "1"}, action="ALERT")]
+    got = judged(rules, payment("a"), payment("b", device_id=f"d{devices}"), payment("c", channel="POS"), limit=limit)
+    assert got == {"a": ("BLOCK", "L"), "b": ("ALERT", "A"), "c": ("ALERT", "A")}
+
+
 @pytest.mark.parametrize("limit", [200, 0])
 def test_velocity_counts_the_current_row(judged, limit):
     rules = [rule(kind="VELOCITY", params={"max_count": "3", "window_sec": "900"}, action="ALERT")]

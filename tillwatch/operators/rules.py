@@ -16,6 +16,8 @@ from tillwatch.operators.trailing import trailing_sums
 
 # Above this number the rules are joined instead of compiled into the plan.
 COMPILE_LIMIT = 200
+# The same for the device ids of all blacklists together.
+COMPILE_DEVICES = 10_000
 
 
 def active_rules(changes: DataFrame) -> DataFrame:
@@ -102,18 +104,36 @@ def _scope_key(entries: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(entries), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
 
 
+def _with_device_scopes(rules: DataFrame) -> DataFrame:
+    """Blacklists as one row per device, the device being one more attribute of the scope.
+
+    A long list then meets the transactions through the join key, not by a search in every row.
+    """
+    rules = rules.withColumn("scope", F.coalesce("scope", F.expr("cast(map() AS map<string,string>)")))
+    is_list = F.col("rule_type") == "DEVICE_BLACKLIST"
+    listed = (
+        rules.where(is_list)
+        .withColumn("_device", F.explode(F.split(F.col("params")["device_ids"], ",")))
+        .withColumn("scope", F.map_concat("scope", F.create_map(F.lit("device_id"), "_device")))
+        .withColumn("params", F.lit(None).cast("map<string,string>"))
+        .drop("_device"))
+    return rules.where(~is_list).unionByName(listed)
+
+
 def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFrame:
     """Many rules: equi-join on the canonical scope, then the best match per transaction.
 
     The distinct sets of scope keys (a handful of column-name lists) are read to the driver; the
     rules themselves stay distributed. Partial aggregation keeps one match per transaction and task.
     """
+    rules = _with_device_scopes(rules)
     keyed = rules.select(
-        F.when(F.col("scope").isNull(), "").otherwise(_scope_key(F.map_entries("scope"))).alias("scope_key"),
+        _scope_key(F.map_entries("scope")).alias("scope_key"),
         F.struct("priority", "version", "rule_id", "rule_type", "action").alias("verdict"),
         "rule_type", "params", "effective_from")
-    shapes = [tuple(r[0] or ()) for r in
+    shapes = [tuple(r[0]) for r in
               rules.select(F.array_sort(F.map_keys("scope"))).distinct().collect()]
+
     def key_of(shape: tuple) -> Column:
         if not shape:
             return F.lit("")
@@ -124,7 +144,7 @@ def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFr
     counts = F.create_map(*[x for sec in windows for x in (F.lit(str(sec)), F.col(_velocity(sec)))]) \
         if windows else F.lit(None).cast("map<string,bigint>")
     probes = payments.select(
-        "transaction_id", "event_ts", "amount_vnd", "home_country", "device_id", "channel",
+        "transaction_id", "event_ts", "amount_vnd", "home_country", "channel",
         counts.alias("counts"),
         F.explode(F.array_compact(F.array(*[key_of(s) for s in shapes]))).alias("scope_key"))
     p = F.col("params")
@@ -132,8 +152,7 @@ def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFr
         F.when(F.col("rule_type") == "AMOUNT_THRESHOLD",
                F.col("amount_vnd") > p["max_amount_vnd"].cast("bigint"))
         .when(F.col("rule_type") == "COUNTRY_BLOCK", F.col("home_country") == p["country"])
-        .when(F.col("rule_type") == "DEVICE_BLACKLIST",
-              F.array_contains(F.split(p["device_ids"], ","), F.col("device_id")))
+        .when(F.col("rule_type") == "DEVICE_BLACKLIST", F.lit(True))
         .when(F.col("rule_type") == "VELOCITY",
               F.col("counts")[p["window_sec"]] > p["max_count"].cast("bigint"))
         .when(F.col("rule_type") == "CHANNEL_BLOCK", F.col("channel") == p["channel"]))
@@ -145,6 +164,11 @@ def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFr
         .select(*payments.columns, "_v.rule_id", "_v.rule_type", F.col("_v.action").alias("decision")))
 
 
+def _listed_devices(rules: list[Row]) -> int:
+    return sum(r["params"]["device_ids"].count(",") + 1
+               for r in rules if r["rule_type"] == "DEVICE_BLACKLIST")
+
+
 def decide(
     enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_LIMIT,
     recent: DataFrame | None = None,
@@ -161,7 +185,7 @@ def decide(
         out = enriched.withColumns({
             "rule_id": F.lit(None).cast("string"), "rule_type": F.lit(None).cast("string"),
             "decision": F.lit(None).cast("string")})
-    elif len(rows) <= compile_limit:
+    elif len(rows) <= compile_limit and _listed_devices(rows) <= COMPILE_DEVICES:
         thresholds: dict[int, int] = {}
         for r in rows:
             if r["rule_type"] == "VELOCITY":
