@@ -73,3 +73,12 @@ def test_hot_user_is_split_by_the_join(spark):
         collected.write.format("noop").mode("overwrite").save()
         collected.collect()
         assert "skew=true" in plan_of(collected)
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    """Rare large successes are selected by the scan; travel reads only its own columns."""
+    with conf(spark, **{"spark.sql.maxMetadataStringLength": "5000"}):
+        card = plan_of(registered.queries()["w5_card_testing"](spark, SF))
+        travel = plan_of(registered.queries()["w2_impossible_travel"](spark, SF))
+    assert "EqualTo(status,SUCCESS), GreaterThan(amount_vnd,10000000)" in card
+    assert "ReadSchema: struct<transaction_id:string,user_id:string,location:struct<lat:double,lon:double>,event_ts:timestamp" in travel
