@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwatch.llm.bpe import document_digests
 from tillwatch.llm.common import table
+from tillwatch.llm.packing import Limits, pack, token_pieces
 from tillwatch.llm.url_filter import judge_urls
 from tillwatch.llm.warc import archive_folder, read_archives, write_archives
 
@@ -38,3 +41,27 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(table(spark, sf_dir, "pages"), folder)
     return read_archives(manifest, folder, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+PACK = Limits(max_tokens=1024, max_docs=1024, max_cost=1024 * 1024)
+END_ID = 2
+
+
+@query("op6_bpe")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = token_pieces(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN, PACK.max_tokens, END_ID)
+    return pack(pieces, PACK).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op7_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
