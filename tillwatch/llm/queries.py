@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwatch.llm.bpe import document_digests
 from tillwatch.llm.common import table
 from tillwatch.llm.packing import Limits, pack, token_pieces
+from tillwatch.llm.quality import fit_quality, held_out, score_quality
+from tillwatch.llm.toxicity import fit_toxicity, score_toxicity
 from tillwatch.llm.url_filter import judge_urls
 from tillwatch.llm.warc import archive_folder, read_archives, write_archives
 
@@ -65,3 +68,25 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op7_packing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Learns from the labels whose ids are not held out."""
+    return fit_quality(docs, table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))))
+
+
+@query("op2_quality")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, quality_model(spark, docs, sf_dir)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    return fit_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))))
+
+
+@query("op8_toxicity")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, toxicity_model(spark, docs, sf_dir))

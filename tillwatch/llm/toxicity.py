@@ -25,7 +25,7 @@ from tillwatch.llm.quality import KEPT_WORDS, fit_on_sample
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-FIT_ROWS = 8_000
+FIT_ROWS = 16_000
 KEPT_FEATURES = 4_096
 PARTS = re.compile(r"\w+")
 
@@ -89,7 +89,7 @@ def graded(rows: list[np.ndarray], toxic: np.ndarray, levels: int = 3) -> np.nda
 
 
 def fit_severity(
-    rows: list[np.ndarray], grades: np.ndarray, sparse: float = 2e-4, ridge: float = 1e-4, steps: int = 400,
+    rows: list[np.ndarray], grades: np.ndarray, sparse: float = 2e-4, ridge: float = 1e-4, steps: int = 600,
 ) -> Severity:
     """Grades are 0, 1, ...; with fewer than two grades in the rows the severity is that grade's share."""
     top = int(grades.max()) if len(grades) else 0
@@ -151,7 +151,7 @@ def fit_toxicity(
 
 
 def score_toxicity(
-    docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
+    docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.2,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Id, expected ``severity``, likeliest ``grade``, ``score`` = P(grade >= 1) and ``toxic`` of every row.
