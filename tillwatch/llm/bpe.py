@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import per_process, shuffle_partitions
+from tillwatch.llm.common import bound_batches, per_process, shuffle_partitions
 
 CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 2_048
@@ -60,6 +60,7 @@ def safe_boundaries(pattern: str, text: str, at: int, low: int, high: int, ends:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tillwatch.llm.bpe import encode_text
-from tillwatch.llm.common import per_process, stage
+from tillwatch.llm.common import bound_batches, per_process, stage
 
 
 @dataclass(frozen=True)
@@ -217,6 +217,7 @@ def token_pieces(
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 8, kinds, strict=True)],
                 [f.name for f in fields])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     pieces = rows.mapInArrow(run, T.StructType(fields))
     return stage(pieces if with_ids else pieces.drop("ids"), "pieces")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwatch.llm.common import per_process
+from tillwatch.llm.common import bound_batches, per_process
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
@@ -179,6 +179,7 @@ def fit_quality(
 
 def fit_on_sample(docs, labels, id_col, text_col, label_col, fit_rows, vocabulary, featurise, fit):
     """Features of a bounded, hash-ordered sample of labelled documents, and ``fit`` on them in one task."""
+    bound_batches(docs.sparkSession)
     chosen = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.min(label_col).cast("int").alias("label"))
@@ -224,6 +225,7 @@ def score_quality(
     """
     kept = list(dict.fromkeys([id_col, *carry]))
     rows = docs.select(*kept, *([] if text_col in kept else [text_col]))
+    bound_batches(docs.sparkSession)
     scorer = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillwatch.llm.common import per_process
+from tillwatch.llm.common import bound_batches, per_process
 from tillwatch.llm.quality import KEPT_WORDS, fit_on_sample
 
 BUCKET_BITS = 20
@@ -161,6 +161,7 @@ def score_toxicity(
     """
     kept = list(dict.fromkeys([id_col, *carry]))
     rows = docs.select(*kept, *([] if text_col in kept else [text_col]))
+    bound_batches(docs.sparkSession)
     scorer = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

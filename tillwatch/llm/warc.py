@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import stage
+from tillwatch.llm.common import bound_batches, stage
 from tillwatch.session import scratch
 
 MAGIC = b"\x1f\x8b\x08"
@@ -101,6 +101,8 @@ def write_archives(
     percent-encoded, other columns are ignored. An empty table writes no file and gives an empty manifest.
     """
 
+    bound_batches(pages.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = pafs.FileSystem.from_uri(path)
         where.create_dir(root, recursive=True)
