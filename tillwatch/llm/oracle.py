@@ -40,4 +40,20 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
 FROM hashed
 """
 
-ORACLE = {"op1_url_filter": URL_FILTER, "op5_warc": WARC}
+NEAR_VECTORS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM good UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+       coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN parts USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+ORACLE = {"op1_url_filter": URL_FILTER, "op4_near_vectors": NEAR_VECTORS, "op5_warc": WARC}

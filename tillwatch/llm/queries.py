@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.llm.bpe import document_digests
 from tillwatch.llm.common import table
+from tillwatch.llm.near_vectors import near_vectors
 from tillwatch.llm.packing import Limits, pack, token_pieces
 from tillwatch.llm.quality import fit_quality, held_out, score_quality
 from tillwatch.llm.toxicity import fit_toxicity, score_toxicity
@@ -90,3 +91,8 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
+
+
+@query("op4_near_vectors")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
