@@ -7,6 +7,7 @@ import pytest
 
 from tillwatch.llm.components import components
 from tillwatch.llm.near_vectors import near_vectors
+from tillwatch.llm.top_products import top_products
 
 VECS = "vec_id bigint, embedding array<float>, label int, key string"
 
@@ -91,3 +92,35 @@ def test_components(spark):
     want = {x: r for x, r in enumerate(closure(700, pairs)) if any(x in p and p[0] != p[1] for p in pairs)}
     assert {r.node: r.component for r in components(df).collect()} == want
     assert components(df.limit(0)).count() == 0
+
+
+def brute_top(rows, queries, k, scale=64):
+    def usable(v):
+        return v and all(x is not None and math.isfinite(x) for x in v)
+
+    good = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if usable(v) and i is not None]
+    out = []
+    for i, q in {(i, tuple(v)) for i, v in good if i in queries}:
+        found = sorted((-sum(a * b for a, b in zip(q, v)), c) for c, v in good if c != i and len(v) == len(q))[:k]
+        out += [(i, n + 1, c, -s) for n, (s, c) in enumerate(found)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("pivot_rows, block, k", [(30, 8, 5), (100, 64, 20), (10_000, 2_048, 500)])
+def test_top_products(spark, pivot_rows, block, k):
+    rows = [(i, v) for i, v in mixed_vectors(9) if not (v and v[0] == 1e30)]
+    rows += [(2000 + i, rows[0][1] or [1.0] * 12) for i in range(40)]
+    df = spark.createDataFrame([(i, v, 0, "clash") for i, v in rows], VECS).repartition(4)
+    asked = {i for i, _ in rows if i % 5 == 0}
+    got = top_products(df, df.where("vec_id % 5 = 0"), k, pivot_rows=pivot_rows, block=block)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, asked, k)
+
+
+def test_top_products_beyond_doubles_and_odd_ids(spark):
+    big = float(2 ** 30)
+    rows = [(0, [big, 1.0]), (1, [big, 1.0]), (2, [big, 2.0]), (3, [-big, 0.0]), (0, [big, 1.0])]
+    df = spark.createDataFrame([(i, v, 0, "") for i, v in rows] + [(None, [1.0, 1.0], 0, "")], VECS)
+    got = top_products(df, df.where("vec_id = 0"), 3)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, {0}, 3)
+    assert top_products(df.limit(0), df, 3).count() == 0
+    assert top_products(df, df.limit(0), 3).count() == 0

@@ -56,4 +56,18 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, e.vec_id) AS
 FROM embeddings e LEFT JOIN parts USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
 
-ORACLE = {"op1_url_filter": URL_FILTER, "op4_near_vectors": NEAR_VECTORS, "op5_warc": WARC}
+TOP_PRODUCTS = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+ORACLE = {
+    "op1_url_filter": URL_FILTER, "op4_near_vectors": NEAR_VECTORS, "op5_warc": WARC, "op9_top_products": TOP_PRODUCTS}

@@ -13,6 +13,7 @@ from tillwatch.llm.common import table
 from tillwatch.llm.near_vectors import near_vectors
 from tillwatch.llm.packing import Limits, pack, token_pieces
 from tillwatch.llm.quality import fit_quality, held_out, score_quality
+from tillwatch.llm.top_products import top_products
 from tillwatch.llm.toxicity import fit_toxicity, score_toxicity
 from tillwatch.llm.url_filter import judge_urls
 from tillwatch.llm.warc import archive_folder, read_archives, write_archives
@@ -96,3 +97,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_near_vectors")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query("op9_top_products")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_products(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64)
