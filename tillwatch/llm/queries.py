@@ -16,6 +16,7 @@ from tillwatch.llm.quality import fit_quality, held_out, score_quality
 from tillwatch.llm.top_products import top_products
 from tillwatch.llm.toxicity import fit_toxicity, score_toxicity
 from tillwatch.llm.url_filter import judge_urls
+from tillwatch.llm.wrappers import main_text
 from tillwatch.llm.warc import archive_folder, read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_products(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64)
+
+
+@query("op10_main_text")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
