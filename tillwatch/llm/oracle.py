@@ -69,5 +69,24 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 20
 """
 
+SHINGLE_JOIN = """
+WITH RECURSIVE parts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM parts),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id
+FROM sets s JOIN reach r ON s.doc_id = r.a GROUP BY s.doc_id, len(s.s)
+"""
+
 ORACLE = {
+    "op3_shingle_join": SHINGLE_JOIN,
     "op1_url_filter": URL_FILTER, "op4_near_vectors": NEAR_VECTORS, "op5_warc": WARC, "op9_top_products": TOP_PRODUCTS}

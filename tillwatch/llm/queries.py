@@ -13,6 +13,7 @@ from tillwatch.llm.common import table
 from tillwatch.llm.near_vectors import near_vectors
 from tillwatch.llm.packing import Limits, pack, token_pieces
 from tillwatch.llm.quality import fit_quality, held_out, score_quality
+from tillwatch.llm.shingle_join import near_documents
 from tillwatch.llm.top_products import top_products
 from tillwatch.llm.toxicity import fit_toxicity, score_toxicity
 from tillwatch.llm.url_filter import judge_urls
@@ -109,3 +110,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op3_shingle_join")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(table(spark, sf_dir, "documents")).drop("mark")
