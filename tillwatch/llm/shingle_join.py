@@ -195,7 +195,7 @@ def _entries(docs: DataFrame, frequencies: np.ndarray, words: int, percent: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, done, counts = per_process("shingle words", WordHashes), set(), table.value
         for batch in batches:
-            sig, salt, node, size = [], [], [], []
+            sig, salt, salted, node, size = [], [], [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), known, words)
                 if not len(found):
@@ -207,15 +207,17 @@ def _entries(docs: DataFrame, frequencies: np.ndarray, words: int, percent: int)
                 entries, heat = signatures(found, counts[cells(found)], percent)
                 sig.append(entries)
                 salt.append(np.uint64(name) % (1 + heat // HOT_ROWS).astype(np.uint64))
+                salted.append(heat >= HOT_ROWS)
                 node.append(np.full(len(entries), name, np.uint64))
                 size.append(np.full(len(entries), len(found), np.int32))
             if sig:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(salt).astype(np.int32)),
-                     pa.array(np.concatenate(node).view(np.int64)), pa.array(np.concatenate(size))],
-                    ["sig", "salt", "node", "size"])
+                     pa.array(np.concatenate(salted)), pa.array(np.concatenate(node).view(np.int64)),
+                     pa.array(np.concatenate(size))],
+                    ["sig", "salt", "salted", "node", "size"])
 
-    return docs.mapInArrow(run, "sig bigint, salt int, node bigint, size int")
+    return docs.mapInArrow(run, "sig bigint, salt int, salted boolean, node bigint, size int")
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -284,7 +286,9 @@ def near_documents(
     so_far = spot.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     shared = stage(
         entries.withColumn("hub", F.first("node").over(so_far)).withColumn("hub_size", F.first("size").over(so_far))
-        .withColumn("before", F.lag("node").over(spot)).where("before <> node").drop("before"), "shared")
+        .withColumn("before", F.lag("node").over(spot))
+        # a set alone under its salt still meets the sets of the other salts
+        .where("before <> node or (salted and before is null)").drop("before", "salted"), "shared")
     hubs = shared.groupBy("sig", "salt").agg(F.first("hub").alias("node"), F.first("hub_size").alias("size"))
     # hubs of one entry's salts are compared with the entry's smallest hub
     spread = hubs.join(hubs.groupBy("sig").agg(F.min(F.struct("node", "size")).alias("top"), F.count("*").alias("n"))
