@@ -114,4 +114,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_shingle_join")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_documents(table(spark, sf_dir, "documents")).drop("mark")
+    return near_documents(table(spark, sf_dir, "documents")).drop("mark", "group")
+
+
+@query("pipeline")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)

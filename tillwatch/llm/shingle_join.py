@@ -264,8 +264,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
-    """One row per document: its id, ``n_shingles``, ``component_id``, and ``mark`` (hash of its text).
+    """One row per document: its id, ``n_shingles``, ``component_id``, ``mark`` (hash of its text), ``group``.
 
+    ``group`` names the linked group of sets, also where ids repeat; it is null for an empty set.
     ``component_id`` is the smallest id reachable by links, itself included. Null and empty texts and
     texts without words have an empty set and link with nothing; documents with equal sets link. Rows
     that repeat an id are documents of their own; a null id is never the smallest. An empty table gives
@@ -326,8 +327,8 @@ def near_documents(
     least = members.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     least = least.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = least.join(smallest, "component").select("node", "component_id")
+    by_node = least.join(smallest, "component").select("node", "component_id", F.col("component").alias("group"))
     out = members.select("id", "mark", "node", "size").join(by_node, "node", "left")
     return out.select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "mark")
+        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "mark", "group")
