@@ -109,3 +109,27 @@ def test_shingles_follow_the_definition():
     assert (shingles("A B C D E", known) == shingles("a\tb\nc d  e", known)).all()
     assert (shingles("a b c d e", known) != shingles("a b c e d", known)).all()
     assert len(np.intersect1d(shingles("a b", known), shingles("b a", known))) == 0
+
+
+def test_parity_bits_bound_the_difference():
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (1, 3, 15, 16, 17, 60, 64, 65, 300, 1_000):
+        base = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        sets += [base, np.unique(np.concatenate([base[n // 5:], rng.integers(0, 1 << 62, n // 9).astype(np.uint64)])), base]
+    bits = [shingle_join.parity_bits(s) for s in sets]
+    bound = shingle_join.apart(bits, bits)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert bound[i, j] == bound[j, i] <= len(np.setxor1d(a, b))
+    assert bound[24, 25] > 0.5 * len(np.setxor1d(sets[24], sets[25]))
+
+
+def test_blocks_of_a_cluster_meet(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK", 7)
+    monkeypatch.setattr(shingle_join, "STRIP", 3)
+    monkeypatch.setattr(shingle_join, "CLASS_FROM", (1, 4))
+    rows = copies(17, 90)
+    df = spark.createDataFrame([(i, t, "", "") for i, t in rows], DOCS).repartition(3)
+    got = near_documents(df).collect()
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == brute(rows, 80)

@@ -30,7 +30,7 @@ from tillwatch.llm.common import bound_batches, per_process
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 FIT_ROWS = 8_000
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 

@@ -13,9 +13,10 @@ is indexed for its own band and the next, since linked sets differ by at most on
 Frequencies are counted over all documents in a table of fixed width (shingles that share a cell share a
 count): order and classes steer cost only, never results.
 
-Equal sets are one node. Of the sets that share an entry each is first compared with one hub, so a group
-of near copies costs as many comparisons as it has members. Only sets that share an entry and whose linked
-groups still differ are then compared with each other. Links are verified on the full sets. Entries with
+Equal sets are one node. Of the sets that share an entry each is first compared with one hub, the set that
+shares most entries, so a group of near copies costs as many comparisons as it has members. Where the
+members of an entry are not yet one linked group, members of different groups are compared with each
+other, first by parity bits, which bound their difference from below. Links are verified on the full sets. Entries with
 frequent shingles are salted, so that each task sees a bounded share of them.
 """
 
@@ -37,7 +38,7 @@ from tillwatch.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 SKETCH_BITS = 20
 SLICE_BITS = 14
 #: Frequencies (above the table's background) from which combinations of 2 and 3 shingles are indexed.
@@ -46,6 +47,8 @@ SMALL_SET = 16
 PART_SHINGLES = 8
 HOT_ROWS = 4_096
 LEAST_PERCENT = 70
+BLOCK = 1_024
+STRIP = 256
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
@@ -82,6 +85,41 @@ def shingles(text: str, known: WordHashes, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed(total))
 
 
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """A bit per hash place, set where an odd number of shingles falls; about four places per shingle.
+
+    Two sets differ in at least as many shingles as their bits differ in places. Halves of a longer row of
+    bits fold onto each other, so rows of different length compare at the shorter one.
+    """
+    places = 1 << max(6, (4 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Least number of shingles by which each of ``left`` differs from each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    sizes = sorted({len(x) for x in (*left, *right)})
+    for p in sizes:
+        a = [i for i, x in enumerate(left) if len(x) == p]
+        if not a:
+            continue
+        x = np.frombuffer(b"".join(left[i] for i in a), "<u8").reshape(len(a), -1)
+        for q in sizes:
+            b = [i for i, y in enumerate(right) if len(y) == q]
+            if not b:
+                continue
+            y = np.frombuffer(b"".join(right[i] for i in b), "<u8").reshape(len(b), -1)
+            z = x
+            while y.shape[1] > z.shape[1]:
+                y = y[:, :y.shape[1] // 2] ^ y[:, y.shape[1] // 2:]
+            while z.shape[1] > y.shape[1]:
+                z = z[:, :z.shape[1] // 2] ^ z[:, z.shape[1] // 2:]
+            for i, row in zip(a, z, strict=True):
+                out[i, b] = np.bitwise_count(row ^ y).sum(axis=1)
+    return out
+
+
 def cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -145,27 +183,29 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = per_process("shingle words", WordHashes)
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        names = ["id", "mark", "node", "size", "bits", "slice", "counts"]
         for batch in batches:
-            node, size = [], []
+            node, size, bits = [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), known, words)
                 size.append(len(found))
+                bits.append(parity_bits(found))
                 node.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())))) if len(found) else None)
                 np.add.at(counts, cells(found), 1)
             n = len(node)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("mark"), pa.array(node, pa.int64()), pa.array(size, pa.int64()),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["id", "mark", "node", "size", "slice", "counts"])
+                 pa.array(bits, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         slices = np.flatnonzero(counts.reshape(-1, 1 << SLICE_BITS).any(axis=1))
         n = len(slices)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-             pa.array(slices, pa.int32()),
+             pa.nulls(n, pa.binary()), pa.array(slices, pa.int32()),
              pa.array([counts.reshape(-1, 1 << SLICE_BITS)[k].astype("<i8").tobytes() for k in slices], pa.binary())],
-            ["id", "mark", "node", "size", "slice", "counts"])
+            names)
 
-    return stage(
-        docs.mapInArrow(run, "id bigint, mark bigint, node bigint, size bigint, slice int, counts binary"), "nodes")
+    return stage(docs.mapInArrow(
+        run, "id bigint, mark bigint, node bigint, size bigint, bits binary, slice int, counts binary"), "nodes")
 
 
 def _frequencies(first: DataFrame) -> np.ndarray:
@@ -261,6 +301,67 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b").distinct()
 
 
+def _ordered_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+
+
+def _linked(rows, first, pairs, known, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs compared so far, these included, and the links among these."""
+    fresh = stage(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+    links = stage(_verified(fresh, _sets(rows, first, fresh, words), percent), "verified")
+    return fresh if known is None else known.union(fresh), links
+
+
+def _across_groups(ranked: DataFrame, groups: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different groups that share an entry and whose parity bits allow a link.
+
+    Entries with one hub are one cluster, so a pair is looked at once for all entries it shares under that
+    hub. Clusters are cut into blocks that meet pairwise.
+    """
+    grouped = ranked.select("sig", "node", "size", "entries", "hub", "hub_entries").join(
+        groups.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    mixed_up = grouped.groupBy("sig").agg(
+        F.min("group").alias("low"), F.max("group").alias("high"),
+        F.max(F.struct("hub_entries", "hub"))["hub"].alias("cluster")).where("low <> high")
+    open_ = stage(grouped.join(mixed_up.select("sig", "cluster"), "sig").select("cluster", "node", "size", "group").distinct(), "open")
+    bits = first.where("node is not null").select(F.col("node").alias("of"), "bits").join(
+        open_.select(F.col("node").alias("of")).distinct(), "of", "left_semi").groupBy("of").agg(F.max("bits").alias("bits"))
+    blocks = open_.groupBy(F.col("cluster").alias("c")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = open_.join(bits, F.col("node") == F.col("of")).join(blocks, F.col("cluster") == F.col("c")).select(
+        "cluster", "node", "size", "group", "bits", "blocks",
+        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")).select(
+        "*", F.explode(F.expr("transform(sequence(0, blocks - 1), k -> struct(least(k, own) as i, greatest(k, own) as j))"))
+        .alias("t")).select("cluster", "t.i", "t.j", "own", "node", "size", "group", "bits")
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        own, node, size, group = (table.column(c).to_numpy() for c in ("own", "node", "size", "group"))
+        bits = table.column("bits").to_pylist()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        pairs: list[np.ndarray] = []
+        for at in range(0, len(left), STRIP):
+            strip = left[at:at + STRIP]
+            n, m = size[strip][:, None].astype(np.int64), size[right][None, :].astype(np.int64)
+            may = (group[strip][:, None] != group[right][None, :]) & (
+                100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            if i == j:
+                may &= strip[:, None] < right[None, :]
+            rows, cols = may.any(axis=1), may.any(axis=0)
+            if not rows.any():
+                continue
+            strip, others, may = strip[rows], right[cols], may[np.ix_(rows, cols)]
+            n, m = size[strip][:, None].astype(np.int64), size[others][None, :].astype(np.int64)
+            # overlap o of sets of n and m that differ in d shingles: d = n + m - 2 o and 100 o >= percent (n + m - o)
+            differ = apart([bits[k] for k in strip], [bits[k] for k in others])
+            may &= (100 + percent) * (n + m - differ) >= 2 * percent * (n + m)
+            x, y = np.nonzero(may)
+            pairs.append(np.stack([node[strip[x]], node[others[y]]]))
+        found = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+        return pa.table({"a": found[0], "b": found[1]})
+
+    return _ordered_pairs(placed.groupBy("cluster", "i", "j").applyInArrow(compare, "a bigint, b bigint"), "a", "b")
+
+
 def near_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
@@ -290,38 +391,27 @@ def near_documents(
         .withColumn("before", F.lag("node").over(spot))
         # a set alone under its salt still meets the sets of the other salts
         .where("before <> node or (salted and before is null)").drop("before", "salted"), "shared")
-    hubs = shared.groupBy("sig", "salt").agg(F.first("hub").alias("node"), F.first("hub_size").alias("size"))
-    # hubs of one entry's salts are compared with the entry's smallest hub
-    spread = hubs.join(hubs.groupBy("sig").agg(F.min(F.struct("node", "size")).alias("top"), F.count("*").alias("n"))
-                       .where("n > 1"), "sig")
-    stars = shared.select("node", "size", "hub", "hub_size").union(
-        spread.select("node", "size", "top.node", "top.size")).where(F.col("node") != F.col("hub"))
-    pairs = stage(
-        stars.where(_fits("size", "hub_size", percent)).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(),
-        "pairs")
-    links = stage(_verified(pairs, _sets(rows, first, pairs, words), percent), "links")
-    groups = components(links).withColumnRenamed("component", "group")
-
-    # Entries whose members are not yet one group: compare members of different groups.
-    def grouped(df: DataFrame, node: str, name: str) -> DataFrame:
-        return df.join(groups.select(F.col("node").alias(node), F.col("group").alias(name)), node, "left").withColumn(
-            name, F.coalesce(name, node))
-
-    everyone = shared.select("sig", "node", "size").union(hubs.select("sig", "node", "size")).distinct()
-    everyone = grouped(everyone, "node", "group")
-    open_ = everyone.groupBy("sig").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    open_rows = stage(everyone.join(open_.select("sig"), "sig", "left_semi"), "open")
-    kinds = open_rows.select("sig", "group").distinct()
-    meet = kinds.select("sig", F.col("group").alias("g")).join(
-        kinds.select("sig", F.col("group").alias("h")), "sig").where("g < h")
-    left = open_rows.select("sig", F.col("group").alias("g"), F.col("node").alias("a"), F.col("size").alias("m"))
-    right = open_rows.select("sig", F.col("group").alias("h"), F.col("node").alias("b"), F.col("size").alias("n"))
-    more = meet.join(left, ["sig", "g"]).join(right, ["sig", "h"]).where(_fits("m", "n", percent)).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    known = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = stage(more.join(known, ["a", "b"], "left_anti"), "pairs")
-    late = _verified(more, _sets(rows, first, more, words), percent)
-    final = components(links.union(late))
+    # Of the sets of an entry the one that shares most entries is the hub: the text that others copied.
+    everyone = shared.select("sig", "salt", "node", "size").union(
+        shared.select("sig", "salt", F.col("hub").alias("node"), F.col("hub_size").alias("size"))).distinct()
+    known_by = everyone.groupBy("node").agg(F.count("*").alias("entries"))
+    best = Window.partitionBy("sig", "salt").orderBy(F.desc("entries"), "node")
+    ranked = stage(
+        everyone.join(known_by, "node").withColumn("nth", F.row_number().over(best))
+        .withColumn("hub", F.first("node").over(best)).withColumn("hub_size", F.first("size").over(best))
+        .withColumn("hub_entries", F.first("entries").over(best)), "ranked")
+    # hubs of one entry's salts are compared with the best hub of the entry
+    tops = ranked.where("nth = 1").groupBy("sig").agg(
+        F.max(F.struct("entries", "node", "size")).alias("top"), F.count("*").alias("salts")).where("salts > 1")
+    spread = ranked.where("nth = 1").join(tops, "sig").select("node", "size", "top.node", "top.size")
+    stars = ranked.select("node", "size", "hub", "hub_size").union(spread).where(F.col("node") != F.col("hub"))
+    known = _ordered_pairs(stars.where(_fits("size", "hub_size", percent)), "node", "hub")
+    known, links = _linked(rows, first, known, None, words, percent)
+
+    # Then the members of entries that are not yet one group, against those of other groups.
+    more = _across_groups(ranked, components(links), first, percent)
+    links = links.union(_linked(rows, first, more, known, words, percent)[1])
+    final = components(links)
 
     # Smallest id per node, then per component, then back to the rows.
     least = members.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
