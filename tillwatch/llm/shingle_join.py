@@ -47,7 +47,7 @@ SMALL_SET = 16
 PART_SHINGLES = 8
 HOT_ROWS = 4_096
 LEAST_PERCENT = 70
-BLOCK = 1_024
+BLOCK = 4_096
 STRIP = 256
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -120,6 +120,15 @@ def apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return out
 
 
+def may_link(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """Whether two sets of n and m shingles can link, by their parity bits.
+
+    With an overlap of o they differ in d = n + m - 2 o, and 100 o >= percent (n + m - o).
+    """
+    differ = int(apart([x], [y])[0, 0])
+    return (100 + percent) * (n + m - differ) >= 2 * percent * (n + m)
+
+
 def cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -312,6 +321,29 @@ def _linked(rows, first, pairs, known, words: int, percent: int) -> tuple[DataFr
     return fresh if known is None else known.union(fresh), links
 
 
+def _bits_of(first: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``of, size, bits`` of the given nodes."""
+    nodes = stage(nodes, "nodes")
+    return first.where("node is not null").select(F.col("node").alias("of"), "size", "bits").join(
+        small_side(nodes, nodes.count()), "of", "left_semi").groupBy("of").agg(
+        F.max("size").alias("of_size"), F.max("bits").alias("bits"))
+
+
+def _possible(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the parity bits, a fraction of the size of the sets, do not rule out."""
+    pairs = stage(pairs, "stars")
+    bits = _bits_of(first, pairs.select(F.col("a").alias("of")).union(pairs.select("b")).distinct())
+    a = bits.select(F.col("of").alias("a"), F.col("of_size").alias("n"), F.col("bits").alias("x"))
+    b = bits.select(F.col("of").alias("b"), F.col("of_size").alias("m"), F.col("bits").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("x", "y", "n", "m")]
+            yield batch.select(["a", "b"]).filter(pa.array([may_link(*row, percent) for row in zip(*cols, strict=True)], pa.bool_()))
+
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(run, "a bigint, b bigint")
+
+
 def _across_groups(ranked: DataFrame, groups: DataFrame, first: DataFrame, percent: int) -> DataFrame:
     """Pairs of different groups that share an entry and whose parity bits allow a link.
 
@@ -324,8 +356,7 @@ def _across_groups(ranked: DataFrame, groups: DataFrame, first: DataFrame, perce
         F.min("group").alias("low"), F.max("group").alias("high"),
         F.max(F.struct("hub_entries", "hub"))["hub"].alias("cluster")).where("low <> high")
     open_ = stage(grouped.join(mixed_up.select("sig", "cluster"), "sig").select("cluster", "node", "size", "group").distinct(), "open")
-    bits = first.where("node is not null").select(F.col("node").alias("of"), "bits").join(
-        open_.select(F.col("node").alias("of")).distinct(), "of", "left_semi").groupBy("of").agg(F.max("bits").alias("bits"))
+    bits = _bits_of(first, open_.select(F.col("node").alias("of")).distinct())
     blocks = open_.groupBy(F.col("cluster").alias("c")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = open_.join(bits, F.col("node") == F.col("of")).join(blocks, F.col("cluster") == F.col("c")).select(
         "cluster", "node", "size", "group", "bits", "blocks",
@@ -351,7 +382,6 @@ def _across_groups(ranked: DataFrame, groups: DataFrame, first: DataFrame, perce
                 continue
             strip, others, may = strip[rows], right[cols], may[np.ix_(rows, cols)]
             n, m = size[strip][:, None].astype(np.int64), size[others][None, :].astype(np.int64)
-            # overlap o of sets of n and m that differ in d shingles: d = n + m - 2 o and 100 o >= percent (n + m - o)
             differ = apart([bits[k] for k in strip], [bits[k] for k in others])
             may &= (100 + percent) * (n + m - differ) >= 2 * percent * (n + m)
             x, y = np.nonzero(may)
@@ -405,7 +435,7 @@ def near_documents(
         F.max(F.struct("entries", "node", "size")).alias("top"), F.count("*").alias("salts")).where("salts > 1")
     spread = ranked.where("nth = 1").join(tops, "sig").select("node", "size", "top.node", "top.size")
     stars = ranked.select("node", "size", "hub", "hub_size").union(spread).where(F.col("node") != F.col("hub"))
-    known = _ordered_pairs(stars.where(_fits("size", "hub_size", percent)), "node", "hub")
+    known = _possible(_ordered_pairs(stars.where(_fits("size", "hub_size", percent)), "node", "hub"), first, percent)
     known, links = _linked(rows, first, known, None, words, percent)
 
     # Then the members of entries that are not yet one group, against those of other groups.
