@@ -145,3 +145,6 @@ def chain(prefix: str, source: str) -> None:
 # Rows that were on time when they arrived; rows whose JSON can be read.
 chain("ontime_", "SELECT * FROM arrivals WHERE NOT late")
 chain("ok_", "SELECT * FROM payments WHERE ms % 500 <> 3")
+# Readable rows of transactions that first arrived on time, with all their copies.
+chain("steady_", """SELECT * FROM payments WHERE ms % 500 <> 3
+  AND transaction_id IN (SELECT transaction_id FROM arrivals WHERE NOT late)""")

@@ -348,8 +348,13 @@ oracle("a23_success_by_channel", SUCCESS)
 oracle("e3_success_by_channel", f"SELECT channel, date_day, success_rate FROM ({SUCCESS})")
 oracle("q8_success_drift", """
 SELECT channel, dt::VARCHAR AS date_day, txns, round(rate, 6) AS success_rate,
-  round(rate - lag(rate) OVER (PARTITION BY channel ORDER BY dt), 6) AS delta
-FROM (SELECT channel, dt, count(*) AS txns, count(*) FILTER (status = 'SUCCESS') / count(*) AS rate FROM clean GROUP BY ALL)""")
+  round(rate - lag(rate) OVER (PARTITION BY channel ORDER BY dt), 6) AS delta,
+  round(fund / nullif(failed, 0), 6) AS share_insufficient_fund, round(declined / nullif(failed, 0), 6) AS share_card_declined,
+  round(timeout / nullif(failed, 0), 6) AS share_timeout
+FROM (SELECT channel, dt, count(*) AS txns, count(*) FILTER (status = 'SUCCESS') / count(*) AS rate,
+  count(*) FILTER (status = 'FAILED') AS failed, count(*) FILTER (status = 'FAILED' AND failure_reason = 'INSUFFICIENT_FUND') AS fund,
+  count(*) FILTER (status = 'FAILED' AND failure_reason = 'CARD_DECLINED') AS declined,
+  count(*) FILTER (status = 'FAILED' AND failure_reason = 'TIMEOUT') AS timeout FROM clean GROUP BY ALL)""")
 BLOCK_RATE = """
 SELECT h.k * 3600000 AS hour, h.txns, h.blocked, round(h.rate, 6) AS block_rate, round(w.rate, 6) AS week_ago_rate,
   round(h.rate - w.rate, 6) AS delta, sparkline
@@ -373,13 +378,13 @@ SELECT minute_of_day, sum(gmv) FILTER (d = DATE '{{day}}')::BIGINT AS gmv,
 FROM f GROUP BY 1"""
 oracle("a25_gmv_band", BAND.format(day="2024-01-29"))
 oracle("e2_gmv_vs_band", BAND.format(day="2024-01-30"))
-oracle("a27_card_testing_economics", """
-SELECT device_hash, count(*) AS chains, sum(chain_len)::BIGINT AS test_transactions, sum(large_amount_vnd)::BIGINT AS large_amount_vnd
-FROM alerts JOIN card_attacks USING (transaction_id) WHERE alert_type = 'CARD_TESTING' GROUP BY device_hash""")
-oracle("q3_card_testing_devices", """
-SELECT device_hash, count(*) AS chains, sum(chain_len)::BIGINT AS test_transactions, sum(large_amount_vnd)::BIGINT AS large_amount_vnd
-FROM alerts JOIN card_attacks USING (transaction_id) WHERE alert_type = 'CARD_TESTING' GROUP BY device_hash
-ORDER BY large_amount_vnd DESC, device_hash""")
+for name in ("a27_card_testing_economics", "q3_card_testing_devices"):
+    oracle(name, """
+SELECT device_hash, count(*) AS chains, sum(chain_len)::BIGINT AS test_transactions,
+  coalesce(sum(large_amount_vnd) FILTER (decision = 'BLOCK'), 0)::BIGINT AS blocked_vnd,
+  coalesce(sum(large_amount_vnd) FILTER (decision <> 'BLOCK'), 0)::BIGINT AS passed_vnd
+FROM alerts a JOIN card_attacks USING (transaction_id) JOIN decided d USING (transaction_id)
+WHERE a.alert_type = 'CARD_TESTING' GROUP BY device_hash""")
 cte("kpi_days", """
 SELECT b.dt, m.gmv, m.net_revenue, m.net_revenue / nullif(m.gmv, 0) AS net_take_rate, success_rate, net_fraud_prevented
 FROM (SELECT dt, count(*) FILTER (status = 'SUCCESS') / count(*) AS success_rate FROM clean GROUP BY dt) b
@@ -413,8 +418,11 @@ FROM a FULL JOIN b USING (date_day, rule_type) GROUP BY rule_type"""
 oracle("w8_rule_before_after", BEFORE_AFTER.format(cov="0"))
 oracle("q1_rule_worth", BEFORE_AFTER.format(cov="0.3"))
 oracle("q2_vip_wrongly_blocked", """
-SELECT user_id, count(*) AS fp_count, sum(amount_vnd)::BIGINT AS amount_vnd FROM outcomes
-WHERE account_tier = 'VIP' AND flagged AND NOT is_fraud_confirmed GROUP BY user_id""")
+SELECT user_id, count(*) AS fp_count, sum(amount_vnd)::BIGINT AS amount_vnd,
+  round(sum(amount_vnd)::DOUBLE * any_value(gross_margin_rate)::DOUBLE
+    + count(*) * any_value(vip_churn_risk)::DOUBLE * any_value(vip_annual_value)::DOUBLE, 2) AS friction_cost_vnd
+FROM outcomes, cost_assumptions
+WHERE account_tier = 'VIP' AND decision = 'BLOCK' AND NOT is_fraud_confirmed GROUP BY user_id""")
 oracle("q4_missed_fraud", """
 SELECT channel, industry, count(*) AS missed, sum(amount_vnd)::BIGINT AS amount_vnd
 FROM outcomes LEFT JOIN merchant_industry USING (merchant_id)
@@ -447,7 +455,11 @@ oracle("qa_not_null", """
 SELECT * FROM (SELECT 'account_tier' AS column_name, count(*) - count(account_tier) AS nulls FROM enriched
   UNION ALL SELECT 'amount_vnd', count(*) - count(amount_vnd) FROM enriched) WHERE nulls > 0""")
 oracle("qb_accepted_values", """
-SELECT 'status' AS column_name, status AS value, count(*) AS rows FROM enriched WHERE status NOT IN ('SUCCESS', 'PENDING') GROUP BY status""")
+WITH rows AS (SELECT CASE WHEN ms % 97 = 5 THEN 'REVERSED' ELSE status END AS status, channel, account_tier FROM enriched),
+cells AS (SELECT unnest([{'c': 'status', 'v': status}, {'c': 'channel', 'v': channel}, {'c': 'account_tier', 'v': account_tier}]) AS x FROM rows)
+SELECT x.c AS column_name, x.v AS value, count(*) AS rows FROM cells
+WHERE (x.c = 'status' AND x.v NOT IN ('SUCCESS', 'FAILED', 'PENDING')) OR (x.c = 'channel' AND x.v NOT IN ('WEB', 'APP', 'POS'))
+  OR (x.c = 'account_tier' AND x.v NOT IN ('BRONZE', 'SILVER', 'GOLD', 'VIP')) GROUP BY ALL""")
 oracle("qb_lifecycle_states", """
 SELECT 'state' AS column_name, state AS value, count(*) AS rows FROM life_states 
 WHERE state NOT IN ('HIGH_RISK_SUSPENDED', 'NEW', 'CHURNED', 'DORMANT', 'AT_RISK', 'HIGHLY_ACTIVE', 'ACTIVE') GROUP BY state""")

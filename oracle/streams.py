@@ -57,7 +57,7 @@ SELECT rule_id, rule_type, action AS decision, count(*) AS txns FROM (
   QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY priority DESC, version DESC, rule_id DESC) = 1)
 GROUP BY rule_id, rule_type, action"""
 oracle("p5_scope_match", WINNER.format(
-    cond="rule_id IN (SELECT rule_id FROM live_rules WHERE scope IS NOT NULL) AND rule_id <> 'R-080'"))
+    cond="rule_id IN (SELECT rule_id FROM live_rules WHERE scope IS NOT NULL)"))
 oracle("p6_rule_active", WINNER.format(cond="rule_id IN ('R-014', 'R-030', 'R-070')"))
 oracle("p7_rule_predicates", """
 SELECT rule_id, rule_type, action AS decision, count(*) AS txns FROM (
@@ -210,9 +210,11 @@ FROM ok_decided JOIN runs USING (transaction_id) GROUP BY ALL""")
 oracle("x8_stream_decisions", "SELECT transaction_id, decision, rule_id, rule_type FROM ok_decided")
 oracle("x9_card_testing_stream", """
 SELECT device_id, alert_txn AS transaction_id, b_ms AS event_ms, large_amount_vnd, chain_len,
-  min(ms) OVER (PARTITION BY alert_txn) AS chain_start_ms, transaction_id AS evidence_id FROM chains WHERE chain_len >= 5""")
+  min(ms) OVER (PARTITION BY alert_txn) AS chain_start_ms, transaction_id AS evidence_id FROM chains
+WHERE chain_len >= 5 AND b_ms < (SELECT max(ms) FROM clean) - 10000""")
 oracle("x10_travel_stream", """
-SELECT user_id, transaction_id, ms AS event_ms, prev_transaction_id, round(km, 3) AS km, gap_ms FROM travel""")
+SELECT user_id, transaction_id, ms AS event_ms, prev_transaction_id, round(km, 3) AS km, gap_ms FROM travel
+WHERE ms < (SELECT max(ms) FROM clean) - 10000""")
 oracle("x11_stream_points", """
 SELECT transaction_id, total_15m, multiplier::BIGINT AS multiplier, points::BIGINT AS points FROM ok_points_of WHERE eligible""")
 oracle("x12_sliding_stream", """
@@ -221,6 +223,14 @@ FROM points_of, range(0, 15) g(k) WHERE eligible AND (ms // 60000 - k) * 60000 +
   <= (SELECT max(ms) FROM points_of WHERE eligible) - 10000 GROUP BY ALL""")
 oracle("x14_resume", "SELECT dt::VARCHAR AS dt, count(*) AS txns, count(*) AS distinct_txns FROM ok_clean GROUP BY dt")
 oracle("x15_live_metrics", """
+WITH seen AS (SELECT *, max(ms) OVER (ORDER BY ingested_ms RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM ok_clean)
 SELECT count(*) AS events, round(quantile_cont(ingested_ms - ms, 0.5), 6) AS lag_p50_ms,
   round(quantile_cont(ingested_ms - ms, 0.95), 6) AS lag_p95_ms, round(quantile_cont(ingested_ms - ms, 0.99), 6) AS lag_p99_ms,
-  0::DOUBLE AS late_rate, 0::BIGINT AS rules_not_ready FROM ok_clean""")
+  0::DOUBLE AS late_rate, round(avg(coalesce(ms < top, false)::INTEGER), 6) AS out_of_order_rate,
+  max(ingested_ms) - max(ms) + 10000 AS watermark_lag_ms FROM seen""")
+oracle("x8_micro_batches", """
+SELECT 'decision' AS kind, transaction_id AS id, concat(decision, ' ', coalesce(rule_id, '-')) AS value FROM steady_decided
+UNION ALL SELECT 'alert', alert_id, severity FROM steady_alerts
+UNION ALL SELECT 'points', transaction_id, concat(total_15m, ' ', points::BIGINT) FROM steady_points_of WHERE eligible
+UNION ALL SELECT 'minute', (ms // 60000 * 60000)::VARCHAR, concat(count(*), ' ',
+  coalesce(sum(amount_vnd) FILTER (status = 'SUCCESS' AND txn_type = 'PAYMENT'), 0)::BIGINT) FROM steady_clean GROUP BY ms // 60000""")

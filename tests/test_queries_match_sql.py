@@ -6,9 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from oracle import oracle_texts
+from tillwatch.catalog import QUERIES as OWN
 
 SF = "/root/testdata/sf0.001"
-QUERIES, TEXTS = registered.queries(), registered.oracle_sql()
+QUERIES = {name: fn for name, fn in registered.queries().items() if name in OWN}
+TEXTS = oracle_texts()
 
 
 @pytest.fixture(scope="module")

@@ -159,7 +159,7 @@ def _rule_hits(c: Context, rules: DataFrame):
 
 @query("p5_scope_match")
 def _(c: Context):
-    scoped = c.wh.rules.where("scope IS NOT NULL AND rule_id <> 'R-080'")
+    scoped = c.wh.rules.where("scope IS NOT NULL")
     return _rule_hits(c, scoped)
 
 
@@ -466,7 +466,7 @@ def _(c: Context):
 
 @query("a27_card_testing_economics")
 def _(c: Context):
-    return screens.card_testing_devices(c.wh.alerts, c.wh.card_testing)
+    return screens.card_testing_devices(c.wh.alerts, c.wh.card_testing, c.wh.decided)
 
 
 @query("a28_kpi_row")
@@ -644,8 +644,11 @@ def _(c: Context):
 
 @query("qb_accepted_values")
 def _(c: Context):
-    return quality.not_accepted(_enriched_once(c), {
-        "status": ("SUCCESS", "PENDING"), "channel": schemas.CHANNELS, "account_tier": schemas.TIERS})
+    # every 97th millisecond a row is given a status that the contract does not know
+    odd = F.pmod(F.unix_millis("event_ts"), F.lit(97)) == 5
+    rows = _enriched_once(c).withColumn("status", F.when(odd, "REVERSED").otherwise(F.col("status")))
+    return quality.not_accepted(rows, {
+        "status": schemas.STATUSES, "channel": schemas.CHANNELS, "account_tier": schemas.TIERS})
 
 
 @query("qb_lifecycle_states")
@@ -709,13 +712,13 @@ def _(c: Context):
 
 @query("q2_vip_wrongly_blocked")
 def _(c: Context):
-    return screens.vip_wrongly_blocked(c.wh.outcomes)
+    return screens.vip_wrongly_blocked(c.wh.outcomes, c.seeds.cost_assumptions)
 
 
 @query("q3_card_testing_devices")
 def _(c: Context):
-    return screens.card_testing_devices(c.wh.alerts, c.wh.card_testing).orderBy(
-        F.desc("large_amount_vnd"), "device_hash")
+    return screens.card_testing_devices(c.wh.alerts, c.wh.card_testing, c.wh.decided).orderBy(
+        F.desc("blocked_vnd"), F.desc("passed_vnd"), "device_hash")
 
 
 @query("q4_missed_fraud")
@@ -743,7 +746,7 @@ def _(c: Context):
 def _(c: Context):
     from pyspark.sql import Window as W
 
-    daily = screens.success_by_channel(c.wh.clean).select("channel", "date_day", "txns", "success_rate")
+    daily = screens.success_by_channel(c.wh.clean)
     by_day = W.partitionBy("channel").orderBy("date_day")
     return daily.withColumn("delta", F.col("success_rate") - F.lag("success_rate").over(by_day))
 

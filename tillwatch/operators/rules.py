@@ -3,6 +3,10 @@
 A rule is a candidate when it is enabled, effective at event time, its scope equals the attributes of
 the transaction and the predicate of its type holds. Among candidates the highest priority wins, then
 the higher version, then the higher id.
+
+Rules are first brought into one typed form; a rule that cannot be (unknown type, missing or unreadable
+parameter, scope on an unknown attribute) never matches and is reported with its problem. Few rules
+become one expression, many are joined on their scope: both read the same typed form and answer alike.
 """
 
 from __future__ import annotations
@@ -18,6 +22,9 @@ from tillwatch.operators.trailing import trailing_sums
 COMPILE_LIMIT = 200
 # The same for the device ids of all blacklists together.
 COMPILE_DEVICES = 10_000
+# Attributes of an enriched transaction that a scope may name.
+RULE_ATTRIBUTES = ["account_tier", "channel", "currency", "device_id", "home_country", "ip_address", "kyc_status",
+                   "merchant_id", "status", "txn_type", "user_id"]
 
 
 def active_rules(changes: DataFrame) -> DataFrame:
@@ -29,6 +36,38 @@ def active_rules(changes: DataFrame) -> DataFrame:
     return newest.where(alive)
 
 
+def checked_rules(rules: DataFrame, attributes: list[str] = RULE_ATTRIBUTES) -> DataFrame:
+    """Rules in typed form, with ``problem`` set where a rule cannot be applied.
+
+    ``entries`` is the scope as (key, value) pairs in order of the key; ``limit`` the number that the
+    transaction must exceed, ``word`` the value it must equal, ``devices`` the list it must be in.
+    """
+    if "problem" in rules.columns:
+        return rules
+    kind, p = F.col("rule_type"), F.col("params")
+    limit = F.when(kind == "AMOUNT_THRESHOLD", F.expr("try_cast(params['max_amount_vnd'] AS bigint)")).when(
+        kind == "VELOCITY", F.expr("try_cast(params['max_count'] AS bigint)"))
+    window = F.when(kind == "VELOCITY", F.expr("try_cast(params['window_sec'] AS bigint)"))
+    word = F.when(kind == "COUNTRY_BLOCK", p["country"]).when(kind == "CHANNEL_BLOCK", p["channel"])
+    devices = F.when(kind == "DEVICE_BLACKLIST", F.array_distinct(F.split(p["device_ids"], ",")))
+    entries = F.coalesce(F.array_sort(F.map_entries("scope")), F.expr("cast(array() AS array<struct<key:string,value:string>>)"))
+    typed = rules.select(
+        "rule_id", "rule_type", "action", "priority", "version", "effective_from", entries.alias("entries"),
+        limit.alias("limit"), window.alias("window_sec"), word.alias("word"), devices.alias("devices"))
+    known = F.array(*[F.lit(a) for a in attributes])
+    problem = (
+        F.when(F.col("rule_id").isNull() | F.col("action").isNull() | F.col("priority").isNull()
+               | F.col("version").isNull() | F.col("effective_from").isNull(), "incomplete")
+        .when(F.exists("entries", lambda e: ~F.array_contains(known, e["key"]) | e["value"].isNull()), "scope")
+        .when(kind.isin("AMOUNT_THRESHOLD", "VELOCITY") & F.col("limit").isNull(), "limit")
+        .when((kind == "VELOCITY") & ~F.coalesce(F.col("window_sec") > 0, F.lit(False)), "window")
+        .when(kind.isin("COUNTRY_BLOCK", "CHANNEL_BLOCK") & F.col("word").isNull(), "word")
+        .when((kind == "DEVICE_BLACKLIST") & F.col("devices").isNull(), "devices")
+        .when(~F.coalesce(kind.isin("AMOUNT_THRESHOLD", "VELOCITY", "COUNTRY_BLOCK", "CHANNEL_BLOCK", "DEVICE_BLACKLIST"),
+                          F.lit(False)), "type"))
+    return typed.withColumn("problem", problem)
+
+
 def _velocity(window_sec: int) -> str:
     return f"_txns_{window_sec}s"
 
@@ -58,40 +97,36 @@ def with_velocity(
     return payments
 
 
-def _velocity_thresholds(rules: DataFrame) -> dict[int, int]:
-    p = F.col("params")
-    return {int(r[0]): int(r[1]) for r in (
-        rules.where("rule_type = 'VELOCITY'").groupBy(p["window_sec"].cast("bigint"))
-        .agg(F.min(p["max_count"].cast("bigint"))).collect())}
+def _thresholds(rules: DataFrame) -> dict[int, int]:
+    """Smallest count per velocity window. Each distinct window costs one shuffle of narrow rows."""
+    return {r["window_sec"]: r["least"] for r in rules.where("rule_type = 'VELOCITY'").groupBy("window_sec").agg(
+        F.min("limit").alias("least")).collect()}
 
 
 def _predicate(rule: Row) -> Column:
-    p = rule["params"] or {}
     kind = rule["rule_type"]
     if kind == "AMOUNT_THRESHOLD":
-        return F.col("amount_vnd") > int(p["max_amount_vnd"])
+        return F.col("amount_vnd") > rule["limit"]
     if kind == "COUNTRY_BLOCK":
-        return F.col("home_country") == p["country"]
+        return F.col("home_country") == rule["word"]
     if kind == "DEVICE_BLACKLIST":
-        return F.col("device_id").isin(p["device_ids"].split(","))
+        return F.col("device_id").isin(rule["devices"])
     if kind == "VELOCITY":
-        return F.col(_velocity(int(p["window_sec"]))) > int(p["max_count"])
-    if kind == "CHANNEL_BLOCK":
-        return F.col("channel") == p["channel"]
-    return F.lit(False)
+        return F.col(_velocity(rule["window_sec"])) > rule["limit"]
+    return F.col("channel") == rule["word"]
 
 
 def _condition(rule: Row) -> Column:
     cond = (F.col("event_ts") >= F.lit(rule["effective_from"])) & _predicate(rule)
-    for key, value in (rule["scope"] or {}).items():
-        cond = cond & (F.col(key) == value)
+    for entry in rule["entries"]:
+        cond = cond & (F.col(entry["key"]).cast("string") == entry["value"])
     return cond
 
 
 def _compiled(payments: DataFrame, rules: list[Row]) -> DataFrame:
     """Few rules: one chain of conditions per row, no join and no shuffle."""
     ordered = sorted(
-        rules, key=lambda r: (r["priority"], r["version"], r["rule_id"]), reverse=True)
+        rules, key=lambda r: (r["priority"], r["version"], r["rule_id"], r["rule_type"], r["action"]), reverse=True)
     verdict = F.coalesce(*[
         F.when(_condition(r), F.struct(
             F.lit(r["rule_id"]).alias("rule_id"), F.lit(r["rule_type"]).alias("rule_type"),
@@ -100,62 +135,52 @@ def _compiled(payments: DataFrame, rules: list[Row]) -> DataFrame:
     return payments.withColumn("_v", verdict).select(*payments.columns, "_v.*")
 
 
-def _scope_key(entries: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(entries), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
-
-
 def _with_device_scopes(rules: DataFrame) -> DataFrame:
     """Blacklists as one row per device, the device being one more attribute of the scope.
 
-    A long list then meets the transactions through the join key, not by a search in every row.
+    A long list then meets the transactions through the join key, not by a search in every row. A scope
+    that already names a device keeps only that one.
     """
-    rules = rules.withColumn("scope", F.coalesce("scope", F.expr("cast(map() AS map<string,string>)")))
-    is_list = F.col("rule_type") == "DEVICE_BLACKLIST"
-    listed = (
-        rules.where(is_list)
-        .withColumn("_device", F.explode(F.split(F.col("params")["device_ids"], ",")))
-        .withColumn("scope", F.map_concat("scope", F.create_map(F.lit("device_id"), "_device")))
-        .withColumn("params", F.lit(None).cast("map<string,string>"))
-        .drop("_device"))
-    return rules.where(~is_list).unionByName(listed)
+    own = F.expr("get(filter(entries, e -> e.key = 'device_id'), 0).value")
+    listed = rules.withColumn("device", F.explode_outer("devices")).where(
+        F.col("devices").isNull() | (F.col("device").isNotNull() & (own.isNull() | (own == F.col("device")))))
+    added = F.array_sort(F.concat("entries", F.array(F.struct(F.lit("device_id").alias("key"), F.col("device").alias("value")))))
+    return listed.withColumn(
+        "entries", F.when(F.col("device").isNotNull() & own.isNull(), added).otherwise(F.col("entries"))).drop("device", "devices")
 
 
 def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFrame:
-    """Many rules: equi-join on the canonical scope, then the best match per transaction.
+    """Many rules: equi-join on the scope, then the best match per transaction.
 
-    The distinct sets of scope keys (a handful of column-name lists) are read to the driver; the
-    rules themselves stay distributed. Partial aggregation keeps one match per transaction and task.
+    The distinct sets of scope keys are read to the driver (subsets of the known attributes); the rules
+    themselves stay distributed. Partial aggregation keeps one match per transaction and task.
     """
-    rules = _with_device_scopes(rules)
-    keyed = rules.select(
-        _scope_key(F.map_entries("scope")).alias("scope_key"),
+    keyed = _with_device_scopes(rules).select(
+        F.col("entries").alias("scope_key"),
         F.struct("priority", "version", "rule_id", "rule_type", "action").alias("verdict"),
-        "rule_type", "params", "effective_from")
-    shapes = [tuple(r[0]) for r in
-              rules.select(F.array_sort(F.map_keys("scope"))).distinct().collect()]
+        "rule_type", "limit", "window_sec", "word", "effective_from")
+    shapes = [tuple(r[0]) for r in keyed.select(F.transform("scope_key", lambda e: e["key"])).distinct().collect()]
 
     def key_of(shape: tuple) -> Column:
-        if not shape:
-            return F.lit("")
-        # concat is null as soon as one attribute is null: such a row cannot match the scope
-        return F.concat(*[part for i, k in enumerate(shape)
-                          for part in (F.lit(("|" if i else "") + k + "="), F.col(k).cast("string"))])
-
-    counts = F.create_map(*[x for sec in windows for x in (F.lit(str(sec)), F.col(_velocity(sec)))]) \
-        if windows else F.lit(None).cast("map<string,bigint>")
+        pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in shape]) if shape \
+            else F.expr("cast(array() AS array<struct<key:string,value:string>>)")
+        present = F.lit(True)
+        for k in shape:
+            present = present & F.col(k).isNotNull()
+        return F.when(present, pairs)  # a row without one of the attributes cannot match the scope
+
+    counts = F.create_map(*[x for sec in windows for x in (F.lit(sec).cast("bigint"), F.col(_velocity(sec)))]) \
+        if windows else F.lit(None).cast("map<bigint,bigint>")
     probes = payments.select(
-        "transaction_id", "event_ts", "amount_vnd", "home_country", "channel",
-        counts.alias("counts"),
+        "transaction_id", "event_ts", "amount_vnd", "home_country", "channel", counts.alias("counts"),
         F.explode(F.array_compact(F.array(*[key_of(s) for s in shapes]))).alias("scope_key"))
-    p = F.col("params")
+    kind = F.col("rule_type")
     holds = (
-        F.when(F.col("rule_type") == "AMOUNT_THRESHOLD",
-               F.col("amount_vnd") > p["max_amount_vnd"].cast("bigint"))
-        .when(F.col("rule_type") == "COUNTRY_BLOCK", F.col("home_country") == p["country"])
-        .when(F.col("rule_type") == "DEVICE_BLACKLIST", F.lit(True))
-        .when(F.col("rule_type") == "VELOCITY",
-              F.col("counts")[p["window_sec"]] > p["max_count"].cast("bigint"))
-        .when(F.col("rule_type") == "CHANNEL_BLOCK", F.col("channel") == p["channel"]))
+        F.when(kind == "AMOUNT_THRESHOLD", F.col("amount_vnd") > F.col("limit"))
+        .when(kind == "COUNTRY_BLOCK", F.col("home_country") == F.col("word"))
+        .when(kind == "DEVICE_BLACKLIST", F.lit(True))
+        .when(kind == "VELOCITY", F.col("counts")[F.col("window_sec")] > F.col("limit"))
+        .when(kind == "CHANNEL_BLOCK", F.col("channel") == F.col("word")))
     best = (
         probes.join(keyed, "scope_key").where((F.col("effective_from") <= F.col("event_ts")) & holds)
         .groupBy("transaction_id").agg(F.max("verdict").alias("_v")))
@@ -164,37 +189,33 @@ def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFr
         .select(*payments.columns, "_v.rule_id", "_v.rule_type", F.col("_v.action").alias("decision")))
 
 
-def _listed_devices(rules: list[Row]) -> int:
-    return sum(r["params"]["device_ids"].count(",") + 1
-               for r in rules if r["rule_type"] == "DEVICE_BLACKLIST")
-
-
 def decide(
     enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_LIMIT,
     recent: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``decision``, ``rule_id``, ``rule_type`` and ``rules_not_ready``.
 
-    ``enriched`` needs unique transactions with ``amount_vnd`` and profile columns; ``rules`` are
-    active rules; ``recent`` are earlier rows that velocity rules must see. Blocked rows are flagged,
-    not removed. Without any rule every row passes and carries ``rules_not_ready``.
+    ``enriched`` needs unique transactions with ``amount_vnd`` and profile columns; ``rules`` are active
+    rules, checked or not; ``recent`` are earlier rows that velocity rules must see. Blocked rows are
+    flagged, not removed. Without any usable rule every row passes and carries ``rules_not_ready``.
+    A caller whose rules can change while it runs passes one kept snapshot.
     """
-    rows = rules.limit(compile_limit + 1).collect()
+    usable = checked_rules(rules).where("problem IS NULL").drop("problem")
+    rows = usable.limit(compile_limit + 1).collect()
     columns = enriched.columns
     if not rows:
         out = enriched.withColumns({
             "rule_id": F.lit(None).cast("string"), "rule_type": F.lit(None).cast("string"),
             "decision": F.lit(None).cast("string")})
-    elif len(rows) <= compile_limit and _listed_devices(rows) <= COMPILE_DEVICES:
+    elif len(rows) <= compile_limit and sum(len(r["devices"] or []) for r in rows) <= COMPILE_DEVICES:
         thresholds: dict[int, int] = {}
         for r in rows:
             if r["rule_type"] == "VELOCITY":
-                sec, count = int(r["params"]["window_sec"]), int(r["params"]["max_count"])
-                thresholds[sec] = min(count, thresholds.get(sec, count))
+                thresholds[r["window_sec"]] = min(r["limit"], thresholds.get(r["window_sec"], r["limit"]))
         out = _compiled(with_velocity(enriched, thresholds, recent), rows)
     else:
-        thresholds = _velocity_thresholds(rules)
-        out = _joined(with_velocity(enriched, thresholds, recent), rules, sorted(thresholds))
+        thresholds = _thresholds(usable)
+        out = _joined(with_velocity(enriched, thresholds, recent), usable, sorted(thresholds))
     return out.select(
         *columns, "rule_id", "rule_type", F.coalesce("decision", F.lit("PASS")).alias("decision"),
         F.lit(not rows).alias("rules_not_ready"))

@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_SCENARIOS = 1_000
-
 
 def per_scenario(aggregated: DataFrame, costs: DataFrame) -> DataFrame:
     """Repeat every (already aggregated) row for every scenario, assumptions in the struct ``c``.
 
-    The seed is a sheet a person edits; it is read once and becomes literals, so all scenarios are
-    computed in one pass over the facts and without a join.
+    The sheet of scenarios becomes one value by a scalar subquery: all scenarios are computed in one pass
+    over the facts, without a join, and their number has no limit.
     """
-    rows = costs.limit(MAX_SCENARIOS + 1).collect()
-    if not rows or len(rows) > MAX_SCENARIOS:
-        raise ValueError(f"cost assumptions need 1 to {MAX_SCENARIOS} scenarios")
-    scenarios: list[Column] = [
-        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in costs.schema.fields])
-        for row in rows]
-    return aggregated.withColumn("c", F.explode(F.array(*scenarios))).withColumn(
+    sheet = costs.agg(F.collect_list(F.struct(*costs.columns))).scalar()
+    return aggregated.withColumn("_sheet", sheet).withColumn("c", F.explode("_sheet")).drop("_sheet").withColumn(
         "scenario", F.col("c.scenario"))

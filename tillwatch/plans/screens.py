@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillwatch.functions.exprs import grid_cell, is_gmv, ratio, sum_if
+from tillwatch.functions.exprs import grid_cell, is_gmv, money, ratio, rounded_money, sum_if
 from tillwatch.operators.quantiles import exact_percentiles
 from tillwatch.operators.slices import slice_of
 from tillwatch.plans import fraud
+from tillwatch.plans.assumptions import per_scenario
 from tillwatch.plans.merchant import roll_up
 
 
@@ -216,21 +217,31 @@ def rule_before_after(fraud_fact: DataFrame, deployed: str, min_coverage: float
         .withColumn("switch_off", F.col("delta_friction_cost") > F.col("delta_net_loss_prevented")))
 
 
-def vip_wrongly_blocked(outcome: DataFrame) -> DataFrame:
-    """VIP users with flagged legitimate transactions: one row per user, so the list stays whole."""
-    return (
-        outcome.where("account_tier = 'VIP' AND flagged AND is_fraud_confirmed = false")
-        .groupBy("user_id").agg(F.count("*").alias("fp_count"), F.sum("amount_vnd").alias("amount_vnd")))
+def vip_wrongly_blocked(outcome: DataFrame, costs: DataFrame) -> DataFrame:
+    """VIP users with blocked legitimate transactions and what the blocks cost, one row per user.
+
+    The cost is the margin of the lost sales plus the expected value lost if the customer leaves.
+    """
+    counted = outcome.where("account_tier = 'VIP' AND decision = 'BLOCK' AND is_fraud_confirmed = false").groupBy(
+        "user_id").agg(F.count("*").alias("fp_count"), F.sum("amount_vnd").alias("amount_vnd"))
+    friction = (money(F.col("amount_vnd")) * F.col("c.gross_margin_rate")
+                + money(F.col("fp_count")) * (F.col("c.vip_churn_risk") * F.col("c.vip_annual_value"))
+                .cast("decimal(18,2)"))
+    return per_scenario(counted, costs).select(
+        "user_id", "fp_count", "amount_vnd", rounded_money(friction).alias("friction_cost_vnd"))
 
 
-def card_testing_devices(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
-    """Attacking devices by hash: chains and the money of the large transactions."""
+def card_testing_devices(alerts: DataFrame, attacks: DataFrame, decided: DataFrame) -> DataFrame:
+    """Attacking devices by hash: chains, and the large transactions split into blocked and passed."""
+    blocked = F.col("decision") == "BLOCK"
     return (
         alerts.where("alert_type = 'CARD_TESTING'").select("transaction_id", "device_hash")
         .join(attacks.select("transaction_id", "large_amount_vnd", "chain_len"), "transaction_id")
+        .join(decided.select("transaction_id", "decision"), "transaction_id")
         .groupBy("device_hash").agg(
             F.count("*").alias("chains"), F.sum("chain_len").alias("test_transactions"),
-            F.sum("large_amount_vnd").alias("large_amount_vnd")))
+            sum_if(blocked, F.col("large_amount_vnd")).alias("blocked_vnd"),
+            sum_if(~blocked, F.col("large_amount_vnd")).alias("passed_vnd")))
 
 
 def missed_by_segment(

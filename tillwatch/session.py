@@ -33,15 +33,13 @@ def tune(spark: SparkSession, streaming: bool = False) -> SparkSession:
     return spark
 
 
-# Scan splits (about 128 MB of compressed columns each) per shuffle partition, and the number of
-# partitions beyond which the bookkeeping costs more than it gains.
+# Scan splits (about 128 MB of compressed columns each) per shuffle partition.
 SPLITS_PER_PARTITION = 2
-MOST_PARTITIONS = 50_000
 
 
 def size_shuffles(spark: SparkSession, scan: DataFrame) -> None:
     """Start with enough shuffle partitions for the input; adaptive execution merges small ones."""
-    wanted = min(scan.rdd.getNumPartitions() // SPLITS_PER_PARTITION, MOST_PARTITIONS)
+    wanted = scan.rdd.getNumPartitions() // SPLITS_PER_PARTITION
     now = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, now)))
 

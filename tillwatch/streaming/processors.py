@@ -18,112 +18,154 @@ TRAVEL_ALERT = ("user_id string, transaction_id string, event_ms bigint, prev_tr
                 "km double, gap_ms bigint")
 
 
-def _ordered(rows: Iterator[pd.DataFrame], columns: list[str]) -> list[np.ndarray]:
-    """The named columns of one key as arrays, by time and id. Most keys have few rows per batch, so
-    frames are left as soon as possible."""
-    chunks = list(rows)
-    arrays = [np.concatenate([c[name].to_numpy() for c in chunks]) for name in columns]
-    if len(arrays[0]) < 2:
-        return arrays
-    by_time = np.lexsort((arrays[0].astype(str), arrays[1]))
-    return [a[by_time] for a in arrays]
+def _columns(rows: Iterator[pd.DataFrame], names: list[str]) -> list[tuple]:
+    """The named columns of one key as plain tuples."""
+    out: list[tuple] = []
+    for chunk in rows:
+        out += list(zip(*(chunk[n].tolist() for n in names), strict=True))
+    return out
 
 
-class CardTestingState(StatefulProcessor):
-    """Streak of small failures per device: list of rows, its start, and a timer that clears it.
+class Ordered(StatefulProcessor):
+    """Holds the rows of a key until the watermark has passed them, then runs them by time and id.
 
-    The streak is anchored at its first failure. An alert emits one row per evidence transaction.
+    A row below the watermark is late and never gets here, so the order is final: a state machine sees the
+    same sequence however its rows were spread over micro-batches. One timer per key stands at the next
+    time something is due, the oldest held row or the end of the machine's state.
     """
 
-    def __init__(self, small_below_vnd: int, large_above_vnd: int, min_failures: int, within_ms: int):
-        self.small_below_vnd, self.large_above_vnd = small_below_vnd, large_above_vnd
-        self.min_failures, self.within_ms = min_failures, within_ms
+    HELD = ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.streak = handle.getListState("streak", "transaction_id string, ms bigint")
-        self.start = handle.getValueState("streak_start", "ms bigint")
+        self.held = handle.getListState("held", self.HELD)
+        self.timer = handle.getValueState("timer", "ms bigint")
+        self.open()
+
+    def open(self) -> None:
+        """Create the state of the machine."""
+
+    def judge(self, key, rows: list[tuple]) -> pd.DataFrame | None:
+        """Run rows (transaction_id, ms, ...) in order; alerts or nothing."""
+
+    def ends(self) -> int | None:
+        """When the state of the machine is of no more use."""
+
+    def forget(self) -> None:
+        """Clear the state of the machine."""
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        columns = _ordered(rows, ["transaction_id", "ms", "amount_vnd", "status"])
-        started = self.start.get()
-        streak = [tuple(r) for r in self.streak.get()] if started is not None else []
-        first = streak[0][1] if streak else None
-        alerts = []
-        for txn, ms, amount, status in zip(*columns):
+        names = [c.split()[0] for c in self.HELD.split(", ")]
+        new = _columns(rows, names)
+        self.held.appendList(new)
+        self._wake(min(r[1] for r in new))
+        return iter([])
+
+    def _wake(self, due: int) -> None:
+        """Wake when the watermark has passed ``due``."""
+        at, now = due + 1, self.timer.get()  # a timer fires as soon as the watermark reaches it
+        if now is None or at < now[0]:
+            if now is not None:
+                self.handle.deleteTimer(now[0])
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()
+        held = [tuple(r) for r in self.held.get()]
+        ready = sorted((r for r in held if r[1] < watermark), key=lambda r: (r[1], r[0]))
+        rest = [r for r in held if r[1] >= watermark]
+        if ready:
+            self.held.put(rest) if rest else self.held.clear()
+            alerts = self.judge(key, ready)
+            if alerts is not None:
+                yield alerts
+        end = self.ends()
+        if end is not None and end < watermark:
+            self.forget()
+            end = None
+        due = [r[1] for r in rest] + ([end] if end is not None else [])
+        if due:
+            self._wake(min(due))
+
+    def close(self) -> None:
+        pass
+
+
+class CardTestingState(Ordered):
+    """Streak of small failures per device, anchored at its first failure.
+
+    An alert emits one row per evidence transaction.
+    """
+
+    HELD = "transaction_id string, ms bigint, amount_vnd bigint, status string"
+
+    def __init__(self, small_below_vnd: int, large_above_vnd: int, min_failures: int, within_ms: int):
+        self.small_below_vnd, self.large_above_vnd = small_below_vnd, large_above_vnd
+        self.min_failures, self.within_ms = min_failures, within_ms
+
+    def open(self) -> None:
+        self.streak = self.handle.getListState("streak", "transaction_id string, ms bigint")
+
+    def judge(self, key, rows):
+        before = [tuple(r) for r in self.streak.get()]
+        streak, alerts = list(before), []
+        for txn, ms, amount, status in rows:
             if streak and ms - streak[0][1] > self.within_ms:
-                streak = []  # the timer of this streak is due
-            if status == "FAILED" and amount < self.small_below_vnd:
+                streak = []
+            if status == "FAILED" and amount is not None and amount < self.small_below_vnd:
                 streak.append((txn, int(ms)))
                 continue
-            if status == "SUCCESS" and amount > self.large_above_vnd and len(streak) >= self.min_failures:
+            if (status == "SUCCESS" and amount is not None and amount > self.large_above_vnd
+                    and len(streak) >= self.min_failures):
                 alerts += [(key[0], txn, int(ms), int(amount), len(streak), streak[0][1], e) for e, _ in streak]
             streak = []
-        self._keep(streak, first)
-        if alerts:
-            yield pd.DataFrame(alerts, columns=[c.split()[0] for c in CARD_ALERT.split(", ")])
-
-    def _keep(self, streak: list[tuple[str, int]], before: int | None) -> None:
-        now = streak[0][1] if streak else None
-        if before is not None and before != now:
-            self.handle.deleteTimer(before + self.within_ms)
-        if streak:
-            self.streak.put(streak)
-            self.start.update((now,))
-            if before != now:
-                self.handle.registerTimer(now + self.within_ms)
-        elif before is not None:
-            self.streak.clear()
-            self.start.clear()
+        if streak != before:
+            self.streak.put(streak) if streak else self.streak.clear()
+        return pd.DataFrame(alerts, columns=[c.split()[0] for c in CARD_ALERT.split(", ")]) if alerts else None
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def ends(self):
+        first = next(iter(self.streak.get()), None)
+        return None if first is None else first[1] + self.within_ms
+
+    def forget(self) -> None:
         self.streak.clear()
-        self.start.clear()
-        return iter([])
 
-    def close(self) -> None:
-        pass
 
+class TravelState(Ordered):
+    """Last position per user, forgotten after a day without transactions."""
 
-class TravelState(StatefulProcessor):
-    """Last position per user; a timer forgets it after a day without transactions."""
+    HELD = "transaction_id string, ms bigint, lat double, lon double"
 
     def __init__(self, min_km: float, max_gap_ms: int, ttl_ms: int, radius_km: float):
         self.min_km, self.max_gap_ms, self.ttl_ms, self.radius_km = min_km, max_gap_ms, ttl_ms, radius_km
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "transaction_id string, ms bigint, lat double, lon double")
+    def open(self) -> None:
+        self.last = self.handle.getValueState("last", self.HELD)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        txn, ms, lat, lon = _ordered(rows, ["transaction_id", "ms", "lat", "lon"])
+    def judge(self, key, rows):
         known = self.last.get()
-        if known is not None:
-            # a row older than the remembered one is out of order: no pair, no update
-            fresh = ms >= known[1]
-            txn, ms, lat, lon = (
-                np.concatenate([[k], a[fresh]]) for k, a in zip(known, (txn, ms, lat, lon)))
-        if known is None or len(ms) > 1:
-            if known is not None:
-                self.handle.deleteTimer(int(known[1]) + self.ttl_ms)
-            self.last.update((str(txn[-1]), int(ms[-1]), float(lat[-1]), float(lon[-1])))
-            self.handle.registerTimer(int(ms[-1]) + self.ttl_ms)
-        if len(ms) < 2:
-            return
+        line = [tuple(known), *rows] if known is not None else rows
+        self.last.update(rows[-1])
+        if len(line) < 2:
+            return None
+        txn, ms, lat, lon = (np.array(c) for c in zip(*line, strict=True))
         phi, lam = np.radians(lat), np.radians(lon)
         chord = (np.sin(np.diff(phi) / 2) ** 2
                  + np.cos(phi[:-1]) * np.cos(phi[1:]) * np.sin(np.diff(lam) / 2) ** 2)
         km = 2 * self.radius_km * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
         gap = np.diff(ms)
         hit = (km > self.min_km) & (gap < self.max_gap_ms)
-        if hit.any():
-            yield pd.DataFrame({
-                "user_id": key[0], "transaction_id": txn[1:][hit], "event_ms": ms[1:][hit].astype("int64"),
-                "prev_transaction_id": txn[:-1][hit], "km": km[hit], "gap_ms": gap[hit].astype("int64")})
+        if not hit.any():
+            return None
+        return pd.DataFrame({
+            "user_id": key[0], "transaction_id": txn[1:][hit], "event_ms": ms[1:][hit].astype("int64"),
+            "prev_transaction_id": txn[:-1][hit], "km": km[hit], "gap_ms": gap[hit].astype("int64")})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        return iter([])
+    def ends(self):
+        known = self.last.get()
+        return None if known is None else known[1] + self.ttl_ms
 
-    def close(self) -> None:
-        pass
+    def forget(self) -> None:
+        self.last.clear()
