@@ -23,6 +23,7 @@ frequent shingles are salted, so that each task sees a bounded share of them.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -210,7 +211,8 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
              pa.nulls(n, pa.binary()), pa.array(slices, pa.int32()),
-             pa.array([counts.reshape(-1, 1 << SLICE_BITS)[k].astype("<i8").tobytes() for k in slices], pa.binary())],
+             pa.array([zlib.compress(counts.reshape(-1, 1 << SLICE_BITS)[k].astype("<i4").tobytes(), 1) for k in slices],
+                      pa.binary())],
             names)
 
     return stage(docs.mapInArrow(
@@ -224,7 +226,7 @@ def _frequencies(first: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(raw.as_py(), "<i8")
+                total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(raw.as_py()), "<i4").astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
             ["slice", "counts"])
@@ -347,15 +349,17 @@ def _possible(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
 def _across_groups(ranked: DataFrame, groups: DataFrame, first: DataFrame, percent: int) -> DataFrame:
     """Pairs of different groups that share an entry and whose parity bits allow a link.
 
-    Entries with one hub are one cluster, so a pair is looked at once for all entries it shares under that
-    hub. Clusters are cut into blocks that meet pairwise.
+    Entries whose hubs are in one group are one cluster, so a pair is looked at once for all the entries it
+    shares there. Clusters are cut into blocks that meet pairwise.
     """
     grouped = ranked.select("sig", "node", "size", "entries", "hub", "hub_entries").join(
         groups.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     mixed_up = grouped.groupBy("sig").agg(
         F.min("group").alias("low"), F.max("group").alias("high"),
-        F.max(F.struct("hub_entries", "hub"))["hub"].alias("cluster")).where("low <> high")
-    open_ = stage(grouped.join(mixed_up.select("sig", "cluster"), "sig").select("cluster", "node", "size", "group").distinct(), "open")
+        F.max(F.struct("hub_entries", "hub"))["hub"].alias("top")).where("low <> high").join(
+        groups.select(F.col("node").alias("top"), "component"), "top", "left").select(
+        "sig", F.coalesce("component", "top").alias("cluster"))
+    open_ = stage(grouped.join(mixed_up, "sig").select("cluster", "node", "size", "group").distinct(), "open")
     bits = _bits_of(first, open_.select(F.col("node").alias("of")).distinct())
     blocks = open_.groupBy(F.col("cluster").alias("c")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = open_.join(bits, F.col("node") == F.col("of")).join(blocks, F.col("cluster") == F.col("c")).select(
