@@ -93,7 +93,7 @@ SELECT * FROM (
 
 cte("alerts", """
 SELECT concat(alert_type, ':', transaction_id) AS alert_id, alert_type, severity, transaction_id, user_id,
-  event_ts, sha256(concat(device_id, 'pepper-2024')) AS device_hash
+  event_ts, sha256(concat(device_id, 'test-salt')) AS device_hash
 FROM (
   SELECT 'RULE_BLOCK' AS alert_type, 'MEDIUM' AS severity, transaction_id, user_id, device_id, ms AS event_ts
   FROM decided WHERE decision = 'BLOCK'

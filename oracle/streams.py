@@ -65,7 +65,7 @@ SELECT rule_id, rule_type, action AS decision, count(*) AS txns FROM (
     PARTITION BY transaction_id, rule_type ORDER BY priority DESC, version DESC, rule_id DESC) = 1)
 GROUP BY rule_id, rule_type, action""")
 oracle("p8_device_hash", """
-SELECT sha256(concat(device_id, 'pepper-2024')) AS device_hash, count(*) AS rows FROM payments GROUP BY 1""")
+SELECT sha256(concat(device_id, 'test-salt')) AS device_hash, count(*) AS rows FROM payments GROUP BY 1""")
 oracle("p9_ip_mask", r"""
 SELECT regexp_replace(ip_address, '\.[^.]+$', '.x') AS ip_network, count(*) AS rows FROM payments GROUP BY 1""")
 oracle("p10_loyalty_eligible", """

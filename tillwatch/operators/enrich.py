@@ -38,7 +38,7 @@ def enrich_as_of(payments: DataFrame, changes: DataFrame, slice_ms: int = HOUR)
         "_slice", slice_of(F.col("_ms"), slice_ms))
 
     last_of_slice = versions.groupBy("user_id", "_slice").agg(
-        F.max_by("_profile", "_ms").alias("_profile"))
+        F.max_by("_profile", F.struct("_ms", F.xxhash64("_profile"))).alias("_profile"))
     touched = facts.select("user_id", "_slice").distinct()
     before = (W.partitionBy("user_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1))
     opening = (
@@ -53,7 +53,8 @@ def enrich_as_of(payments: DataFrame, changes: DataFrame, slice_ms: int = HOUR)
         facts.select("user_id", "_slice", "_ms", F.lit(2).alias("_kind"), body.alias("_row"))
         .unionByName(versions.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
         .unionByName(opening, allowMissingColumns=True))
-    so_far = (W.partitionBy("user_id", "_slice").orderBy("_ms", "_kind")
+    # equal times are settled by content
+    so_far = (W.partitionBy("user_id", "_slice").orderBy("_ms", "_kind", F.xxhash64("_profile"))
               .rowsBetween(W.unboundedPreceding, W.currentRow))
     filled = (
         merged.withColumn("_p", F.last("_profile", ignorenulls=True).over(so_far))

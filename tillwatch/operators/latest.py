@@ -19,6 +19,11 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     )
 
 
+def content_order(df: DataFrame) -> Column:
+    """Settles equal times by the content of the row, so that a rerun picks the same one."""
+    return F.xxhash64(*df.columns).desc()
+
+
 def dedup(payments: DataFrame) -> DataFrame:
     """One row per transaction: the copy ingested last; equal times fall back to the content."""
     content = F.xxhash64(*[c for c in payments.columns if c not in ("transaction_id", "ingested_at")])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillwatch.functions.exprs import device_hash
 from tillwatch.operators.card_testing import card_testing
 from tillwatch.operators.enrich import enrich
-from tillwatch.operators.latest import current_rows, latest
+from tillwatch.operators.latest import content_order, current_rows, latest
 from tillwatch.operators.points import loyalty_points
 from tillwatch.operators.rules import active_rules, decide
 from tillwatch.operators.travel import impossible_travel
@@ -56,15 +56,17 @@ class Warehouse:
     @cached_property
     def labels(self) -> DataFrame:
         """The newest verdict of every transaction; labels are revised for weeks."""
-        return latest(self.label_rows, ["transaction_id"], [F.desc("resolved_at")])
+        return latest(self.label_rows, ["transaction_id"], [F.desc("resolved_at"), content_order(self.label_rows)])
 
     @cached_property
     def redemptions(self) -> DataFrame:
-        return self.redemption_rows.dropDuplicates(["redemption_id"])
+        """One row per redemption; of differing copies the earliest."""
+        return latest(self.redemption_rows, ["redemption_id"], [F.asc("event_ts"), content_order(self.redemption_rows)])
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return current_rows(self.profile_changes, ["user_id"], [F.desc("updated_at")])
+        return current_rows(
+            self.profile_changes, ["user_id"], [F.desc("updated_at"), content_order(self.profile_changes)])
 
     @cached_property
     def rules(self) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.functions.exprs import event_time
-from tillwatch.operators.latest import current_rows
+from tillwatch.operators.latest import content_order, current_rows
 from tillwatch.schemas import change_of
 
 
@@ -15,8 +15,7 @@ def unwrap(raw: DataFrame, record: T.StructType, key: str) -> DataFrame:
     """JSON ``value`` to record columns plus ``op`` and ``change_ms``.
 
     Accepts both forms a topic can carry: the bare record, and ``{before, after, op}``. A delete
-    keeps the key of the row that is gone. Values without a key are dropped here and belong in the
-    quarantine of the reader.
+    keeps the key of the row that is gone. Values without a key have no row here: see :func:`unreadable`.
     """
     both = F.from_json("value", T.StructType(change_of(record).fields + record.fields))
     row = F.coalesce(
@@ -31,9 +30,16 @@ def unwrap(raw: DataFrame, record: T.StructType, key: str) -> DataFrame:
     )
 
 
+def unreadable(raw: DataFrame, record: T.StructType, key: str) -> DataFrame:
+    """The records that :func:`unwrap` cannot read, as they came: its quarantine."""
+    both = F.from_json("value", T.StructType(change_of(record).fields + record.fields))
+    found = F.coalesce(F.col(f"_p.after.{key}"), F.col(f"_p.before.{key}"), F.col(f"_p.{key}"))
+    return raw.withColumn("_p", both).where(found.isNull()).drop("_p")
+
+
 def current(changes: DataFrame, key: str) -> DataFrame:
     """Newest record per key without deleted keys."""
-    return current_rows(changes, [key], [F.desc("change_ms")]).drop("op", "change_ms")
+    return current_rows(changes, [key], [F.desc("change_ms"), content_order(changes)]).drop("op", "change_ms")
 
 
 def public_profile(profiles: DataFrame) -> DataFrame:

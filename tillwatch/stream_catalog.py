@@ -60,6 +60,7 @@ def _decided_in_runs(c: Context, rules_of_run=None) -> str:
 
 
 def _stream_to_table(c: Context, stream: DataFrame, name: str) -> DataFrame:
+    tune(c.spark, streaming=True)  # state of every operator in RocksDB
     path = c.scratch(name)
     sinks.start(stream.writeStream.format("parquet").option("path", path)
                 .option("checkpointLocation", c.scratch("ck")), finite=True)
@@ -110,8 +111,8 @@ def _(c: Context):
 @query("x2_silent_partition")
 def _(c: Context):
     # one partition never sends; the minutes of the others close all the same
-    talking = _facts_stream(c).where(F.col("src_partition") != SILENT_PARTITION)
-    return _stream_to_table(c, windows.minute_counts(talking), "minutes")
+    talking = c.stage(c.wh.facts.where(F.col("src_partition") != SILENT_PARTITION), "talking")
+    return _stream_to_table(c, windows.minute_counts(c.stream_of(talking, "talking")), "minutes")
 
 
 @query("x3_late_side_output")
@@ -143,13 +144,11 @@ def _facts_stream(c: Context) -> DataFrame:
 
 @query("x9_card_testing_stream")
 def _(c: Context):
-    tune(c.spark, streaming=True)
     return _stream_to_table(c, detectors.card_testing_stream(_facts_stream(c)), "card")
 
 
 @query("x10_travel_stream")
 def _(c: Context):
-    tune(c.spark, streaming=True)
     return _stream_to_table(c, detectors.travel_stream(_facts_stream(c)), "travel").withColumn(
         "km", F.round("km", 3))
 

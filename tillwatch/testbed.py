@@ -10,6 +10,7 @@ K spend of an unverified user, L loyalty burst, R blocked attempt and its retry.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,13 +49,13 @@ PASS_1 = {
     "city": "CASE WHEN fam IN ('C', 'K') THEN 0 WHEN fam = 'I' THEN 2 * k ELSE u % 3 END",
     "transaction_id": """concat(fam, cast(id AS string),
         CASE WHEN fam IN ('C', 'I', 'L', 'R') THEN concat('-', cast(k AS string)) ELSE '' END)""",
-    "merchant_id": """CASE fam WHEN 'C' THEN 'M0099' WHEN 'I' THEN 'M0050' WHEN 'K' THEN 'M0007'
+    "merchant_id": """CASE WHEN fam IN ('C', 'I', 'K') THEN concat('M', lpad(cast(id * 3 % 25 + 60 AS string), 4, '0'))
         ELSE concat('M', lpad(cast(id * 7 % 50 + 1 AS string), 4, '0')) END""",
     "channel": """CASE fam WHEN 'C' THEN 'WEB' WHEN 'I' THEN 'APP' WHEN 'K' THEN 'WEB'
         WHEN 'R' THEN CASE WHEN k = 0 THEN 'WEB' ELSE 'APP' END
         ELSE CASE id % 3 WHEN 0 THEN 'POS' WHEN 1 THEN 'WEB' ELSE 'APP' END END""",
-    "ip_address": """CASE WHEN fam = 'C' THEN '203.0.113.7' WHEN fam = 'I' THEN '198.51.100.22'
-        WHEN fam = 'K' THEN '192.0.2.55' WHEN id % 50 = 7 THEN '115.78.x.x'
+    "ip_address": """CASE WHEN fam IN ('C', 'I', 'K')
+        THEN concat('198.18.', cast(id % 32 AS string), '.', cast(id % 100 + k AS string)) WHEN id % 50 = 7 THEN '115.78.x.x'
         ELSE concat('115.78.', cast(id % 256 AS string), '.', cast(u % 256 AS string)) END""",
     "status": """CASE WHEN fam = 'C' AND k < 6 THEN 'FAILED'
         WHEN fam = 'T' AND event_type = 'error' AND id % 3 = 0 THEN 'FAILED'
@@ -64,13 +65,13 @@ PASS_1 = {
 }
 PASS_2 = {
     "user_id": f"""CASE fam
-        WHEN 'C' THEN concat('VICTIM-', cast(id AS string), '-', cast(k AS string))
-        WHEN 'I' THEN concat('TRAVELER-', cast(id AS string)) ELSE {_USER} END""",
-    "device_id": f"""CASE fam WHEN 'C' THEN concat('d-attacker-', cast(id AS string))
-        WHEN 'I' THEN concat('d-TRAVELER-', cast(id AS string)) ELSE concat('d-', {_USER}) END""",
-    "lat": """cast(CASE city WHEN 0 THEN 210278 WHEN 1 THEN 160544 ELSE 107769 END
+        WHEN 'C' THEN concat('HIT-', cast(id AS string), '-', cast(k AS string))
+        WHEN 'I' THEN concat('FAR-', cast(id AS string)) ELSE {_USER} END""",
+    "device_id": f"""CASE fam WHEN 'C' THEN concat('dx-', cast(id AS string))
+        WHEN 'I' THEN concat('df-', cast(id AS string)) ELSE concat('d-', {_USER}) END""",
+    "lat": """cast(CASE city WHEN 0 THEN 208648 WHEN 1 THEN 119404 ELSE 100341 END
         + CASE WHEN fam IN ('C', 'I', 'K') THEN 0 ELSE id % 200 - 100 END AS double) / 10000""",
-    "lon": """cast(CASE city WHEN 0 THEN 1058342 WHEN 1 THEN 1082022 ELSE 1067009 END
+    "lon": """cast(CASE city WHEN 0 THEN 1066838 WHEN 1 THEN 1084583 ELSE 1057825 END
         + CASE WHEN fam IN ('C', 'I', 'K') THEN 0 ELSE id % 100 - 50 END AS double) / 10000""",
     "failure_reason": """CASE WHEN status = 'FAILED' THEN
         CASE WHEN fam = 'C' THEN CASE k % 3 WHEN 0 THEN 'CARD_DECLINED'
@@ -131,7 +132,7 @@ RULES = [
 ]
 
 LIFECYCLE_AS_OF = "2024-07-01"
-SALT = "pepper-2024"
+SALT = os.environ.get("TILLWATCH_SALT", "test-salt")  # production sets its own
 
 # Changes of the data-driven rule catalogue: id, version and payload come from signup events.
 RULE_CHANGE = {
