@@ -82,3 +82,16 @@ def test_filters_and_columns_reach_the_scan(spark):
         travel = plan_of(registered.queries()["w2_impossible_travel"](spark, SF))
     assert "EqualTo(status,SUCCESS), GreaterThan(amount_vnd,10000000)" in card
     assert "ReadSchema: struct<transaction_id:string,user_id:string,location:struct<lat:double,lon:double>,event_ts:timestamp" in travel
+
+
+def test_silver_is_written_once_for_all_queries(spark):
+    import glob
+    import __spark_entry__ as registered
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    queries = registered.queries()
+    for name in ("j4_fx", "w2_impossible_travel", "j4_fx"):
+        queries[name](spark, "/root/testdata/sf0.001").count()
+    folders = glob.glob(f"{base.removeprefix('file:')}/facts-*")
+    assert len(folders) == 1
+    assert glob.glob(f"{folders[0]}/dt=2024-01-*")

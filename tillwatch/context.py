@@ -14,6 +14,11 @@ from tillwatch.sources.seeds import Seeds, default_seeds
 from tillwatch.testbed import SALT, Testbed
 
 
+# Tables that queries share, and where this process has written them.
+BY_DATE = {"facts"}
+WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -32,10 +37,20 @@ class Context:
                          self.seeds, SALT, self.stage)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write once to the shared folder and read back."""
-        path = self.staged[name] = self.scratch(name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        """Write once to the shared folder and read back.
+
+        Silver facts are the same for every query over a data folder: the first one that needs them writes
+        them, by date, and the others of the application read that copy.
+        """
+        shared = (self.spark.sparkContext.applicationId, self.tb.sf_dir, name)
+        path = WRITTEN.get(shared) or self.scratch(name)
+        self.staged[name] = path
+        if name not in BY_DATE:
+            df.write.parquet(path)
+        elif shared not in WRITTEN:
+            df.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+            WRITTEN[shared] = path
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def stream_of(self, staged: DataFrame, name: str) -> DataFrame:
         """A staged table as a stream."""
