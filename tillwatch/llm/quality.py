@@ -226,10 +226,10 @@ def score_quality(
     kept = list(dict.fromkeys([id_col, *carry]))
     rows = docs.select(*kept, *([] if text_col in kept else [text_col]))
     bound_batches(docs.sparkSession)
-    scorer = docs.sparkSession.sparkContext.broadcast(model)
+    scorer = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # with its class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, fitted = per_process("words Forms", Forms), scorer.value
+        known, fitted = per_process("words Forms", Forms), cloudpickle.loads(scorer.value)
         for batch in batches:
             scores = [fitted.score(form_ngrams(t.as_py() or "", known)) for t in batch.column(text_col)]
             yield pa.RecordBatch.from_arrays(

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -162,10 +163,10 @@ def score_toxicity(
     kept = list(dict.fromkeys([id_col, *carry]))
     rows = docs.select(*kept, *([] if text_col in kept else [text_col]))
     bound_batches(docs.sparkSession)
-    scorer = docs.sparkSession.sparkContext.broadcast(model)
+    scorer = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # with its class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, fitted = per_process("words Words", Words), scorer.value
+        known, fitted = per_process("words Words", Words), cloudpickle.loads(scorer.value)
         for batch in batches:
             over = [fitted.at_least(word_features(t.as_py() or "", known)) for t in batch.column(text_col)]
             grade = [int(np.argmax(-np.diff(np.concatenate([[1.0], p, [0.0]])))) for p in over]
