@@ -100,10 +100,20 @@ SELECT concat('D', id) AS redemption_id, {tb.PROFILE['user_id']} AS user_id,
 cte("injected", """
 SELECT CASE fam WHEN 'C' THEN 'CARD_TESTING' WHEN 'I' THEN 'IMPOSSIBLE_TRAVEL' ELSE 'KYC_ABUSE' END AS fraud_type,
   transaction_id FROM expanded WHERE fam IN ('C', 'I', 'K')""")
+cte("history_fx", f"""
+SELECT d::DATE AS date, currency, cast({tb.FX_TEXT.format(dom='day(d)')} AS decimal(18,6)) AS rate_to_vnd
+FROM generate_series(DATE '{sd.HISTORY_FROM}', DATE '{sd.HISTORY_TO}', INTERVAL 1 DAY) g(d),
+     (VALUES ('VND'), ('USD'), ('SGD')) c(currency)""")
 cte("activity", f"""
-SELECT transaction_id, {tb.PROFILE['user_id']} AS user_id, {tb.ACTIVITY_MS} AS ms, base_vnd AS amount_vnd
-FROM expanded WHERE fam = 'T' AND status = 'SUCCESS' AND txn_type = 'PAYMENT'""")
-cte("suspended", f"SELECT DISTINCT {tb.PROFILE['user_id']} AS user_id FROM ev WHERE u % 29 = 5")
+SELECT transaction_id, user_id, new_ms AS ms, cast(round(amount::DECIMAL(19,0) * rate_to_vnd) AS BIGINT) AS amount_vnd
+FROM (
+  SELECT *, {tb.ACTIVITY_MS} AS new_ms FROM (SELECT *, {tb.USER_NUMBER} AS u FROM payments WHERE transaction_id LIKE 'T%')
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingested_ms DESC) = 1) p
+LEFT JOIN history_fx f ON f.date = make_timestamp(new_ms * 1000)::DATE AND f.currency = p.currency
+WHERE status = 'SUCCESS' AND txn_type = 'PAYMENT'""")
+cte("suspended", """
+SELECT user_id FROM alerts WHERE severity = 'CRITICAL'
+UNION SELECT user_id FROM outcomes WHERE decision = 'BLOCK' AND is_fraud_confirmed""")
 
 cte("fx_rate", f"""
 SELECT d::DATE AS date, currency, cast({tb.FX_TEXT.format(dom='day(d)')} AS decimal(18,6)) AS rate_to_vnd

@@ -397,22 +397,22 @@ def _(c: Context):
 
 @query("a15_lifecycle_features")
 def _(c: Context):
-    return lifecycle.features(c.tb.activity, [AS_OF])
+    return lifecycle.features(c.history, [AS_OF])
 
 
 @query("a16_population_p80")
 def _(c: Context):
-    return lifecycle.population_p80(lifecycle.features(c.tb.activity, [WEEK_BEFORE, AS_OF]))
+    return lifecycle.population_p80(lifecycle.features(c.history, [WEEK_BEFORE, AS_OF]))
 
 
 @query("a17_customer_lifecycle")
 def _(c: Context):
-    return lifecycle.states(c.tb.activity, c.tb.suspended, [AS_OF]).select(
+    return lifecycle.states(c.history, c.wh.suspended, [AS_OF]).select(
         "user_id", "state", "days_silent", "silence_ratio", "txn_count_30d", "txn_count_90d", "gmv_30d")
 
 
 def _two_weeks(c: Context) -> DataFrame:
-    return lifecycle.states(c.tb.activity, c.tb.suspended, [WEEK_BEFORE, AS_OF])
+    return lifecycle.states(c.history, c.wh.suspended, [WEEK_BEFORE, AS_OF])
 
 
 @query("a18_transitions")
@@ -495,7 +495,7 @@ def _(c: Context):
 
 @query("w3_gaps")
 def _(c: Context):
-    return lifecycle.gaps(c.tb.activity).groupBy("user_id").agg(
+    return lifecycle.gaps(c.history).groupBy("user_id").agg(
         F.count("*").alias("gaps"), F.sum("gap_ms").alias("total_ms"), F.max("gap_ms").alias("longest_ms"))
 
 
@@ -516,7 +516,7 @@ def _(c: Context):
 
 @query("w6_lifecycle_history")
 def _(c: Context):
-    return lifecycle.history(lifecycle.states(c.tb.activity, c.tb.suspended, LAST_WEEK))
+    return lifecycle.history(lifecycle.states(c.history, c.wh.suspended, LAST_WEEK))
 
 
 @query("w7_points_overspent")
@@ -654,7 +654,7 @@ def _(c: Context):
 @query("qb_lifecycle_states")
 def _(c: Context):
     return quality.not_accepted(
-        lifecycle.states(c.tb.activity, c.tb.suspended, [AS_OF]), {"state": schemas.LIFECYCLE_STATES})
+        lifecycle.states(c.history, c.wh.suspended, [AS_OF]), {"state": schemas.LIFECYCLE_STATES})
 
 
 @query("qc_relationships")
@@ -900,4 +900,4 @@ def _(c: Context):
 
 @query("suspended_by_risk")
 def _(c: Context):
-    return lifecycle.suspended_by_risk(c.wh.alerts, c.wh.outcomes)
+    return c.wh.suspended

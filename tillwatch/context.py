@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwatch.functions.exprs import is_gmv
+from tillwatch.plans.silver import clean
 from tillwatch.plans.warehouse import Warehouse
 from tillwatch.session import scratch, size_shuffles
-from tillwatch.sources.seeds import Seeds, default_seeds
+from tillwatch.sources.seeds import HISTORY_FROM, HISTORY_TO, Seeds, default_seeds, fx_rates
 from tillwatch.testbed import SALT, Testbed
 
 
 # Tables that queries share, and where this process has written them.
-BY_DATE = {"facts"}
+SHARED, BY_DATE = {"facts", "history"}, {"facts"}
 WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
@@ -36,6 +38,13 @@ class Context:
         return Warehouse(tb.payments, tb.profile_changes, tb.rules, tb.labels, tb.redemptions,
                          self.seeds, SALT, self.stage)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """Successful payments of the long history, through the same Silver steps."""
+        rows = clean(self.tb.history, fx_rates(self.spark, HISTORY_FROM, HISTORY_TO))
+        return self.stage(rows.where(is_gmv(F.col("status"), F.col("txn_type"))).select(
+            "transaction_id", "user_id", "event_ts", "amount_vnd"), "history")
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write once to the shared folder and read back.
 
@@ -45,10 +54,12 @@ class Context:
         shared = (self.spark.sparkContext.applicationId, self.tb.sf_dir, name)
         path = WRITTEN.get(shared) or self.scratch(name)
         self.staged[name] = path
-        if name not in BY_DATE:
-            df.write.parquet(path)
-        elif shared not in WRITTEN:
-            df.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+        if shared not in WRITTEN:
+            if name in BY_DATE:
+                df.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+            else:
+                df.write.parquet(path)
+        if name in SHARED:
             WRITTEN[shared] = path
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 

@@ -128,5 +128,6 @@ class Warehouse:
     def merchant_margin(self, rows: DataFrame) -> DataFrame:
         return merchant.fct_merchant_profitability(rows, self.labels, self.seeds)
 
-    def lifecycle(self, activity: DataFrame, suspended: DataFrame, as_of: list[str]) -> DataFrame:
-        return lifecycle.states(activity, suspended, as_of)
+    @cached_property
+    def suspended(self) -> DataFrame:
+        return lifecycle.suspended_by_risk(self.alerts, self.outcomes)

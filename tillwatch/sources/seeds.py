@@ -42,6 +42,8 @@ WHAT_IF = COSTS + [
      "1500", "500", "500000", "0.55", "0.3", "0.15", "12000000", "25000", "0.01", "5000"),
 ]
 FX_FROM, FX_TO = "2023-12-01", "2024-03-31"
+# Rates for the long history behind the lifecycle mart.
+HISTORY_FROM, HISTORY_TO = "2023-09-01", "2024-07-31"
 MERCHANT_NUMBERS = (1, 99)
 
 
@@ -69,16 +71,21 @@ def costs(spark: SparkSession, rows: list[tuple] = COSTS) -> DataFrame:
     return _inline(spark, "cost_assumptions", rows)
 
 
+def fx_rates(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """Daily rates of a range of dates."""
+    return spark.sql(
+        f"""
+        SELECT date, currency, cast(CASE currency WHEN 'USD' THEN 24000 + 10 * day(date)
+               WHEN 'SGD' THEN 18000 + 7 * day(date) ELSE 1 END AS decimal(18,6)) AS rate_to_vnd
+        FROM (SELECT explode(sequence(date'{first}', date'{last}')) AS date)
+             LATERAL VIEW explode(array('VND', 'USD', 'SGD')) c AS currency
+        """)
+
+
 def default_seeds(spark: SparkSession) -> Seeds:
     lo, hi = MERCHANT_NUMBERS
     return Seeds(
-        fx_rate=spark.sql(
-            f"""
-            SELECT date, currency, cast(CASE currency WHEN 'USD' THEN 24000 + 10 * day(date)
-                   WHEN 'SGD' THEN 18000 + 7 * day(date) ELSE 1 END AS decimal(18,6)) AS rate_to_vnd
-            FROM (SELECT explode(sequence(date'{FX_FROM}', date'{FX_TO}')) AS date)
-                 LATERAL VIEW explode(array('VND', 'USD', 'SGD')) c AS currency
-            """),
+        fx_rate=fx_rates(spark, FX_FROM, FX_TO),
         take_rate=_inline(spark, "take_rate", TAKE_RATE),
         interchange_rate=_inline(spark, "interchange_rate", INTERCHANGE_RATE),
         merchant_industry=spark.sql(

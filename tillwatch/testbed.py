@@ -160,6 +160,7 @@ LABEL = {
 }
 REDEEMED_TWICE = "id % 20 = 5"
 REDEMPTION_CONDITION = "event_type = 'signup' AND id % 10 = 5"
+USER_NUMBER = "cast(substr(user_id, 2) AS bigint)"
 ACTIVITY_MS = """1719792000000 - 86400000 * cast(CASE u % 7 WHEN 3 THEN 3 WHEN 4 THEN 40 WHEN 5 THEN 75
     WHEN 6 THEN 120 ELSE 0 END AS bigint) - (1 + u % 5) * (1706659200000 - ms)"""
 
@@ -324,17 +325,15 @@ class Testbed:
         )
 
     @cached_property
-    def activity(self) -> DataFrame:
-        """Normal successful payments, stretched over half a year for the lifecycle states."""
+    def history(self) -> DataFrame:
+        """Bronze of a longer time: ordinary transactions, copies included, stretched over nine months."""
+        stretched = F.timestamp_millis("new_ms")
         return (
-            self.expanded.where("fam = 'T' AND status = 'SUCCESS' AND txn_type = 'PAYMENT'")
-            .select("transaction_id", F.expr(PROFILE["user_id"]).alias("user_id"),
-                    F.timestamp_millis(F.expr(ACTIVITY_MS)).alias("event_ts"),
-                    F.col("base_vnd").alias("amount_vnd"))
+            self.payments.where("transaction_id LIKE 'T%'")
+            .withColumns({"u": F.expr(USER_NUMBER), "ms": F.unix_millis("event_ts")})
+            .withColumn("new_ms", F.expr(ACTIVITY_MS))
+            .withColumns({
+                "ingested_at": F.timestamp_millis(F.unix_millis("ingested_at") + F.col("new_ms") - F.col("ms")),
+                "event_ts": stretched, "dt": F.to_date(stretched)})
+            .drop("u", "ms", "new_ms")
         )
-
-    @cached_property
-    def suspended(self) -> DataFrame:
-        """Users the risk team suspended."""
-        return (self.events.where("u % 29 = 5").select("u").distinct()
-                .select(F.expr(PROFILE["user_id"]).alias("user_id")))
