@@ -109,7 +109,7 @@ def _(c: Context):
 @query("s15_fraud_labels")
 def _(c: Context):
     return (
-        c.wh.clean.select("transaction_id", "event_ts").join(c.wh.labels, "transaction_id")
+        c.wh.facts.select("transaction_id", "event_ts").join(c.wh.labels, "transaction_id")
         .groupBy("label_source", F.datediff("resolved_at", "event_ts").alias("delay_days"))
         .agg(F.count("*").alias("labels"), F.count_if("is_fraud_confirmed").alias("confirmed")))
 
@@ -148,7 +148,7 @@ def _(c: Context):
 
 
 def _enriched_once(c: Context) -> DataFrame:
-    return enrich.enrich(c.wh.clean, c.wh.profiles)
+    return enrich.enrich(c.wh.facts, c.wh.profiles)
 
 
 def _rule_hits(c: Context, rules: DataFrame):
@@ -251,7 +251,7 @@ def _(c: Context):
 def _(c: Context):
     s = c.seeds
     return (
-        c.wh.clean.join(s.merchant_industry, "merchant_id", "left").join(s.take_rate, "industry", "left")
+        c.wh.facts.join(s.merchant_industry, "merchant_id", "left").join(s.take_rate, "industry", "left")
         .join(s.interchange_rate, "channel", "left")
         .groupBy("industry", "channel", "take_rate", F.col("rate").alias("interchange_rate"))
         .agg(F.count("*").alias("txns"), F.sum("amount_vnd").alias("amount_vnd")))
@@ -259,7 +259,7 @@ def _(c: Context):
 
 def _scenario_fact(c: Context) -> DataFrame:
     return merchant.fct_merchant_profitability(
-        c.wh.clean, c.wh.labels, c.seeds.with_costs(seeds.costs(c.spark, seeds.WHAT_IF)))
+        c.wh.facts, c.wh.labels, c.seeds.with_costs(seeds.costs(c.spark, seeds.WHAT_IF)))
 
 
 @query("j6_scenarios")
@@ -292,7 +292,7 @@ def _(c: Context):
 
 @query("j11_relationships")
 def _(c: Context):
-    return quality.unrelated(c.wh.clean, c.wh.profiles, "user_id")
+    return quality.unrelated(c.wh.facts, c.wh.profiles, "user_id")
 
 
 @query("j12_layer_reconciliation")
@@ -389,7 +389,7 @@ def _(c: Context):
 @query("a14_chargeback_penalty")
 def _(c: Context):
     return (
-        merchant.channel_days(c.wh.clean, c.wh.labels)
+        merchant.channel_days(c.wh.facts, c.wh.labels)
         .groupBy("merchant_id").agg(F.sum("chargeback_count").alias("chargebacks"),
                                     F.sum("chargeback_amount").alias("chargeback_amount"))
         .where("chargebacks > 0"))
@@ -421,7 +421,7 @@ def _(c: Context):
 
 
 def _watermarked(c: Context) -> DataFrame:
-    return arrival.with_arrival_watermark(c.tb.payments)
+    return c.stage(arrival.with_arrival_watermark(c.tb.payments), "watermarked")
 
 
 @query("a19_stream_health")
@@ -431,7 +431,7 @@ def _(c: Context):
 
 @query("a20_kpi_minute")
 def _(c: Context):
-    return screens.kpi_minute(c.wh.clean)
+    return screens.kpi_minute(c.wh.facts)
 
 
 @query("a21_alerts_per_minute")
@@ -441,12 +441,12 @@ def _(c: Context):
 
 @query("a22_geo_heatmap")
 def _(c: Context):
-    return screens.geo_heatmap(c.wh.clean)
+    return screens.geo_heatmap(c.wh.facts)
 
 
 @query("a23_success_by_channel")
 def _(c: Context):
-    return screens.success_by_channel(c.wh.clean)
+    return screens.success_by_channel(c.wh.facts)
 
 
 @query("a24_block_rate")
@@ -456,7 +456,7 @@ def _(c: Context):
 
 @query("a25_gmv_band")
 def _(c: Context):
-    return screens.gmv_band(c.wh.clean, BAND_DAY)
+    return screens.gmv_band(c.wh.facts, BAND_DAY)
 
 
 @query("a26_cost_waterfall")
@@ -746,7 +746,7 @@ def _(c: Context):
 def _(c: Context):
     from pyspark.sql import Window as W
 
-    daily = screens.success_by_channel(c.wh.clean)
+    daily = screens.success_by_channel(c.wh.facts)
     by_day = W.partitionBy("channel").orderBy("date_day")
     return daily.withColumn("delta", F.col("success_rate") - F.lag("success_rate").over(by_day))
 
@@ -846,12 +846,12 @@ def _(c: Context):
 
 @query("e2_gmv_vs_band")
 def _(c: Context):
-    return screens.gmv_band(c.wh.clean, "2024-01-30")
+    return screens.gmv_band(c.wh.facts, "2024-01-30")
 
 
 @query("e3_success_by_channel")
 def _(c: Context):
-    return screens.success_by_channel(c.wh.clean).select("channel", "date_day", "success_rate")
+    return screens.success_by_channel(c.wh.facts).select("channel", "date_day", "success_rate")
 
 
 @query("e4_take_rate_by_industry")

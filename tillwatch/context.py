@@ -17,7 +17,7 @@ from tillwatch.testbed import SALT, Testbed
 
 
 # Tables that queries share, and where this process has written them.
-SHARED, BY_DATE = {"facts", "history"}, {"facts"}
+SHARED, BY_DATE = {"facts", "history", "watermarked"}, {"facts"}
 WRITTEN: dict[tuple[str, str, str], str] = {}
 
 

@@ -51,7 +51,7 @@ class Warehouse:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return protect(self.clean, self.salt)
+        return protect(self.facts, self.salt)
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -123,7 +123,7 @@ class Warehouse:
 
     @cached_property
     def fct_merchant_profitability(self) -> DataFrame:
-        return self.merchant_margin(self.clean)
+        return self.merchant_margin(self.facts)
 
     def merchant_margin(self, rows: DataFrame) -> DataFrame:
         return merchant.fct_merchant_profitability(rows, self.labels, self.seeds)
