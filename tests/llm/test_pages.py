@@ -177,3 +177,14 @@ def test_alignment_makes_optional_and_repeated_groups():
     assert [n.optional for n in merged if "h1" in n.key] == [True, True]
     assert [n.key for n in merged if n.body] == ["(B|p|,#B|p|)+"]
     assert all(n.optional for n in merged if "td" in n.key or "table" in n.key)
+
+
+@pytest.mark.parametrize("copies", [2, 3, 5])
+def test_copies_of_a_page_are_one_page(spark, copies):
+    page = "<body><div>Daily News</div><ul><li><a href=/>Home {0}</a></ul><div><p>{0} one<p>{0} two</div><div>Imprint</div>"
+    alone = "<body><div>Daily News</div><ul><li><a href=/>Copy {0}</a></ul><h1>Only here</h1><h2>A lead</h2><pre>and a body</pre>"
+    rows = [(i, "http://news/x", page.format(f"story {i}"), "", "") for i in range(6)]
+    rows += [(100 + i, "http://news/y", alone.format(i), "", "") for i in range(copies)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    assert got == {i: f"story {i} one story {i} two" for i in range(6)} | {
+        100 + i: "Only here A lead and a body" for i in range(copies)}

@@ -5,8 +5,8 @@ the page into a union-free regular expression; most pages of a host fold into fe
 A host's expressions are aligned one after the other: equal items merge, items missing on one side become
 optional, groups absorb their single occurrences, and words that differ make a text slot. The result is
 the host's wrapper. It tells content slots from furniture: slots of the main element where pages have
-one, otherwise body slots that are neither the same words on all pages nor lists of links. Each page is
-then read through the wrapper and its content slots are joined in page order.
+one, otherwise body slots that are neither the same words on all pages nor lists of links. Pages with equal content words count once.
+Each page is then read through the wrapper and its content slots are joined in page order.
 
 Only distinct expressions meet per host, in two steps (shares of a host, then the host), so a host with
 any number of pages never gathers in one task.
@@ -184,6 +184,14 @@ def shape_of(nodes: list[Node]) -> str:
     return xxhash.xxh3_128_hexdigest("\n".join(n.key for n in nodes))
 
 
+def content_hash(items: list[Item]) -> int:
+    """One number for the words of a page that may be content: pages alike in them are one page."""
+    runs = [i for i in items if i.text is not None]
+    main = [i.text for i in runs if i.key.startswith("#A|")]
+    other = [i.text for i in runs if i.key.startswith("#B|") and not i.key.endswith("|l")]
+    return xxhash.xxh3_64_intdigest("\n".join(main or other)) - (1 << 63)
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Id, url, ``text`` and ``n_chars`` (code points) of every page.
 
@@ -198,18 +206,22 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct expressions of a batch with their page counts; words that differ are no words."""
+        """Distinct expressions of a batch and the content hashes of their pages; words that differ are no words."""
         for batch in batches:
             seen: dict[tuple[str, str], list[Node]] = {}
+            alike: dict[tuple[str, str], set[int]] = {}
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
-                nodes = expression(block_items(html.as_py()))
+                items = block_items(html.as_py())
+                nodes = expression(items)
                 for leaf in (x for n in nodes for x in n.leaves()):
-                    leaf.pages, leaf.places = 1, []
+                    leaf.places = []
                 key = (host, shape_of(nodes))
                 seen[key] = [merge(x, y) for x, y in zip(seen[key], nodes, strict=True)] if key in seen else nodes
+                alike.setdefault(key, set()).add(content_hash(items))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
-                 pa.array([to_text(v) for v in seen.values()], pa.string())], ["host", "shape", "nodes"])
+                 pa.array([to_text(v) for v in seen.values()], pa.string()),
+                 pa.array([sorted(alike[k]) for k in seen], pa.list_(pa.int64()))], ["host", "shape", "nodes", "alike"])
 
     def same_shape(group: pa.Table) -> pa.Table:
         texts = group.column("nodes").to_pylist()
@@ -218,6 +230,18 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             nodes = [merge(x, y) for x, y in zip(nodes, from_text(text), strict=True)]
         return pa.table({"host": group.column("host")[:1], "shape": group.column("shape")[:1], "nodes": [to_text(nodes)]})
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each leaf stands for the different pages of its expression."""
+        for batch in batches:
+            texts = []
+            for text, many in zip(batch.column("nodes"), batch.column("pages").to_pylist(), strict=True):
+                nodes = from_text(text.as_py())
+                for leaf in (x for n in nodes for x in n.leaves()):
+                    leaf.pages = many
+                texts.append(to_text(nodes))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), batch.column("shape"), pa.array(texts, pa.string())], ["host", "shape", "nodes"])
+
     def aligned(group: pa.Table) -> pa.Table:
         order = sorted(range(group.num_rows), key=lambda i: group.column("shape")[i].as_py())
         wrapper = from_text(group.column("nodes")[order[0]].as_py())
@@ -226,12 +250,19 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         return pa.table({"host": group.column("host")[:1], "shape": group.column("shape")[:1], "nodes": [to_text(wrapper)]})
 
     kinds = "host string, shape string, nodes string"
-    found = rows.select("host", "html").mapInArrow(shapes, kinds)
+    found = stage(rows.select("host", "html").mapInArrow(shapes, kinds + ", alike array<bigint>"), "expressions")
+    # a page met under several expressions counts for one of them
+    different = found.select("host", "shape", F.explode("alike").alias("page")).groupBy("host", "page").agg(
+        F.min("shape").alias("shape")).groupBy("host", "shape").agg(F.count("*").alias("pages"))
+    different = stage(different, "different")
+    found = found.drop("alike")
     # a host's most common expression may come from any number of batches: merge in shares first
     for shares in (SHARES, 1):
         found = found.withColumn("part", F.pmod(F.xxhash64("nodes"), F.lit(shares))).groupBy("host", "shape", "part") \
             .applyInArrow(same_shape, kinds)
-    distinct = stage(found, "shapes")
+    found = found.join(different, ["host", "shape"], "left").select(
+        "host", "shape", "nodes", F.coalesce("pages", F.lit(0)).alias("pages"))
+    distinct = stage(found.mapInArrow(counted, kinds), "shapes")
     wrapper = distinct
     for shares in (SHARES, 1):
         wrapper = wrapper.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(shares))).groupBy("host", "part") \
