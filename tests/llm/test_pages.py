@@ -188,3 +188,13 @@ def test_copies_of_a_page_are_one_page(spark, copies):
     got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
     assert got == {i: f"story {i} one story {i} two" for i in range(6)} | {
         100 + i: "Only here A lead and a body" for i in range(copies)}
+
+
+def test_wrapper_finds_furniture_inside_the_main_element(spark):
+    page = "<body><article><h1>Title {0}</h1><p>{0} one<p>{0} two<div>Read our letter</div>{1}</article>"
+    some = "<section>Story of the series</section>"  # on a third of the pages: content
+    rows = [(i, "http://news/x", page.format(f"story {i}", some if i % 3 == 0 else ""), "", "") for i in range(9)]
+    rows += [(20, "http://few/x", page.format("a", ""), "", ""), (21, "http://few/y", page.format("b", ""), "", "")]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    want = {i: f"Title story {i} story {i} one story {i} two" + (" Story of the series" if i % 3 == 0 else "") for i in range(9)}
+    assert got == want | {i: f"Title {x} {x} one {x} two Read our letter" for i, x in ((20, "a"), (21, "b"))}

@@ -5,7 +5,8 @@ the page into a union-free regular expression; most pages of a host fold into fe
 A host's expressions are aligned one after the other: equal items merge, items missing on one side become
 optional, groups absorb their single occurrences, and words that differ make a text slot. The result is
 the host's wrapper. It tells content slots from furniture: slots of the main element where pages have
-one, otherwise body slots that are neither the same words on all pages nor lists of links. Pages with equal content words count once.
+one, unless they hold the same words on half of the host's pages or more, otherwise body slots that are
+neither the same words on all their pages nor lists of links. Pages with equal content words count once.
 Each page is then read through the wrapper and its content slots are joined in page order.
 
 Only distinct expressions meet per host, in two steps (shares of a host, then the host), so a host with
@@ -162,15 +163,28 @@ def fold_known(nodes: list[Node]) -> list[Node]:
     return out
 
 
-def content_leaves(wrapper: list[Node], page: list[Node]) -> list[bool]:
-    """For each leaf of a page's expression whether it is a content slot of the wrapper."""
+def content_leaves(wrapper: list[Node], page: list[Node], host_pages: int) -> list[bool]:
+    """For each leaf of a page's expression whether it is a content slot of the wrapper.
+
+    A slot with the same words on all its pages is furniture. Inside the main element, where tags speak for
+    content, at least half of the host's different pages must also have it.
+    """
     leaves = [leaf for n in page for leaf in n.leaves()]
+    same: dict[str, int] = {}
+    for leaf in (x for n in wrapper for x in n.leaves()):
+        if leaf.words is not None and leaf.pages >= SAME_WORDS_PAGES:
+            name = leaf.key + str(leaf.words)
+            same[name] = max(same.get(name, 0), leaf.pages)
+
+    def main(leaf: Node) -> bool:
+        return leaf.key.startswith("#A|") and 2 * same.get(leaf.key + str(leaf.words), 0) < max(host_pages, 1)
+
+    def other(leaf: Node) -> bool:
+        return leaf.key.startswith("#B|") and not leaf.key.endswith("|l") and leaf.key + str(leaf.words) not in same
+
     if any(leaf.key.startswith("#A|") for leaf in leaves):
-        return [leaf.key.startswith("#A|") for leaf in leaves]
-    same = {leaf.key + str(leaf.words) for n in wrapper for leaf in n.leaves()
-            if leaf.words is not None and leaf.pages >= SAME_WORDS_PAGES}
-    return [leaf.key.startswith("#B|") and not leaf.key.endswith("|l") and leaf.key + str(leaf.words) not in same
-            for leaf in leaves]
+        return [main(leaf) for leaf in leaves]
+    return [other(leaf) for leaf in leaves]
 
 
 def leaf_slots(nodes: list[Node], items: list[Item]) -> tuple[list[int], list[str]]:
@@ -270,13 +284,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = ["".join("01"[ok] for ok in content_leaves(from_text(w.as_py()), from_text(n.as_py())))
-                    for w, n in zip(batch.column("wrapper"), batch.column("nodes"), strict=True)]
+            keep = ["".join("01"[ok] for ok in content_leaves(from_text(w.as_py()), from_text(n.as_py()), many))
+                    for w, n, many in zip(batch.column("wrapper"), batch.column("nodes"),
+                                          batch.column("host_pages").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("host"), batch.column("shape"), pa.array(keep, pa.string())], ["host", "shape", "keep"])
 
+    totals = different.groupBy("host").agg(F.sum("pages").alias("host_pages"))
     labels = stage(
-        distinct.join(wrapper.select("host", F.col("nodes").alias("wrapper")), "host").mapInArrow(
+        distinct.join(wrapper.select("host", F.col("nodes").alias("wrapper")).join(totals, "host"), "host").mapInArrow(
             label, "host string, shape string, keep string"), "slots")
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
