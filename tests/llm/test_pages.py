@@ -198,3 +198,19 @@ def test_wrapper_finds_furniture_inside_the_main_element(spark):
     got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
     want = {i: f"Title story {i} story {i} one story {i} two" + (" Story of the series" if i % 3 == 0 else "") for i in range(9)}
     assert got == want | {i: f"Title {x} {x} one {x} two Read our letter" for i, x in ((20, "a"), (21, "b"))}
+
+
+def test_one_word_of_a_name_drops_no_content(spark):
+    cases = {
+        "a": ("<article><h2 id='related-work'>Related work</h2><section id='search-methods'><p class='social'>Body</p></section>"
+              "<div id='menu-design'>Design</div></article>", "Related work Body Design"),
+        "b": ("<article class='has-comments'><h1>T</h1><p>text</article>", "T text"),
+        "c": ("<main id='ad-free'><p>free</main><div class=comments><article>first!</article></div>", "free"),
+        "d": ("<div class='layout with-sidebar'><h1>Head</h1><p>all the body</div>", "Head all the body"),
+        "e": ("<article class='comment'><p>only this</article>", "only this"),
+        "f": ("<div class='sidebar'><p>nothing else</div>", "nothing else"),
+        "g": ("<article><p>kept</p><div class='share'>tweet</div><article class='comment'>me too</article></article>", "kept"),
+    }
+    rows = [(i, f"http://h{i}/", f"<html><body>{page}</body></html>", "", "") for i, (page, _) in enumerate(cases.values())]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: text for i, (_, text) in enumerate(cases.values())}

@@ -27,7 +27,9 @@ CHROME = {"nav", "footer", "aside", "form", "button", "select", "option", "dialo
           "head", "input", "label", "fieldset", "audio", "video", "map"} | RAW
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert",
                 "alertdialog", "menu", "menubar", "toolbar"}
-# Words of class and id names that mark page furniture.
+# Elements whose class can mark them as page furniture.
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "header"}
+# Whole class names that mark page furniture.
 CHROME_WORDS = {"ad", "ads", "adbox", "adslot", "advert", "adverts", "advertisement", "advertising", "adsense",
                 "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice",
                 "notices", "notification", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription",
@@ -51,24 +53,21 @@ def attributes(raw: str) -> dict[str, str]:
     return {(m[1] or m[5]).lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(raw)}
 
 
-def name_words(value: str) -> set[str]:
-    return set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-
-
 def region(name: str, attrs: dict[str, str], inside: str) -> str:
-    """A: main content, B: other body text, X: page furniture, S: furniture by its name only."""
-    words = name_words(f"{attrs.get('class', '')} {attrs.get('id', '')}")
+    """A: main content, M: an article with the class of a comment or teaser, B: other body text, X: page
+    furniture, S and C: furniture by the class of a container, C also for the articles in it."""
+    words = set(attrs.get("class", "").lower().split())
     if inside == "X" or name in CHROME or "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return "X"
     if attrs.get("role", "").lower() in CHROME_ROLES or re.search(r"display\s*:\s*none", attrs.get("style", "")):
         return "X"
     if name in CONTENT or attrs.get("role") in CONTENT or attrs.get("itemprop") == "articleBody":
-        return "X" if words & OWN_WORDS or inside == "S" and name not in CONTENT else "A"
+        return inside if inside in ("C", "M") else "M" if words & OWN_WORDS else "A"
     if name in ("html", "body"):
         return "B"
-    if words & CHROME_WORDS:
-        return "X" if inside == "A" or words & OWN_WORDS else "S"
-    if name == "header" and inside != "A" or "header" in words and inside not in ("A", "S"):
+    if name in CONTAINERS and words & CHROME_WORDS:
+        return "C" if inside in ("A", "M", "C") or words & OWN_WORDS else "S"
+    if name in CONTAINERS and inside not in ("A", "M", "C") and (name == "header" or "header" in words):
         return "S"
     return inside
 

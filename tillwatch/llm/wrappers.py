@@ -33,6 +33,8 @@ from tillwatch.llm.url_filter import url_host
 LONGEST_GROUP = 12
 SHARES = 16
 SAME_WORDS_PAGES = 3
+MAIN = ("A", "M")
+TIERS = (*MAIN, "B", "SC")  # regions of which the first with content is read
 
 
 @dataclass
@@ -167,7 +169,8 @@ def content_leaves(wrapper: list[Node], page: list[Node], host_pages: int) -> li
     """For each leaf of a page's expression whether it is a content slot of the wrapper.
 
     A slot with the same words on all its pages is furniture. Inside the main element, where tags speak for
-    content, at least half of the host's different pages must also have it.
+    content, at least half of the host's different pages must also have it. Text that only a class name
+    marks as furniture counts where the page has no other.
     """
     leaves = [leaf for n in page for leaf in n.leaves()]
     same: dict[str, int] = {}
@@ -176,15 +179,17 @@ def content_leaves(wrapper: list[Node], page: list[Node], host_pages: int) -> li
             name = leaf.key + str(leaf.words)
             same[name] = max(same.get(name, 0), leaf.pages)
 
-    def main(leaf: Node) -> bool:
-        return leaf.key.startswith("#A|") and 2 * same.get(leaf.key + str(leaf.words), 0) < max(host_pages, 1)
+    def content(leaf: Node, tier: str) -> bool:
+        if leaf.key[0] != "#" or leaf.key[1] not in tier:
+            return False
+        pages = same.get(leaf.key + str(leaf.words), 0)
+        return 2 * pages < max(host_pages, 1) if tier in MAIN else not pages and not leaf.key.endswith("|l")
 
-    def other(leaf: Node) -> bool:
-        return leaf.key.startswith("#B|") and not leaf.key.endswith("|l") and leaf.key + str(leaf.words) not in same
-
-    if any(leaf.key.startswith("#A|") for leaf in leaves):
-        return [main(leaf) for leaf in leaves]
-    return [other(leaf) for leaf in leaves]
+    for tier in TIERS:
+        found = [content(leaf, tier) for leaf in leaves]
+        if any(found):
+            break
+    return found
 
 
 def leaf_slots(nodes: list[Node], items: list[Item]) -> tuple[list[int], list[str]]:
@@ -200,10 +205,12 @@ def shape_of(nodes: list[Node]) -> str:
 
 def content_hash(items: list[Item]) -> int:
     """One number for the words of a page that may be content: pages alike in them are one page."""
-    runs = [i for i in items if i.text is not None]
-    main = [i.text for i in runs if i.key.startswith("#A|")]
-    other = [i.text for i in runs if i.key.startswith("#B|") and not i.key.endswith("|l")]
-    return xxhash.xxh3_64_intdigest("\n".join(main or other)) - (1 << 63)
+    for tier in TIERS:
+        texts = [i.text for i in items if i.text is not None and i.key[1] in tier
+                 and (tier in MAIN or not i.key.endswith("|l"))]
+        if texts:
+            break
+    return xxhash.xxh3_64_intdigest("\n".join(texts)) - (1 << 63)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
