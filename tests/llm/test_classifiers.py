@@ -87,3 +87,17 @@ def test_thresholds_are_ordered_and_severity_grows():
     assert expected == sorted(expected) and expected[3] - expected[0] > 1.5
     hit = np.mean([np.argmax(-np.diff(np.concatenate([[1.0], m.at_least(x), [0.0]]))) == g for x, g in zip(rows, grades)])
     assert hit > 0.9
+
+
+def test_long_words_count_to_their_last_character():
+    forms = quality.Forms()
+    head, tail = "文" * 64, "終" * 100
+    one = quality.form_ngrams(head + "本。" * 300 + tail, forms)
+    two = quality.form_ngrams(head + "a1,B2;" * 300 + tail, forms)
+    assert len(set(one) ^ set(two)) > 10
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("aB0,;字"), 5_000))
+    for at in range(0, 5_000, 250):  # every part of the word has its own features
+        changed = text[:at] + "#%" * 30 + text[at + 60:]
+        assert set(quality.form_ngrams(changed, forms)) != set(quality.form_ngrams(text, forms))
+    assert set(quality.form_ngrams("end" + "." * 20, forms)) != set(quality.form_ngrams("end" + "." * 30, forms))

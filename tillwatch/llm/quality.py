@@ -1,7 +1,8 @@
 """Document quality by support vectors on Naive Bayes scaled n-gram indicators.
 
 Features are the 1- to 3-grams of word forms (``Word,`` is ``Aa,``; a word equal to the one before it is
-marked), hashed to ``BUCKETS`` indicators. Forms do not depend on language or vocabulary. Each indicator
+marked), hashed to ``BUCKETS`` indicators. Longer words, as in scripts without blanks, are read as consecutive
+units of ``UNIT`` characters. Forms do not depend on language or vocabulary. Each indicator
 is scaled by the log ratio of its class shares, and a linear hinge-loss model on the scaled vectors is
 fitted by dual coordinate descent. A logistic curve fitted on rows that the descent did not see turns
 margins into probabilities.
@@ -31,19 +32,20 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 FIT_ROWS = 8_000
 KEPT_WORDS = 100_000
+UNIT = 64
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
 class Forms(dict):
-    """Hash of the form of each word, kept for words seen before."""
+    """Hash of the form of each word of at most ``UNIT`` characters, kept for words seen before."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= KEPT_WORDS:
             self.clear()
         form = "".join(
-            "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+            "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
         form = re.sub(r"(.)\1+", r"\1", form) if len(form) > 1 else form
-        tail = re.search(r"[^\w]*$", word[-8:])[0]
+        tail = re.search(r"[^\w]*$", word)[0]
         self[word] = value = xxhash.xxh3_64_intdigest(f"{form} {tail}")
         return value
 
@@ -57,6 +59,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def form_ngrams(text: str, forms: Forms) -> np.ndarray:
     """Sorted distinct buckets of a text's 1- to 3-grams of forms; empty for a text without words."""
     words = text.split()
+    if len(max(words, key=len, default="")) > UNIT:
+        words = [w[i:i + UNIT] for w in words for i in range(0, len(w), UNIT)]
     n = len(words)
     if not n:
         return np.zeros(0, np.int32)
