@@ -101,3 +101,18 @@ def test_long_words_count_to_their_last_character():
         changed = text[:at] + "#%" * 30 + text[at + 60:]
         assert set(quality.form_ngrams(changed, forms)) != set(quality.form_ngrams(text, forms))
     assert set(quality.form_ngrams("end" + "." * 20, forms)) != set(quality.form_ngrams("end" + "." * 30, forms))
+
+
+def test_the_sample_bounds_rows_and_takes_documents_at_hand(spark):
+    docs = spark.createDataFrame(
+        [(1, f"copy {i % 7}", "", "") for i in range(60)] + [(i, f"text {i}", "", "") for i in range(2, 30)] + [(None, "x", "", "")],
+        DOCS).repartition(4)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(2_000)] + [(None, 1)], "doc_id bigint, quality int")
+
+    def sample(rows, labels, most):
+        return quality.fit_on_sample(
+            rows, labels, "doc_id", "text", "quality", most, quality.Forms, quality.form_ngrams, lambda x, y: (len(x), int(y.sum())))
+
+    assert sample(docs, marks, 100) == (29, 15)  # ids 1 to 29, once each
+    assert sample(docs, marks, 10)[0] == 10  # not fewer, though most labelled ids have no document
+    assert sample(docs.limit(0), marks, 10) == (0, 0)

@@ -173,24 +173,30 @@ def fit_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     fit_rows: int = FIT_ROWS,
 ) -> Model:
-    """The model of at most ``fit_rows`` labelled ids, those with the smallest hash.
+    """The model of at most ``fit_rows`` documents with labelled ids, those with the smallest hash of their id.
 
-    Null labels and ids are left out, an id labelled twice counts once with its smaller label, and every
-    document of a labelled id is used. Without labels every score is one half.
+    Null labels and ids are left out, an id labelled twice counts once with its smaller label, and of an
+    id's documents the one with the smallest hash of its text. Without labels every score is one half.
     """
     return fit_on_sample(docs, labels, id_col, text_col, label_col, fit_rows, Forms, form_ngrams, fit_model)
 
 
 def fit_on_sample(docs, labels, id_col, text_col, label_col, fit_rows, vocabulary, featurise, fit):
-    """Features of a bounded, hash-ordered sample of labelled documents, and ``fit`` on them in one task."""
+    """Features of a bounded, hash-ordered sample of labelled documents, and ``fit`` on them in one task.
+
+    The sample is taken from the labels of ``docs``, one document per id, so ``fit_rows`` bounds its rows.
+    """
     bound_batches(docs.sparkSession)
+    marked = docs.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("id")).agg(
+        F.min(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).alias("mark"))
     chosen = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-        .withColumn("place", F.xxhash64("id")).orderBy("place", "id").limit(fit_rows))
+        .join(marked, "id").withColumn("place", F.xxhash64("id")).orderBy("place", "id").limit(fit_rows))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-    ).join(F.broadcast(chosen), "id")  # at most fit_rows narrow rows
+    ).withColumn("mark", F.xxhash64("text")).join(F.broadcast(chosen), ["id", "mark"])  # at most fit_rows narrow rows
+    rows = rows.dropDuplicates(["id"])  # equal copies
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = per_process(f"words {vocabulary.__name__}", vocabulary)

@@ -142,11 +142,12 @@ def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     fit_rows: int = FIT_ROWS, fit=fit_toxic_labels,
 ) -> Severity:
-    """The model of at most ``fit_rows`` labelled ids, those with the smallest hash.
+    """The model of at most ``fit_rows`` documents with labelled ids, those with the smallest hash of their id.
 
     ``fit`` is :func:`fit_toxic_labels` for 0/1 labels, :func:`fit_severity` for labels that are grades.
-    Null labels and ids are left out, an id labelled twice counts once with its smaller label. Without
-    labels, or without any above 0, no document is toxic.
+    Null labels and ids are left out, an id labelled twice counts once with its smaller label, and of
+    an id's documents the one with the smallest hash of its text. Without labels, or without any above 0, no
+    document is toxic.
     """
     return fit_on_sample(docs, labels, id_col, text_col, label_col, fit_rows, Words, word_features, fit)
 
