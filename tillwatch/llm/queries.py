@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from tillwatch.llm.bpe import document_digests
 from tillwatch.llm.common import table
+from tillwatch.llm.divergence import divergence
+from tillwatch.llm.line_dedup import dedup_lines
 from tillwatch.llm.near_vectors import near_vectors
 from tillwatch.llm.packing import Limits, pack, token_pieces
 from tillwatch.llm.quality import fit_quality, held_out, score_quality
 from tillwatch.llm.shingle_join import near_documents
 from tillwatch.llm.top_products import top_products
 from tillwatch.llm.toxicity import fit_toxicity, score_toxicity
+from tillwatch.llm.turn_repair import damaged, repair_report
 from tillwatch.llm.url_filter import judge_urls
 from tillwatch.llm.wrappers import main_text
 from tillwatch.llm.warc import archive_folder, read_archives, write_archives
@@ -117,6 +120,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(table(spark, sf_dir, "documents")).drop("mark", "group")
 
 
+@query("op11_line_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, min_chars=20, min_docs=3).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op12_divergence")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
+@query("op13_turn_repair")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))
+
+
 @query("pipeline")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
