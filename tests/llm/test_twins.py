@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     assert set(QUERIES) <= set(registered.queries()) and set(ORACLE) <= set(registered.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -141,15 +141,16 @@ def dedup_lines(
         F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(NO_ID)).alias("order"), F.xxhash64(text).alias("mark"),
         text.alias("text"), *(F.col(f"`{c}`").alias(f"own_{c}") for c in own if c != text_col))
 
-    borders = rows.approxQuantile("order", [n / batches for n in range(1, batches)], 0.01)
-    batch = reduce(Column.__add__, [(F.col("order") < F.lit(int(b))).cast("int") for b in set(borders)], F.lit(0))
+    shares = [n / batches for n in range(1, batches)]
+    borders = {int(b) for b in rows.approxQuantile("order", shares, 0.01)} if shares else set()
+    batch = reduce(Column.__add__, [(F.col("order") < F.lit(b)).cast("int") for b in sorted(borders)], F.lit(0))
     hashed = hashed_lines(rows, min_chars).withColumn("batch", batch)
     path = scratch(spark, "lines")
     hashed.write.partitionBy("batch").parquet(path)
     lines = spark.read.schema(hashed.schema).parquet(path)
 
     runs = LineRuns(spark, fanout=fanout)
-    for n in range(len(set(borders)) + 1):
+    for n in range(len(borders) + 1):
         runs.add(batch_keys(lines.where(F.col("batch") == n)))
     counted = runs.compact()
     shared = counted.where(F.col("docs") >= min_docs).select(*HASH, "rows", "owner")
