@@ -31,8 +31,10 @@ from tillwatch.llm.common import bound_batches, small_side, stage
 #: ASCII letters lowered, other ASCII blanked, bytes of longer characters left alone.
 TERM_BYTES = bytes(
     b | 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
-#: Entries that a task holds before it emits them.
-HELD = 300_000
+#: Entries and tokens that a task holds before it emits them.
+HELD, TOKENS = 600_000, 1 << 31
+#: A document counts as this much beside its tokens, so that one number holds both.
+ONE_DOC = 1 << 32
 SCALE, PRIOR = 1_000_000_000, 5
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
@@ -43,15 +45,15 @@ def terms(text: bytes) -> list[bytes]:
 
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, text) to sparse counts of terms and of the documents that hold them."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    entries = 0
+    held: dict[tuple[str, str], dict[bytes, int]] = {}
+    entries = tokens = 0
 
     def emit() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (freq, docs) in held.items():
+        for (lang, source), counts in held.items():
+            both = np.fromiter(counts.values(), np.int64, len(counts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(freq)), pa.array([source] * len(freq)),
-                 pa.array(list(freq), pa.binary()).cast(pa.string()),
-                 pa.array(list(freq.values()), pa.int64()), pa.array([docs[w] for w in freq], pa.int64())],
+                [pa.repeat(lang, len(counts)), pa.repeat(source, len(counts)),
+                 pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(both % ONE_DOC), pa.array(both // ONE_DOC)],
                 names=["lang", "source", "term", "n", "docs"])
         held.clear()
 
@@ -59,14 +61,15 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
         for lang, source, text in zip(langs, sources, batch.column("text").cast(pa.binary()), strict=True):
             found = Counter(terms(text.as_py()))
-            freq, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            entries -= len(freq)
-            freq.update(found)
-            docs.update(found.keys())
-            entries += len(freq)
-            if entries >= HELD:
+            counts = held.setdefault((lang, source), {})
+            known, so_far = len(counts), counts.get
+            for term, n in found.items():
+                counts[term] = so_far(term, 0) + n + ONE_DOC
+            entries += len(counts) - known
+            tokens += found.total()
+            if entries >= HELD or tokens >= TOKENS:
                 yield from emit()
-                entries = 0
+                entries = tokens = 0
     yield from emit()
 
 
@@ -132,7 +135,8 @@ def divergence(
     rows = docs.select(
         *(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(a) for c, a in
           ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
-    counted = rows.mapInArrow(count_terms, COUNTS)
+    # one shuffle serves both sums; a term sends a row per source and task, however common it is
+    counted = rows.mapInArrow(count_terms, COUNTS).repartition("lang", "term")
     used = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     by_term = used.groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"),
