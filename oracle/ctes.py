@@ -107,7 +107,7 @@ FROM generate_series(DATE '{sd.HISTORY_FROM}', DATE '{sd.HISTORY_TO}', INTERVAL
 cte("activity", f"""
 SELECT transaction_id, user_id, new_ms AS ms, cast(round(amount::DECIMAL(19,0) * rate_to_vnd) AS BIGINT) AS amount_vnd
 FROM (
-  SELECT *, {tb.ACTIVITY_MS} AS new_ms FROM (SELECT *, {tb.USER_NUMBER} AS u FROM payments WHERE transaction_id LIKE 'T%')
+  SELECT *, {tb.ACTIVITY_MS} AS new_ms FROM (SELECT *, {tb.USER_NUMBER} AS u FROM payments)
   QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingested_ms DESC) = 1) p
 LEFT JOIN history_fx f ON f.date = make_timestamp(new_ms * 1000)::DATE AND f.currency = p.currency
 WHERE status = 'SUCCESS' AND txn_type = 'PAYMENT'""")

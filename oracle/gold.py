@@ -300,12 +300,15 @@ ORDER BY highlight DESC, state_from, state_to""")
 oracle("t4_churn_risk", "SELECT * FROM life_moves WHERE state_to = 'AT_RISK' ORDER BY gmv_30d_before DESC, user_id")
 oracle("q12_slipping_customers", """
 SELECT * FROM life_moves WHERE state_from = 'HIGHLY_ACTIVE' AND state_to = 'AT_RISK' ORDER BY gmv_30d_before DESC, user_id""")
-oracle("w6_lifecycle_history", """
+HISTORY = """
 SELECT user_id, state, as_of::VARCHAR AS valid_from, (lead(as_of) OVER w)::VARCHAR AS valid_to,
   lead(as_of) OVER w IS NULL AS is_current, round(median_gap, 6) AS median_gap, days_silent,
   round(silence_ratio, 6) AS silence_ratio, txn_count_30d, txn_count_90d, gmv_30d
 FROM (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY as_of) AS before FROM life_states)
-WHERE before IS NULL OR before <> state WINDOW w AS (PARTITION BY user_id ORDER BY as_of)""")
+WHERE before IS NULL OR before <> state WINDOW w AS (PARTITION BY user_id ORDER BY as_of)"""
+oracle("w6_lifecycle_history", HISTORY)
+oracle("w6_history_by_day", HISTORY)
+
 
 # ---- screens and checks ------------------------------------------------------------------------
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracle import core  # noqa: F401
 from oracle.ctes import CRC32
 from oracle.texts import oracle
+from tillwatch import testbed as tb
 
 BROKEN = "ms % 500 = 3"
 
@@ -12,7 +13,8 @@ oracle("s3_parse_json", f"""
 SELECT dt::VARCHAR AS dt, count(*) FILTER (NOT {BROKEN}) AS parsed, count(*) FILTER ({BROKEN}) AS quarantined
 FROM payments GROUP BY dt""")
 oracle("s5_bronze_layout", """
-SELECT dt::VARCHAR AS dt, count(*) AS rows, sum(amount)::BIGINT AS amount FROM payments GROUP BY dt""")
+SELECT dt::VARCHAR AS dt, count(*) AS rows, sum(amount)::BIGINT AS amount, 1::BIGINT AS files, count(*) AS rows_in_files
+FROM payments GROUP BY dt""")
 oracle("s9_lake_scan", """
 SELECT dt::VARCHAR AS dt, channel, count(*) AS rows, sum(amount)::BIGINT AS amount FROM payments
 WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-08' GROUP BY dt, channel""")
@@ -193,10 +195,20 @@ SELECT ms // 60000 * 60000 AS minute, coalesce(sum(amount_vnd) FILTER (status =
   count(*) AS txns, count(*) FILTER (status = 'SUCCESS') AS succeeded FROM ok_clean GROUP BY 1""")
 oracle("s16_keyed_producer", """
 SELECT user_id AS key, count(*) AS records, 1::BIGINT AS partitions FROM payments GROUP BY 1""")
-oracle("x2_silent_partition", """
-WITH t AS (SELECT * FROM clean WHERE src_partition <> 5)
-SELECT ms // 60000 * 60000 AS minute, count(*) AS txns, sum(amount_vnd)::BIGINT AS amount_vnd FROM t
-WHERE ms // 60000 * 60000 + 60000 <= (SELECT max(ms) FROM t) - 10000 GROUP BY 1""")
+oracle("x2_silent_partition", f"""
+WITH sent AS (SELECT *, {tb.SILENT_ARRIVAL_MS} AS arrived FROM payments WHERE ms % 500 <> 3),
+grid AS (
+  SELECT i.arrived, p.src_partition, max(r.ms) AS ms, max(r.arrived) AS seen
+  FROM (SELECT DISTINCT arrived FROM sent) i CROSS JOIN (SELECT DISTINCT src_partition FROM sent) p
+  LEFT JOIN sent r ON r.arrived = i.arrived AND r.src_partition = p.src_partition GROUP BY ALL),
+carried AS (
+  SELECT arrived, max(ms) OVER w AS top, max(seen) OVER w AS last FROM grid
+  WINDOW w AS (PARTITION BY src_partition ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+newest AS (SELECT *, max(last) OVER (PARTITION BY arrived) AS newest FROM carried),
+smallest AS (SELECT arrived, min(top) FILTER (last >= least(arrived - 30000, newest)) - 10000 AS mark FROM newest GROUP BY arrived),
+marks AS (SELECT arrived, max(mark) OVER (ORDER BY arrived) AS watermark_ms FROM smallest)
+SELECT transaction_id, src_partition, arrived AS ingested_at, watermark_ms, coalesce(ms < watermark_ms, false) AS late
+FROM sent JOIN marks USING (arrived)""")
 oracle("x3_late_side_output", """
 WITH runs AS (SELECT *, CASE WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-21') THEN 2
     WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-11') OR src_partition = 5 THEN 1 ELSE 0 END AS run FROM ok_payments),
@@ -207,20 +219,74 @@ oracle("x6_rules_arrive_later", """
 WITH runs AS (SELECT transaction_id, min(ingested_ms) < epoch_ms(TIMESTAMP '2024-01-21') AS early FROM ok_payments GROUP BY 1)
 SELECT early AS rules_not_ready, CASE WHEN early THEN 'PASS' ELSE decision END AS decision, count(*) AS txns
 FROM ok_decided JOIN runs USING (transaction_id) GROUP BY ALL""")
+PIECE = "greatest(0, least(3, floor(({at} - 1704067200000) / 691200000.0)::BIGINT))"
+oracle("s14_rules_topic", f"""
+WITH last AS (
+  SELECT * FROM rule_changes JOIN ev ON ev.id = version WHERE NOT ({tb.RULE_BROKEN})
+  QUALIFY row_number() OVER (PARTITION BY rule_id ORDER BY ms0 DESC, version DESC) = 1)
+SELECT 'rule' AS kind, rule_id AS id, version, action, enabled, max_amount_vnd::VARCHAR AS max_amount_vnd FROM last WHERE op <> 'd'
+UNION ALL SELECT 'quarantine', rule_id, count(*), NULL, NULL, NULL FROM rule_changes JOIN ev ON ev.id = version
+  WHERE {tb.RULE_BROKEN} GROUP BY rule_id""")
+oracle("s12_profiles_topic", """
+SELECT user_id, account_tier, kyc_status, 0::BIGINT AS unreadable FROM profiles WHERE user_id NOT LIKE '%7'
+UNION ALL SELECT user_id, NULL, NULL, count(*) FROM profile_changes WHERE user_id LIKE '%7' GROUP BY user_id""")
+oracle("x6_rules_topic", f"""
+WITH changed AS (
+  SELECT r.*, ms0, {PIECE.format(at='ms0')} AS piece FROM rule_changes r JOIN ev ON ev.id = version WHERE NOT ({tb.RULE_BROKEN})),
+pieces AS (SELECT unnest(range(4)) AS piece),
+books AS (
+  SELECT p.piece, c.* EXCLUDE (piece) FROM pieces p JOIN changed c ON c.piece <= p.piece
+  QUALIFY row_number() OVER (PARTITION BY p.piece, rule_id ORDER BY ms0 DESC, version DESC) = 1),
+live AS (SELECT * FROM books WHERE op <> 'd' AND enabled),
+arrived AS (SELECT transaction_id, min({PIECE.format(at='ingested_ms')}) AS piece FROM ok_payments GROUP BY 1),
+tops AS (
+  SELECT p.piece, max(ms) AS top FROM pieces p JOIN ok_payments o ON {PIECE.format(at='ingested_ms')} <= p.piece GROUP BY p.piece),
+judged AS (
+  SELECT c.transaction_id, c.ms, c.amount_vnd,
+    coalesce((SELECT min(t.piece) FROM tops t WHERE t.piece >= a.piece AND c.ms < t.top - 10000), 3) AS piece
+  FROM ok_clean c JOIN arrived a ON a.transaction_id = c.transaction_id),
+best AS (
+  SELECT j.transaction_id, rule_id, action FROM judged j JOIN live l ON l.piece = j.piece AND l.ms0 <= j.ms AND j.amount_vnd > l.max_amount_vnd
+  QUALIFY row_number() OVER (PARTITION BY j.transaction_id ORDER BY priority DESC, version DESC, rule_id DESC) = 1)
+SELECT j.transaction_id, coalesce(action, 'PASS') AS decision, rule_id, NOT EXISTS (FROM live l WHERE l.piece = j.piece) AS rules_not_ready
+FROM judged j LEFT JOIN best b ON b.transaction_id = j.transaction_id""")
+oracle("u1_silver_merge", """
+WITH runs AS (SELECT *, CASE WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-21') THEN 2
+    WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-11') OR src_partition = 5 THEN 1 ELSE 0 END AS run FROM ok_payments),
+first_seen AS (SELECT transaction_id, any_value(ms) AS ms, min(run) AS run FROM runs GROUP BY 1),
+tops AS (SELECT run, max(max(ms)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM runs GROUP BY run)
+SELECT dt::VARCHAR AS dt, count(*) AS txns, sum(amount_vnd)::BIGINT AS amount_vnd,
+  count(*) FILTER (coalesce(f.ms < top - 10000, false)) > 0 AS rewritten
+FROM ok_clean c JOIN first_seen f ON f.transaction_id = c.transaction_id JOIN tops USING (run) GROUP BY dt""")
 oracle("x8_stream_decisions", "SELECT transaction_id, decision, rule_id, rule_type FROM ok_decided")
 oracle("x9_card_testing_stream", """
 SELECT device_id, alert_txn AS transaction_id, b_ms AS event_ms, large_amount_vnd, chain_len,
   min(ms) OVER (PARTITION BY alert_txn) AS chain_start_ms, transaction_id AS evidence_id FROM chains
-WHERE chain_len >= 5 AND b_ms < (SELECT max(ms) FROM clean) - 10000""")
+WHERE chain_len >= 5""")
 oracle("x10_travel_stream", """
-SELECT user_id, transaction_id, ms AS event_ms, prev_transaction_id, round(km, 3) AS km, gap_ms FROM travel
-WHERE ms < (SELECT max(ms) FROM clean) - 10000""")
+SELECT user_id, transaction_id, ms AS event_ms, prev_transaction_id, round(km, 3) AS km, gap_ms FROM travel""")
 oracle("x11_stream_points", """
 SELECT transaction_id, total_15m, multiplier::BIGINT AS multiplier, points::BIGINT AS points FROM ok_points_of WHERE eligible""")
 oracle("x12_sliding_stream", """
 SELECT user_id, (ms // 60000 - k) * 60000 AS window_start, sum(amount_vnd)::BIGINT AS total
-FROM points_of, range(0, 15) g(k) WHERE eligible AND (ms // 60000 - k) * 60000 + 900000
-  <= (SELECT max(ms) FROM points_of WHERE eligible) - 10000 GROUP BY ALL""")
+FROM points_of, range(0, 15) g(k) WHERE eligible GROUP BY ALL""")
+# Positions are forgotten a day after, streaks two minutes after their first failure.
+oracle("x13_state_ttl", """
+WITH stop AS (SELECT max(ms) AS cut FROM clean WHERE transaction_id LIKE 'C%-3'),
+phases AS (SELECT phase, cut - 10000 + later AS mark, cut FROM stop,
+  (VALUES ('stopped', 0::BIGINT), ('ten minutes', 600000), ('a day', 86400000)) p(phase, later)),
+seen AS (SELECT phase, mark, c.* FROM phases, clean c WHERE ms <= cut AND ms < mark),
+positions AS (
+  SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY phase, user_id ORDER BY ms DESC, transaction_id DESC) = 1),
+small AS (
+  SELECT *, coalesce(status = 'FAILED' AND amount_vnd < 20000, false) AS small,
+    max(CASE WHEN NOT coalesce(status = 'FAILED' AND amount_vnd < 20000, false) THEN (ms, transaction_id) END)
+      OVER (PARTITION BY phase, device_id) AS broken FROM seen),
+streaks AS (
+  SELECT *, min(ms) OVER (PARTITION BY phase, device_id) AS first_ms FROM small
+  WHERE small AND (broken IS NULL OR (ms, transaction_id) > broken))
+SELECT 'travel' AS detector, phase, user_id AS id, transaction_id, ms FROM positions WHERE ms + 86400000 >= mark
+UNION ALL SELECT 'card', phase, device_id, transaction_id, ms FROM streaks WHERE first_ms + 120000 >= mark""")
 oracle("x14_resume", "SELECT dt::VARCHAR AS dt, count(*) AS txns, count(*) AS distinct_txns FROM ok_clean GROUP BY dt")
 oracle("x15_live_metrics", """
 WITH seen AS (SELECT *, max(ms) OVER (ORDER BY ingested_ms RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM ok_clean)
@@ -228,6 +294,19 @@ SELECT count(*) AS events, round(quantile_cont(ingested_ms - ms, 0.5), 6) AS lag
   round(quantile_cont(ingested_ms - ms, 0.95), 6) AS lag_p95_ms, round(quantile_cont(ingested_ms - ms, 0.99), 6) AS lag_p99_ms,
   0::DOUBLE AS late_rate, round(avg(coalesce(ms < top, false)::INTEGER), 6) AS out_of_order_rate,
   max(ingested_ms) - max(ms) + 10000 AS watermark_lag_ms FROM seen""")
+oracle("x15_metrics_by_batch", """
+WITH runs AS (SELECT *, CASE WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-21') THEN 2
+    WHEN ingested_ms >= epoch_ms(TIMESTAMP '2024-01-11') OR src_partition = 5 THEN 1 ELSE 0 END AS run FROM ok_payments),
+tops AS (SELECT run, max(max(ms)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM runs GROUP BY run),
+fresh AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY run, ingested_ms DESC) = 1),
+seen AS (
+  SELECT f.*, top, max(ms) OVER (PARTITION BY run ORDER BY ingested_ms RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS inside
+  FROM fresh f JOIN tops USING (run))
+SELECT run AS batch_id, count(*) AS events, round(quantile_cont(ingested_ms - ms, 0.5), 6) AS lag_p50_ms,
+  round(quantile_cont(ingested_ms - ms, 0.95), 6) AS lag_p95_ms, round(quantile_cont(ingested_ms - ms, 0.99), 6) AS lag_p99_ms,
+  round(avg(coalesce(ms < top - 10000, false)::INTEGER), 6) AS late_rate,
+  round(avg(coalesce(ms < inside OR ms < top, false)::INTEGER), 6) AS out_of_order_rate,
+  max(ingested_ms) - max(greatest(ms, coalesce(top, ms))) + 10000 AS watermark_lag_ms FROM seen GROUP BY run""")
 oracle("x8_micro_batches", """
 SELECT 'decision' AS kind, transaction_id AS id, concat(decision, ' ', coalesce(rule_id, '-')) AS value FROM steady_decided
 UNION ALL SELECT 'alert', alert_id, severity FROM steady_alerts

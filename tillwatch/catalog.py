@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from tillwatch.context import Context
 from tillwatch.functions.exprs import (
     device_hash, event_time, experiment_group, is_gmv, iso_millis, mask_ip, ratio,
 )
-from tillwatch.operators import arrival, enrich, latest, points, retries, slices
+from tillwatch.operators import arrival, enrich, latest, panes, points, retries, slices
 from tillwatch.operators import card_testing as card
 from tillwatch.operators.rules import active_rules, decide
 from tillwatch.plans import fraud, lifecycle, loyalty, merchant, quality, screens
 from tillwatch.plans.silver import clean, merge_late, protect
 from tillwatch.sources import changelog, files, seeds
+from tillwatch.sources.manifest import DatedTable
 from tillwatch.testbed import LIFECYCLE_AS_OF, SALT
 
 QUERIES: dict[str, Callable[[Context], DataFrame]] = {}
@@ -50,10 +52,14 @@ def _(c: Context):
 
 @query("s5_bronze_layout")
 def _(c: Context):
-    path = files.write_bronze(c.tb.payments, c.scratch("bronze"))
-    files.compact(c.spark, path, c.scratch("compacted"))
-    return files.lake_scan(c.spark, path).groupBy("dt").agg(
-        F.count("*").alias("rows"), F.sum("amount").alias("amount"))
+    """Bronze landed in three commits of small files, then compacted; rows and files come from the new manifest."""
+    rows = c.tb.payments
+    bronze = DatedTable(c.spark, c.scratch("bronze"), rows.schema)
+    for third in range(3):
+        bronze.append(rows.where(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == third))
+    bronze.compact()
+    of_day = bronze.files().groupBy("dt").agg(F.count("*").alias("files"), F.sum("rows").alias("rows_in_files"))
+    return bronze.read().groupBy("dt").agg(F.count("*").alias("rows"), F.sum("amount").alias("amount")).join(of_day, "dt")
 
 
 @query("s9_lake_scan")
@@ -519,6 +525,18 @@ def _(c: Context):
     return lifecycle.history(lifecycle.states(c.history, c.wh.suspended, LAST_WEEK))
 
 
+@query("w6_history_by_day")
+def _(c: Context):
+    """The same history, one day after the other merged into the written table."""
+    suspended = c.stage(c.wh.suspended, "suspended")
+    opened = lifecycle.states(c.history, suspended, [AS_OF]).select(
+        "user_id", "state", *lifecycle.OPENED, F.col("as_of").alias("dt"))
+    table = DatedTable(c.spark, c.scratch("lifecycle"), opened.schema)
+    for day in LAST_WEEK:
+        lifecycle.merge_day(table, lifecycle.states(c.history, suspended, [day]), date.fromisoformat(day))
+    return lifecycle.written_history(table)
+
+
 @query("w7_points_overspent")
 def _(c: Context):
     return quality.overspent(c.wh.points, c.wh.redemptions)
@@ -618,11 +636,7 @@ def _(c: Context):
 
 @query("x12_sliding_sums")
 def _(c: Context):
-    return (
-        c.wh.decided.where(points.earns_points())
-        .groupBy("user_id", F.window("event_ts", "15 minutes", "1 minute").alias("w"))
-        .agg(F.sum("amount_vnd").alias("total"))
-        .select("user_id", F.col("w.start").alias("window_start"), "total"))
+    return panes.sliding_from_panes(panes.panes_of(c.wh.decided.where(points.earns_points())))
 
 
 # ---- data tests --------------------------------------------------------------------------------
@@ -644,9 +658,7 @@ def _(c: Context):
 
 @query("qb_accepted_values")
 def _(c: Context):
-    # every 97th millisecond a row is given a status that the contract does not know
-    odd = F.pmod(F.unix_millis("event_ts"), F.lit(97)) == 5
-    rows = _enriched_once(c).withColumn("status", F.when(odd, "REVERSED").otherwise(F.col("status")))
+    rows = enrich.enrich(clean(c.tb.unruly_payments, c.seeds.fx_rate), c.wh.profiles)
     return quality.not_accepted(rows, {
         "status": schemas.STATUSES, "channel": schemas.CHANNELS, "account_tier": schemas.TIERS})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from tillwatch.sources.seeds import HISTORY_FROM, HISTORY_TO, Seeds, default_see
 from tillwatch.testbed import SALT, Testbed
 
 
-# Tables that queries share, and where this process has written them.
+# Tables that queries share, and where this process has written them. The files of the data folder are part
+# of the key: a folder that has been written anew is read anew.
 SHARED, BY_DATE = {"facts", "history", "watermarked"}, {"facts"}
-WRITTEN: dict[tuple[str, str, str], str] = {}
+WRITTEN: dict[tuple, str] = {}
 
 
 class Context:
@@ -51,7 +53,7 @@ class Context:
         Silver facts are the same for every query over a data folder: the first one that needs them writes
         them, by date, and the others of the application read that copy.
         """
-        shared = (self.spark.sparkContext.applicationId, self.tb.sf_dir, name)
+        shared = self.shared_key(name)
         path = WRITTEN.get(shared) or self.scratch(name)
         self.staged[name] = path
         if shared not in WRITTEN:
@@ -63,6 +65,16 @@ class Context:
             WRITTEN[shared] = path
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def shared_key(self, name: str) -> tuple:
+        return (self.spark.sparkContext.applicationId, *sorted(self.tb.events.inputFiles()), name)
+
+    def once(self, name: str, make: Callable[[], str]) -> str:
+        """The folder that a finished stream run has written; queries over the same data share it."""
+        key = self.shared_key(name)
+        if key not in WRITTEN:
+            WRITTEN[key] = make()
+        return WRITTEN[key]
+
     def stream_of(self, staged: DataFrame, name: str) -> DataFrame:
         """A staged table as a stream."""
         return self.spark.readStream.schema(staged.schema).parquet(self.staged[name])

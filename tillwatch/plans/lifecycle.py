@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillwatch.operators.latest import latest
 from tillwatch.operators.slices import DAY, HOUR, slice_of
+from tillwatch.sources.manifest import DatedTable
 
 
 def gaps(activity: DataFrame, slice_ms: int = HOUR) -> DataFrame:
@@ -102,6 +106,32 @@ def history(state_rows: DataFrame) -> DataFrame:
                 "silence_ratio", "txn_count_30d", "txn_count_90d", "gmv_30d"))
 
 
+OPENED = ["median_gap", "days_silent", "silence_ratio", "txn_count_30d", "txn_count_90d", "gmv_30d"]
+
+
+def merge_day(table: DatedTable, state_rows: DataFrame, day: date) -> int:
+    """Bring the states of one day into the written history.
+
+    The table holds openings: a row per user on each day its state became another one, and a row without
+    state on the day a user left. A day therefore writes only users that changed, into the folder of that
+    day; a repeated day replaces itself. When a stretch closes is told by the next opening of the user.
+    """
+    earlier = [r["dt"] for r in table.files().where(F.col("dt") < F.lit(day)).select("dt").distinct().collect()]
+    last = latest(table.read(earlier), ["user_id"], [F.desc("dt")]).select("user_id", F.col("state").alias("_state"))
+    today = state_rows.where(F.col("as_of") == F.lit(day)).select("user_id", "state", *OPENED)
+    changed = today.join(last, "user_id", "full").where(~F.col("state").eqNullSafe(F.col("_state")))
+    return table.replace(changed.drop("_state").withColumn("dt", F.lit(day)).select(*table.schema.names), [day])
+
+
+def written_history(table: DatedTable) -> DataFrame:
+    """The type-2 history that the openings tell, as :func:`history` would build it from all days."""
+    by_date = W.partitionBy("user_id").orderBy("dt")
+    return (
+        table.read().withColumn("valid_to", F.lead("dt").over(by_date)).where("state IS NOT NULL")
+        .select("user_id", "state", F.col("dt").alias("valid_from"), "valid_to",
+                F.col("valid_to").isNull().alias("is_current"), *OPENED))
+
+
 def moves(state_rows: DataFrame, before: str, after: str) -> DataFrame:
     """State of each user at two dates, with the 30-day volume at the earlier one."""
 

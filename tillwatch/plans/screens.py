@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwatch.functions.exprs import grid_cell, is_gmv, money, ratio, rounded_money, sum_if
-from tillwatch.operators.quantiles import exact_percentiles
+from tillwatch.operators.quantiles import exact_percentiles, selected_percentiles
 from tillwatch.operators.slices import slice_of
 from tillwatch.plans import fraud
 from tillwatch.plans.assumptions import per_scenario
@@ -112,7 +112,7 @@ def data_completeness(with_watermark: DataFrame) -> DataFrame:
     rows = with_watermark.withColumn("date_day", F.col("dt"))
     rates = rows.groupBy("date_day").agg(
         F.count("*").alias("events"), F.avg(F.col("late").cast("int")).alias("late_rate"))
-    lag = exact_percentiles(rows, ["date_day"], _lags()[1], {"watermark_lag_p99_ms": 0.99}).drop("n")
+    lag = selected_percentiles(rows, ["date_day"], _lags()[1], {"watermark_lag_p99_ms": 0.99}).drop("n")
     return rates.join(lag, "date_day", "left")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.exprs import device_hash, mask_ip
 from tillwatch.operators.latest import dedup
+from tillwatch.sources.manifest import DatedTable
 
 
 def merge_late(on_time: DataFrame, late: DataFrame) -> DataFrame:
@@ -41,3 +42,15 @@ def protect(rows: DataFrame, salt: str) -> DataFrame:
 
 def silver(payments: DataFrame, fx_rate: DataFrame, salt: str) -> DataFrame:
     return protect(clean(payments, fx_rate), salt)
+
+
+def merge_late_into(table: DatedTable, late: DataFrame) -> int:
+    """Bring late rows into a written Silver: only the days they belong to are read and written again.
+
+    A late copy of a row that is there already replaces it if it arrived later, as in the first dedup.
+    """
+    days = [r["dt"] for r in late.select("dt").distinct().collect()]
+    if not days:
+        return table.commit()
+    rows = table.read(days).unionByName(late.select(*table.schema.names))
+    return table.replace(dedup(rows), days)

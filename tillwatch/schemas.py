@@ -40,10 +40,10 @@ FRAUD_RULE = T.StructType([
     T.StructField("scope", T.MapType(T.StringType(), T.StringType())),
     T.StructField("params", T.MapType(T.StringType(), T.StringType())),
     T.StructField("action", T.StringType()),
-    T.StructField("priority", T.IntegerType()),
+    T.StructField("priority", T.LongType()),
     T.StructField("enabled", T.BooleanType()),
     T.StructField("effective_from", T.StringType()),
-    T.StructField("version", T.IntegerType()),
+    T.StructField("version", T.LongType()),
     T.StructField("updated_at", T.StringType()),
 ])
 

@@ -44,16 +44,6 @@ def write_bronze(payments: DataFrame, path: str) -> str:
     return path
 
 
-def compact(spark: SparkSession, path: str, target: str) -> str:
-    """Rewrite small files into files of about 128 MB in a new folder; readers switch afterwards."""
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(FILE_BYTES))
-    try:
-        return write_bronze(spark.read.parquet(path), target)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-
-
 def lake_scan(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Read the lake; a date range prunes whole folders."""
     df = spark.read.parquet(path)

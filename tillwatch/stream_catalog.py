@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,15 +13,29 @@ from tillwatch.catalog import query
 from tillwatch.context import Context
 from tillwatch.operators.arrival import with_arrival_watermark
 from tillwatch.operators.points import earns_points
+from tillwatch.operators.slices import DAY, MINUTE, SECOND
+from tillwatch.plans.silver import merge_late_into
+from tillwatch.schemas import FRAUD_RULE, USER_PROFILE
 from tillwatch.session import tune
+from tillwatch.sources.manifest import DatedTable
+from tillwatch.operators.panes import sliding_from_panes
 from tillwatch.streaming import detectors, landing, sinks, topics, windows
+from tillwatch.streaming.compacted import CompactedTopic, RuleBook
+from tillwatch.streaming.closing import Closable
 from tillwatch.streaming.decisions import DecisionStream
+from tillwatch.streaming.idle import PartitionClock
+from tillwatch.testbed import SILENT_PARTITION
 
 # Arrival dates at which the replayed topic is cut into separate runs. One partition is silent during
 # the first run and delivers its backlog in the second.
 RUN_CUTS = ["2024-01-11", "2024-01-21"]
-SILENT_PARTITION = 5
 MICRO_BATCHES = 6
+# The rules topic is replayed in pieces of eight days.
+RULE_PIECES, PIECES_FROM_MS = 4, 1704067200000
+SILVER = ["transaction_id", "user_id", "merchant_id", "amount", "currency", "amount_vnd", "channel", "status", "txn_type",
+          "event_ts", "ingested_at", "dt"]
+# A finite run ends with the watermark this far beyond the last row, so that its windows close.
+END_MS = MINUTE
 
 
 def _payments_topic(c: Context) -> topics.Topic:
@@ -43,20 +60,42 @@ def _decisions(c: Context, out: str, rules=None) -> DecisionStream:
 
 def _decided_once(c: Context) -> str:
     """One finite run of the decision stream over the whole topic; returns its output folder."""
-    out = c.scratch("decisions")
-    _decisions(c, out).run(topics.read_stream(c.spark, _payments_topic(c)), c.scratch("ck"), finite=True)
-    return out
+    def run() -> str:
+        out = c.scratch("decisions")
+        _decisions(c, out).run(topics.read_stream(c.spark, _payments_topic(c)), c.scratch("ck"), finite=True)
+        return out
+
+    return c.once("decided_once", run)
 
 
 def _decided_in_runs(c: Context, rules_of_run=None) -> str:
     """The topic in three runs; every run is a new process over the same checkpoint."""
-    out, ck = c.scratch("decisions"), c.scratch("ck")
-    topic = topics.Topic("payment_events", path=c.scratch("payment_events"))
-    for run in range(len(RUN_CUTS) + 1):
-        _append_run(c, topic, run)
-        rules = (lambda r=run: rules_of_run(r)) if rules_of_run else None
-        _decisions(c, out, rules).run(topics.read_stream(c.spark, topic), ck, finite=True)
-    return out
+    def runs() -> str:
+        out, ck = c.scratch("decisions"), c.scratch("ck")
+        topic = topics.Topic("payment_events", path=c.scratch("payment_events"))
+        for run in range(len(RUN_CUTS) + 1):
+            _append_run(c, topic, run)
+            rules = (lambda r=run: rules_of_run(r)) if rules_of_run else None
+            _decisions(c, out, rules).run(topics.read_stream(c.spark, topic), ck, finite=True)
+        return out
+
+    return runs() if rules_of_run else c.once("decided_in_runs", runs)
+
+
+def _to_the_end(c: Context, staged: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build`` makes of a staged table as a finite stream in event time, its last rows included.
+
+    The table is read in one micro-batch; the closing record comes with it and moves the watermark after it.
+    """
+    tune(c.spark, streaming=True)
+    source = Closable(c.spark, c.stream_of(staged, name), c.scratch("closing"))
+    top = staged.agg(F.max(F.unix_millis("event_ts"))).first()[0]
+    if top is not None:
+        source.advance(top + END_MS)
+    stream, path = build(source.stream), c.scratch(name)
+    sinks.start(stream.writeStream.format("parquet").option("path", path)
+                .option("checkpointLocation", c.scratch("ck")), finite=True)
+    return c.spark.read.schema(stream.schema).parquet(path)
 
 
 def _stream_to_table(c: Context, stream: DataFrame, name: str) -> DataFrame:
@@ -110,9 +149,16 @@ def _(c: Context):
 
 @query("x2_silent_partition")
 def _(c: Context):
-    # one partition never sends; the minutes of the others close all the same
-    talking = c.stage(c.wh.facts.where(F.col("src_partition") != SILENT_PARTITION), "talking")
-    return _stream_to_table(c, windows.minute_counts(c.stream_of(talking, "talking")), "minutes")
+    """The topic in three runs; one partition says nothing during the second and delivers it all in the third."""
+    topic = topics.Topic("payment_events", path=c.scratch("payment_events"))
+    clock, ck = PartitionClock(c.spark, c.scratch("partitions")), c.scratch("ck")
+    first, second = [F.lit(x).cast("timestamp") for x in RUN_CUTS]
+    at = F.col("ingested_at")
+    run_of = F.when(at >= second, 2).when(at >= first, 1).otherwise(0)
+    for run in range(len(RUN_CUTS) + 1):
+        topics.write_topic(c.tb.silenced_payments.where(run_of == run), topic)
+        clock.run(topics.read_stream(c.spark, topic), ck, finite=True)
+    return clock.rows().select("transaction_id", "src_partition", "ingested_at", "watermark_ms", "late")
 
 
 @query("x3_late_side_output")
@@ -132,24 +178,96 @@ def _(c: Context):
         F.count("*").alias("txns"))
 
 
+def _piece(at) -> Column:
+    """Four pieces of eight days by arrival."""
+    days = F.floor((F.unix_millis(at) - PIECES_FROM_MS) / (8 * DAY))
+    return F.greatest(F.lit(0), F.least(F.lit(RULE_PIECES - 1), days))
+
+
+def _rules_topic(c: Context, on_piece: Callable[[int, CompactedTopic], None] = lambda n, t: None) -> CompactedTopic:
+    """The rules topic replayed in pieces, each read by a new process."""
+    topic = topics.Topic("dynamic_fraud_rules", path=c.scratch("rules_topic"))
+    out, ck = c.scratch("rules"), c.scratch("ck")
+    for piece in range(RULE_PIECES):
+        topics.write_topic(c.tb.raw_rule_changes.where(_piece("ingested_at") == piece), topic)
+        rules = CompactedTopic(c.spark, out, FRAUD_RULE, "rule_id", ("version",), compact_every=2)
+        rules.run(topics.read_stream(c.spark, topic), ck, finite=True)
+        on_piece(piece, rules)
+    return rules
+
+
+@query("s14_rules_topic")
+def _(c: Context):
+    rules = _rules_topic(c)
+    return (
+        rules.snapshot().select(F.lit("rule").alias("kind"), F.col("rule_id").alias("id"), "version", "action", "enabled",
+                                F.col("params")["max_amount_vnd"].alias("max_amount_vnd"))
+        .unionByName(rules.quarantine().groupBy(F.col("key").alias("id")).agg(F.count("*").alias("version")).select(
+            F.lit("quarantine").alias("kind"), "id", "version", F.lit(None).cast("string").alias("action"),
+            F.lit(None).cast("boolean").alias("enabled"), F.lit(None).cast("string").alias("max_amount_vnd"))))
+
+
+@query("s12_profiles_topic")
+def _(c: Context):
+    """The change topic of profiles as a compacted topic, some of its records cut short."""
+    topic = topics.Topic("user_profiles", path=c.scratch("user_profiles"))
+    records = c.tb.raw_profile_changes.withColumn("ingested_at", F.timestamp_millis(F.get_json_object("value", "$.ts_ms").cast("bigint")))
+    topics.write_topic(records.withColumn("value", F.when(F.col("key").endswith("7"), F.substring("value", 1, 20)).otherwise(F.col("value"))), topic)
+    profiles = CompactedTopic(c.spark, c.scratch("profiles"), USER_PROFILE, "user_id")
+    profiles.run(topics.read_stream(c.spark, topic), c.scratch("ck"), finite=True)
+    read = profiles.snapshot().select("user_id", "account_tier", "kyc_status", F.lit(0).cast("bigint").alias("unreadable"))
+    return read.unionByName(profiles.quarantine().groupBy(F.col("key").alias("user_id")).agg(
+        F.count("*").alias("unreadable")).withColumns({
+            "account_tier": F.lit(None).cast("string"), "kyc_status": F.lit(None).cast("string")}))
+
+
+@query("x6_rules_topic")
+def _(c: Context):
+    """Rules and events in one replay: a row is judged by the rules that had arrived with its piece."""
+    events, out, ck = topics.Topic("payment_events", path=c.scratch("payment_events")), c.scratch("decisions"), c.scratch("ck")
+    book = c.scratch("rules_used")
+
+    def decide_piece(piece: int, rules: CompactedTopic) -> None:
+        topics.write_topic(c.tb.raw_payments.where(_piece("ingested_at") == piece), events)
+        _decisions(c, out, RuleBook(rules, book)).run(
+            topics.read_stream(c.spark, events), ck, finite=True, drain=piece == RULE_PIECES - 1)
+
+    _rules_topic(c, decide_piece)
+    return c.spark.read.parquet(f"{out}/decided").select("transaction_id", "decision", "rule_id", "rules_not_ready")
+
+
+@query("u1_silver_merge")
+def _(c: Context):
+    """Silver written from what was on time, then the stream's own late rows merged into their days."""
+    out = _decided_in_runs(c)
+    rows = c.spark.read.parquet(f"{out}/decided")
+    kept = rows.where("NOT late").select(*SILVER)
+    table = DatedTable(c.spark, c.scratch("silver"), kept.schema)
+    first = table.append(kept)
+    late = sinks.read_routes(c.spark, f"{out}/topics").where("route = 'late_events'").select(
+        F.from_json("value", rows.schema).alias("e")).select("e.*").select(*SILVER)
+    merge_late_into(table, late)
+    of_day = table.files().groupBy("dt").agg((F.max("commit") > first).alias("rewritten"))
+    return table.read().groupBy("dt").agg(
+        F.count("*").alias("txns"), F.sum("amount_vnd").alias("amount_vnd")).join(of_day, "dt")
+
+
 @query("x8_stream_decisions")
 def _(c: Context):
     return c.spark.read.parquet(f"{_decided_once(c)}/decided").select(
         "transaction_id", "decision", "rule_id", "rule_type")
 
 
-def _facts_stream(c: Context) -> DataFrame:
-    return c.stream_of(c.wh.facts, "facts")
-
-
 @query("x9_card_testing_stream")
 def _(c: Context):
-    return _stream_to_table(c, detectors.card_testing_stream(_facts_stream(c)), "card")
+    hot = detectors.hot_keys(c.wh.facts, "device_id")
+    return _to_the_end(c, c.wh.facts, "facts", lambda rows: detectors.card_testing_stream(rows, hot=hot))
 
 
 @query("x10_travel_stream")
 def _(c: Context):
-    return _stream_to_table(c, detectors.travel_stream(_facts_stream(c)), "travel").withColumn(
+    hot = detectors.hot_keys(c.wh.facts, "user_id")
+    return _to_the_end(c, c.wh.facts, "facts", lambda rows: detectors.travel_stream(rows, hot=hot)).withColumn(
         "km", F.round("km", 3))
 
 
@@ -164,8 +282,30 @@ def _(c: Context):
 
 @query("x12_sliding_stream")
 def _(c: Context):
-    eligible = c.stage(c.wh.decided.where(earns_points()).select("user_id", "event_ts", "amount_vnd"), "eligible")
-    return _stream_to_table(c, windows.sliding_sums(c.stream_of(eligible, "eligible")), "sliding")
+    eligible = c.stage(c.wh.decided.where(earns_points()).select(
+        "transaction_id", "user_id", "event_ts", "amount_vnd"), "eligible")
+    return sliding_from_panes(_to_the_end(c, eligible, "eligible", windows.minute_panes))
+
+
+@query("x13_state_ttl")
+def _(c: Context):
+    """What the detectors keep when the stream stops inside an attack, ten minutes later and a day later."""
+    tune(c.spark, streaming=True)
+    facts = c.wh.facts
+    cut = facts.where("transaction_id LIKE 'C%-3'").agg(F.max("event_ts")).first()[0]
+    found = []
+    for name, key, build in (("card", "device_id", detectors.card_testing_stream), ("travel", "user_id", detectors.travel_stream)):
+        rows = c.stream_of(facts, "facts").where(F.col("event_ts") <= F.lit(cut))
+        source, ck, path = Closable(c.spark, rows, c.scratch("closing")), c.scratch("ck"), c.scratch(name)
+        stream = build(source.stream)
+        for phase, later in (("stopped", None), ("ten minutes", 10 * MINUTE), ("a day", DAY)):
+            if later is not None:
+                source.advance(round(cut.timestamp() * 1000) - 10 * SECOND + later)
+            sinks.start(stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck), finite=True)
+            kept = detectors.state_of(c.spark, ck).select(
+                F.lit(name).alias("detector"), F.lit(phase).alias("phase"), F.col(key).alias("id"), F.inline("kept"))
+            found.append(c.stage(kept.select("detector", "phase", "id", "transaction_id", "ms"), "kept"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("x14_resume")
@@ -185,6 +325,17 @@ def _(c: Context):
         .select(F.from_json("value", metric).alias("m")).select("m.*"))
 
 
+@query("x15_metrics_by_batch")
+def _(c: Context):
+    """Health of the three runs, the late rows of a partition's backlog among them."""
+    fields = {"batch_id": "bigint", "events": "bigint", "lag_p50_ms": "double", "lag_p95_ms": "double", "lag_p99_ms": "double",
+              "late_rate": "double", "out_of_order_rate": "double", "watermark_lag_ms": "bigint"}
+    metric = ", ".join(f"{n} {t}" for n, t in fields.items())
+    return (
+        sinks.read_routes(c.spark, f"{_decided_in_runs(c)}/topics").where("route = 'stream_metrics'")
+        .select(F.from_json("value", metric).alias("m")).select("m.*"))
+
+
 @query("x8_micro_batches")
 def _(c: Context):
     """Everything the decision stream says when the topic comes in six pieces, in order of arrival.

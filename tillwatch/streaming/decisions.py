@@ -27,7 +27,7 @@ from tillwatch.operators.card_testing import card_testing
 from tillwatch.operators.enrich import enrich
 from tillwatch.operators.latest import dedup
 from tillwatch.operators.points import SPAN_MS, earns_points, loyalty_points
-from tillwatch.operators.quantiles import exact_percentiles
+from tillwatch.operators.quantiles import selected_percentiles
 from tillwatch.operators.rules import RULE_ATTRIBUTES, checked_rules, decide
 from tillwatch.operators.slices import HOUR, SECOND
 from tillwatch.operators.travel import impossible_travel
@@ -71,7 +71,7 @@ class DecisionStream:
 
     ``profiles``, ``rules`` and ``fx_rate`` are called once per micro-batch and return the snapshot
     of that moment, so a changed rule or profile takes effect without a restart. The data side only
-    reads them.
+    reads them. ``rules`` may be a ``RuleBook``, which notes the version that each batch has used.
 
     Below ``out``: ``admitted`` and ``decided`` rows, ``topics``, ``kpi_minute``, ``quarantine`` and
     ``rules_quarantine`` by batch, and ``marks``, one row per batch with the event times it covers, by
@@ -191,7 +191,9 @@ class DecisionStream:
 
     def _close(self, admitted: DataFrame | None, before: Mark, mark: Mark) -> None:
         """Judge what the watermark has passed with this batch, and what arrived below it."""
-        rules = checked_rules(self.rules(), RULE_ATTRIBUTES).persist()  # one snapshot for the whole batch
+        # one snapshot for the whole batch, and the same one if the batch is repeated
+        snapshot = self.rules.of_batch(mark.batch_id) if hasattr(self.rules, "of_batch") else self.rules()
+        rules = checked_rules(snapshot, RULE_ATTRIBUTES).persist()
         try:
             sinks.write_batch(rules.where("problem IS NOT NULL"), f"{self.out}/rules_quarantine", mark.batch_id)
             reach = max(self.reach_ms, longest_window_ms(rules))
@@ -285,7 +287,7 @@ def batch_metrics(admitted: DataFrame, top_before: int | None, mark: Mark) -> Da
     rates = rows.groupBy("batch_id").agg(
         F.avg(F.col("_late").cast("int")).alias("late_rate"), F.avg(older.cast("int")).alias("out_of_order_rate"),
         (F.max("arrived_ms") - mark.top_ms + WATERMARK_MS).alias("watermark_lag_ms"))
-    lags = exact_percentiles(rows, ["batch_id"], F.col("arrived_ms") - F.col("event_ms"), {
+    lags = selected_percentiles(rows, ["batch_id"], F.col("arrived_ms") - F.col("event_ms"), {
         "lag_p50_ms": 0.5, "lag_p95_ms": 0.95, "lag_p99_ms": 0.99})
     return rates.join(lags.withColumnRenamed("n", "events"), "batch_id")
 

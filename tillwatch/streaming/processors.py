@@ -16,14 +16,24 @@ CARD_ALERT = ("device_id string, transaction_id string, event_ms bigint, large_a
               "chain_len bigint, chain_start_ms bigint, evidence_id string")
 TRAVEL_ALERT = ("user_id string, transaction_id string, event_ms bigint, prev_transaction_id string, "
                 "km double, gap_ms bigint")
+# Number of the one slice of a key that is not split.
+WHOLE = -1
 
 
-def _columns(rows: Iterator[pd.DataFrame], names: list[str]) -> list[tuple]:
-    """The named columns of one key as plain tuples."""
+def _columns(rows: Iterator[pd.DataFrame], held: str) -> list[tuple]:
+    """The held columns of one key as plain tuples, without the records that only move the watermark.
+
+    One missing number makes a whole pandas column floating; the state wants integers back.
+    """
+    fields = [c.split() for c in held.split(", ")]
     out: list[tuple] = []
     for chunk in rows:
-        out += list(zip(*(chunk[n].tolist() for n in names), strict=True))
-    return out
+        columns = [chunk[name].tolist() for name, _ in fields]
+        for n, (_, kind) in enumerate(fields):
+            if kind == "bigint":
+                columns[n] = [None if x is None or x != x else int(x) for x in columns[n]]
+        out += list(zip(*columns, strict=True))
+    return [r for r in out if r[0] is not None]
 
 
 class Ordered(StatefulProcessor):
@@ -31,141 +41,139 @@ class Ordered(StatefulProcessor):
 
     A row below the watermark is late and never gets here, so the order is final: a state machine sees the
     same sequence however its rows were spread over micro-batches. One timer per key stands at the next
-    time something is due, the oldest held row or the end of the machine's state.
+    time something is due, the oldest held row or the end of the machine's state. Timer, held rows and
+    what the machine keeps are one state variable, because every access is a round trip to the store.
+
+    The grouping key is (key, slice). A key that carries much of the traffic is split into time slices of
+    ``slice_ms``; the end of a slice is handed to the next one as ``carried`` rows, which set the scene
+    there and alert nothing. All other keys are one slice, :data:`WHOLE`.
     """
 
-    HELD = ""
+    HELD = "transaction_id string, ms bigint, carried boolean"
+    KEPT = ""
+    slice_ms = 0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", self.HELD)
-        self.timer = handle.getValueState("timer", "ms bigint")
-        self.open()
+        self.cell = handle.getValueState(
+            "cell", f"timer bigint, held array<struct<{self.HELD}>>, kept array<struct<{self.KEPT}>>")
 
-    def open(self) -> None:
-        """Create the state of the machine."""
+    def judge(self, key: str, rows: list[tuple], kept: list[tuple]) -> tuple[pd.DataFrame | None, list[tuple]]:
+        """Run rows (transaction_id, ms, carried, ...) in order; alerts or nothing, and what to keep."""
 
-    def judge(self, key, rows: list[tuple]) -> pd.DataFrame | None:
-        """Run rows (transaction_id, ms, ...) in order; alerts or nothing."""
+    def ends(self, kept: list[tuple]) -> int | None:
+        """When what is kept is of no more use."""
 
-    def ends(self) -> int | None:
-        """When the state of the machine is of no more use."""
+    def _read(self) -> tuple[int | None, list[tuple], list[tuple]]:
+        found = self.cell.get()
+        if found is None:
+            return None, [], []
+        timer, held, kept = found
+        return timer, [tuple(r) for r in held or []], [tuple(r) for r in kept or []]
 
-    def forget(self) -> None:
-        """Clear the state of the machine."""
+    def _end(self, slice_: int, kept: list[tuple]) -> int | None:
+        end = self.ends(kept) if kept else None
+        return end if end is None or slice_ == WHOLE else min(end, (slice_ + 1) * self.slice_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in self.HELD.split(", ")]
-        new = _columns(rows, names)
-        self.held.appendList(new)
-        self._wake(min(r[1] for r in new))
+        new = _columns(rows, self.HELD)
+        if new:
+            timer, held, kept = self._read()
+            due = min(r[1] for r in new) + 1  # a timer fires as soon as the watermark reaches it
+            if timer is None or due < timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(due)
+                timer = due
+            self.cell.update((timer, held + new, kept))
         return iter([])
 
-    def _wake(self, due: int) -> None:
-        """Wake when the watermark has passed ``due``."""
-        at, now = due + 1, self.timer.get()  # a timer fires as soon as the watermark reaches it
-        if now is None or at < now[0]:
-            if now is not None:
-                self.handle.deleteTimer(now[0])
-            self.handle.registerTimer(at)
-            self.timer.update((at,))
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
-        held = [tuple(r) for r in self.held.get()]
+        _, held, kept = self._read()
         ready = sorted((r for r in held if r[1] < watermark), key=lambda r: (r[1], r[0]))
         rest = [r for r in held if r[1] >= watermark]
         if ready:
-            self.held.put(rest) if rest else self.held.clear()
-            alerts = self.judge(key, ready)
+            alerts, kept = self.judge(key[0], ready, kept)
             if alerts is not None:
                 yield alerts
-        end = self.ends()
+        end = self._end(key[1], kept)
         if end is not None and end < watermark:
-            self.forget()
-            end = None
+            kept, end = [], None
         due = [r[1] for r in rest] + ([end] if end is not None else [])
         if due:
-            self._wake(min(due))
+            self.handle.registerTimer(min(due) + 1)
+            self.cell.update((min(due) + 1, rest, kept))
+        else:
+            self.cell.clear()
 
     def close(self) -> None:
         pass
 
 
 class CardTestingState(Ordered):
-    """Streak of small failures per device, anchored at its first failure.
+    """Streak of small failures per device. An alert emits one row per evidence transaction.
 
-    An alert emits one row per evidence transaction.
+    ``anchored``: the streak counts from its first failure and starts anew two minutes after it. Otherwise
+    it is what failed in a row in the last two minutes, which a slice can know from the rows carried into
+    it.
     """
 
-    HELD = "transaction_id string, ms bigint, amount_vnd bigint, status string"
+    HELD = "transaction_id string, ms bigint, carried boolean, amount_vnd bigint, status string"
+    KEPT = "transaction_id string, ms bigint"
 
-    def __init__(self, small_below_vnd: int, large_above_vnd: int, min_failures: int, within_ms: int):
+    def __init__(self, small_below_vnd: int, large_above_vnd: int, min_failures: int, within_ms: int,
+                 anchored: bool = True, slice_ms: int = 0):
         self.small_below_vnd, self.large_above_vnd = small_below_vnd, large_above_vnd
         self.min_failures, self.within_ms = min_failures, within_ms
+        self.anchored, self.slice_ms = anchored, slice_ms
 
-    def open(self) -> None:
-        self.streak = self.handle.getListState("streak", "transaction_id string, ms bigint")
-
-    def judge(self, key, rows):
-        before = [tuple(r) for r in self.streak.get()]
-        streak, alerts = list(before), []
-        for txn, ms, amount, status in rows:
+    def judge(self, key, rows, kept):
+        streak, alerts = list(kept), []
+        for txn, ms, carried, amount, status in rows:
             if streak and ms - streak[0][1] > self.within_ms:
-                streak = []
+                streak = [] if self.anchored else [f for f in streak if ms - f[1] <= self.within_ms]
             if status == "FAILED" and amount is not None and amount < self.small_below_vnd:
                 streak.append((txn, int(ms)))
                 continue
             if (status == "SUCCESS" and amount is not None and amount > self.large_above_vnd
-                    and len(streak) >= self.min_failures):
-                alerts += [(key[0], txn, int(ms), int(amount), len(streak), streak[0][1], e) for e, _ in streak]
+                    and len(streak) >= self.min_failures and not carried):
+                alerts += [(key, txn, int(ms), int(amount), len(streak), streak[0][1], e) for e, _ in streak]
             streak = []
-        if streak != before:
-            self.streak.put(streak) if streak else self.streak.clear()
-        return pd.DataFrame(alerts, columns=[c.split()[0] for c in CARD_ALERT.split(", ")]) if alerts else None
-
-    def ends(self):
-        first = next(iter(self.streak.get()), None)
-        return None if first is None else first[1] + self.within_ms
+        found = pd.DataFrame(alerts, columns=[c.split()[0] for c in CARD_ALERT.split(", ")]) if alerts else None
+        return found, streak
 
-    def forget(self) -> None:
-        self.streak.clear()
+    def ends(self, kept):
+        return (kept[0] if self.anchored else kept[-1])[1] + self.within_ms
 
 
 class TravelState(Ordered):
     """Last position per user, forgotten after a day without transactions."""
 
-    HELD = "transaction_id string, ms bigint, lat double, lon double"
+    HELD = "transaction_id string, ms bigint, carried boolean, lat double, lon double"
+    KEPT = "transaction_id string, ms bigint, lat double, lon double"
 
-    def __init__(self, min_km: float, max_gap_ms: int, ttl_ms: int, radius_km: float):
+    def __init__(self, min_km: float, max_gap_ms: int, ttl_ms: int, radius_km: float, slice_ms: int = 0):
         self.min_km, self.max_gap_ms, self.ttl_ms, self.radius_km = min_km, max_gap_ms, ttl_ms, radius_km
+        self.slice_ms = slice_ms
 
-    def open(self) -> None:
-        self.last = self.handle.getValueState("last", self.HELD)
-
-    def judge(self, key, rows):
-        known = self.last.get()
-        line = [tuple(known), *rows] if known is not None else rows
-        self.last.update(rows[-1])
+    def judge(self, key, rows, kept):
+        line = [(t, ms, True, lat, lon) for t, ms, lat, lon in kept] + rows
+        last = [(*line[-1][:2], *line[-1][3:])]
         if len(line) < 2:
-            return None
-        txn, ms, lat, lon = (np.array(c) for c in zip(*line, strict=True))
+            return None, last
+        txn, ms, carried, lat, lon = (np.array(c) for c in zip(*line, strict=True))
         phi, lam = np.radians(lat), np.radians(lon)
         chord = (np.sin(np.diff(phi) / 2) ** 2
                  + np.cos(phi[:-1]) * np.cos(phi[1:]) * np.sin(np.diff(lam) / 2) ** 2)
         km = 2 * self.radius_km * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
         gap = np.diff(ms)
-        hit = (km > self.min_km) & (gap < self.max_gap_ms)
+        hit = (km > self.min_km) & (gap < self.max_gap_ms) & ~carried[1:]
         if not hit.any():
-            return None
+            return None, last
         return pd.DataFrame({
-            "user_id": key[0], "transaction_id": txn[1:][hit], "event_ms": ms[1:][hit].astype("int64"),
-            "prev_transaction_id": txn[:-1][hit], "km": km[hit], "gap_ms": gap[hit].astype("int64")})
-
-    def ends(self):
-        known = self.last.get()
-        return None if known is None else known[1] + self.ttl_ms
+            "user_id": key, "transaction_id": txn[1:][hit], "event_ms": ms[1:][hit].astype("int64"),
+            "prev_transaction_id": txn[:-1][hit], "km": km[hit], "gap_ms": gap[hit].astype("int64")}), last
 
-    def forget(self) -> None:
-        self.last.clear()
+    def ends(self, kept):
+        return kept[0][1] + self.ttl_ms

@@ -84,6 +84,12 @@ PASS_2 = {
         + CASE WHEN id % 200 = 77 THEN 660000 ELSE 0 END + 90000 * copy""",
     "src_partition": "CASE WHEN fam IN ('C', 'I') THEN id % 6 ELSE u % 6 END",
 }
+# One partition is silent for ten days and then delivers what it held back a thousand times faster.
+SILENT_PARTITION = 5
+SILENT_FROM_MS, SILENT_TO_MS = 1704931200000, 1705795200000
+SILENT_ARRIVAL_MS = f"""CASE WHEN src_partition = {SILENT_PARTITION} AND ingested_ms >= {SILENT_FROM_MS}
+    AND ingested_ms < {SILENT_TO_MS} THEN {SILENT_TO_MS} + cast(floor((ingested_ms - {SILENT_FROM_MS}) / 1000) AS bigint)
+    ELSE ingested_ms END"""
 FX_TEXT = "CASE currency WHEN 'USD' THEN 24000 + 10 * {dom} WHEN 'SGD' THEN 18000 + 7 * {dom} ELSE 1 END"
 COPIED = "id % 40 = 0"
 
@@ -145,6 +151,8 @@ RULE_CHANGE = {
     "max_amount_vnd": "cast(1000000 + id % 500 * 10000 AS bigint)",
 }
 RULE_CHANGE_CONDITION = "event_type = 'signup'"
+# Some records of the rules topic cannot be read; some deletes are records without a value.
+RULE_BROKEN, RULE_TOMBSTONE = "id % 11 = 0", "id % 26 = 0"
 
 # Labels by transaction: which rows have one and what it says.
 LABEL_PRESENT = """CASE fam WHEN 'C' THEN k = 6 WHEN 'I' THEN k = 1 WHEN 'K' THEN true
@@ -160,7 +168,7 @@ LABEL = {
 }
 REDEEMED_TWICE = "id % 20 = 5"
 REDEMPTION_CONDITION = "event_type = 'signup' AND id % 10 = 5"
-USER_NUMBER = "cast(substr(user_id, 2) AS bigint)"
+USER_NUMBER = "cast(regexp_extract(user_id, '([0-9]+)', 1) AS bigint)"
 ACTIVITY_MS = """1719792000000 - 86400000 * cast(CASE u % 7 WHEN 3 THEN 3 WHEN 4 THEN 40 WHEN 5 THEN 75
     WHEN 6 THEN 120 ELSE 0 END AS bigint) - (1 + u % 5) * (1706659200000 - ms)"""
 
@@ -238,6 +246,12 @@ class Testbed:
             F.timestamp_millis("ingested_ms").alias("ingested_at"), "src_partition",
             F.to_date(event_ts).alias("dt"))
 
+    @cached_property
+    def unruly_payments(self) -> DataFrame:
+        """Bronze of a producer that now and then sends a status the contract does not know."""
+        odd = F.pmod(F.unix_millis("event_ts"), F.lit(97)) == 5
+        return self.payments.withColumn("status", F.when(odd, "REVERSED").otherwise(F.col("status")))
+
     @cached_property
     def raw_payments(self) -> DataFrame:
         """The topic as the broker delivers it: key, JSON value, arrival time, partition.
@@ -255,6 +269,14 @@ class Testbed:
             F.when(broken, F.substring(event, 1, 40)).otherwise(event).alias("value"),
             F.col("src_partition").alias("partition"), "ingested_at", "dt")
 
+    @cached_property
+    def silenced_payments(self) -> DataFrame:
+        """The topic with one partition silent for a while."""
+        arrival = F.expr(SILENT_ARRIVAL_MS)
+        return (
+            self.raw_payments.withColumns({"src_partition": F.col("partition"), "ingested_ms": F.unix_millis("ingested_at")})
+            .withColumn("ingested_at", F.timestamp_millis(arrival)).drop("src_partition", "ingested_ms"))
+
     @cached_property
     def profile_changes(self) -> DataFrame:
         return (
@@ -287,6 +309,21 @@ class Testbed:
         return (self.events.where(RULE_CHANGE_CONDITION).select("id", "ms0")
                 .select(*_select(RULE_CHANGE), F.timestamp_millis("ms0").alias("updated_at")))
 
+    @cached_property
+    def raw_rule_changes(self) -> DataFrame:
+        """The rules topic: JSON changes by rule id, some cut short."""
+        row = F.struct(
+            "rule_id", F.lit("AMOUNT_THRESHOLD").alias("rule_type"),
+            F.create_map(F.lit("max_amount_vnd"), F.col("max_amount_vnd").cast("string")).alias("params"), "action", "priority",
+            "enabled", iso_millis(F.col("updated_at")).alias("effective_from"), "version",
+            iso_millis(F.col("updated_at")).alias("updated_at"))
+        gone = F.col("op") == "d"
+        change = F.to_json(F.struct(F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), "op"))
+        value = F.when(F.expr(RULE_BROKEN), F.substring(change, 1, 30)).when(
+            gone & F.expr(RULE_TOMBSTONE), F.lit(None)).otherwise(change)
+        return self.rule_changes.withColumn("id", F.col("version")).select(
+            F.col("rule_id").alias("key"), value.alias("value"), F.col("updated_at").alias("ingested_at"))
+
     @cached_property
     def labels(self) -> DataFrame:
         """Labels as they arrive; a later one replaces an earlier one."""
@@ -326,11 +363,10 @@ class Testbed:
 
     @cached_property
     def history(self) -> DataFrame:
-        """Bronze of a longer time: ordinary transactions, copies included, stretched over nine months."""
+        """Bronze of a longer time: all payments, copies included, stretched over nine months."""
         stretched = F.timestamp_millis("new_ms")
         return (
-            self.payments.where("transaction_id LIKE 'T%'")
-            .withColumns({"u": F.expr(USER_NUMBER), "ms": F.unix_millis("event_ts")})
+            self.payments.withColumns({"u": F.expr(USER_NUMBER), "ms": F.unix_millis("event_ts")})
             .withColumn("new_ms", F.expr(ACTIVITY_MS))
             .withColumns({
                 "ingested_at": F.timestamp_millis(F.unix_millis("ingested_at") + F.col("new_ms") - F.col("ms")),
