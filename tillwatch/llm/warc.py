@@ -30,7 +30,8 @@ from tillwatch.session import scratch
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-HEADER_LIMIT = 1 << 20
+#: Most tasks of a read; more ranges share them.
+MOST_TASKS = 100_000
 READ_BYTES = 1 << 20
 
 MANIFEST = "file string, bytes bigint, records bigint"
@@ -177,7 +178,7 @@ def parse_header(head: bytes) -> dict[str, str] | None:
 
 def decode_member(win: Window, at: int, whole: bool) -> tuple[dict[str, str], bytes, int] | None:
     """Header, block and end of the record at ``at``; None if there is none. Not ``whole``: header only."""
-    unpack, out, pos, head, fields, need = zlib.decompressobj(31), bytearray(), at, -1, {}, 0
+    unpack, out, pos, head, fields, need, seen = zlib.decompressobj(31), bytearray(), at, -1, {}, 0, 0
     while not unpack.eof:
         win.fill(pos + READ_BYTES // 16)
         chunk = bytes(win.data[pos - win.base:pos - win.base + READ_BYTES // 16])
@@ -191,9 +192,8 @@ def decode_member(win: Window, at: int, whole: bool) -> tuple[dict[str, str], by
         if head < 0:
             if not bytes(out[:len(VERSION)]) == VERSION[:len(out)]:
                 return None
-            head = out.find(b"\r\n\r\n")
-            if head < 0 and len(out) > HEADER_LIMIT:
-                return None
+            head = out.find(b"\r\n\r\n", max(0, seen - 3))
+            seen = len(out)
             if head >= 0:
                 if (found := parse_header(bytes(out[:head]))) is None:
                     return None
@@ -208,8 +208,8 @@ def decode_member(win: Window, at: int, whole: bool) -> tuple[dict[str, str], by
 
 
 def records_in(file, size: int, start: int, end: int) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Records that start in [start, end)."""
-    win, at = Window(file, size, start), start
+    """Records that start in [start, end). They follow each other: one that cannot be read is an error, no gap."""
+    win, at, expected = Window(file, size, start), start, 0 if start == 0 and size else None
     while (at := win.find_magic(at, min(end, size))) >= 0:
         found = decode_member(win, at, whole=True)
         if found:
@@ -218,11 +218,15 @@ def records_in(file, size: int, start: int, end: int) -> Iterator[tuple[dict[str
             follows = after >= size or (
                 win.data[after - win.base:][:len(MAGIC)] == MAGIC and decode_member(win, after, whole=False))
             if follows:
+                if expected not in (None, at):
+                    break
                 yield found[0], found[1]
-                at = after
+                at = expected = after
                 win.drop(at)
                 continue
         at += 1
+    if expected is not None and expected < min(end, size) and at != expected:
+        raise ValueError(f"no record can be read at byte {expected}")
 
 
 def read_archives(
@@ -235,6 +239,7 @@ def read_archives(
     """
     ranges = manifest.select(
         "file", "bytes", F.explode(F.expr(f"sequence(0L, greatest(bytes - 1, 0L), {int(split_bytes)}L)")).alias("start"))
+    many = manifest.agg(F.sum(F.expr(f"greatest(bytes - 1, 0L) div {int(split_bytes)}L + 1"))).first()[0] or 1
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = pafs.FileSystem.from_uri(path)
@@ -263,7 +268,8 @@ def read_archives(
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return ranges.repartition("file", "start").mapInArrow(scan, RECORDS)
+    # a task per range: the rows that name the ranges are few bytes, whatever they stand for
+    return ranges.repartition(min(many, MOST_TASKS)).mapInArrow(scan, RECORDS)
 
 
 def archive_folder(spark) -> str:
