@@ -55,12 +55,32 @@ def test_empty_tables(spark):
 
 def test_tokenizer_gives_the_file_s_ids():
     exact = Tokenizer.from_file(JSON)
-    exact.encode_special_tokens = True
     ids = packing.tokenizer(JSON, SAME, public_tokenizers.PATTERN)
     for t in texts():
         assert ids(t or "") == exact.encode(t or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>é", "<|endoftext|", "漢<|endoftext|>"])
+def test_added_tokens_are_read_as_the_file_s_default_says(text):
+    ids = packing.tokenizer(JSON, SAME, public_tokenizers.PATTERN)(text)
+    assert ids == Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+    assert (50256 in ids) == ("<|endoftext|>" in text)
+
+
+def test_code_points_that_engines_class_differently(spark):
+    """New scripts and marks between letters, short and cut into chunks; the library decides."""
+    points = [*range(0x19160, 0x191C0), *range(0x1E030, 0x1E040), *range(0x11F00, 0x11F10), 0x0378, 0xFFFE, 0x2B820, 0x31350]
+    short = [f"ab{chr(p)}cd !!{chr(p)} {chr(p)}x\n{chr(p)}" for p in points]
+    long = ["".join(f"word{chr(p)}s !!{chr(p)}{chr(p)} " for p in points) * 3, "".join(map(chr, points)) * 20]
+    rows = [(i, t, "") for i, t in enumerate(short + long)]
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in bpe.document_digests(
+        spark.createDataFrame(rows, DOCS), RANKS, public_tokenizers.PATTERN, chunk_chars=300, overlap=100).collect()}
+    enc = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    for i, t, _ in rows:
+        ids = enc.encode_ordinary(t)
+        assert got[i] == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+
+
 def best_fit_one_by_one(lengths, limits):
     """Plain best fit over single pieces, longest first."""
     bins = []
@@ -112,7 +132,6 @@ def test_packed_pieces_cover_their_documents(spark):
     docs = spark.createDataFrame(
         [(i, t, "") for i, t in enumerate(texts())] + [(50, "word " * 3000, ""), (50, "word " * 3000, "")], DOCS)
     exact = Tokenizer.from_file(JSON)
-    exact.encode_special_tokens = True
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in packed(docs).collect():
         by_doc[r.doc_id].append(r)

@@ -27,8 +27,9 @@ from tillwatch.llm.common import bound_batches, per_process, shuffle_partitions
 
 CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 2_048
-#: Longer runs of white space exceed the stack of the library's pattern engine; they take the plain path.
-LONG_SPACE = r"\s{4096}"
+#: Engines may class rare code points differently. After these and before white space of ASCII none does.
+PLAIN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+BLANK = frozenset(" \t\r\n")
 
 
 def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
@@ -40,21 +41,16 @@ def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
     return per_process(f"bpe {ranks_path} {pattern}", load)
 
 
-def encode_text(enc: tiktoken.Encoding, pattern: str, text: str) -> list[int]:
-    if len(text) > 4096 and regex.search(LONG_SPACE, text):
-        ids: list[int] = []
-        for match in regex.finditer(pattern, text):
-            ids.extend(enc._encode_single_piece(match[0].encode()))
-        return ids
-    return enc.encode_ordinary(text)
-
-
 def safe_boundaries(pattern: str, text: str, at: int, low: int, high: int, ends: bool) -> list[int]:
-    """Ends of pre-tokens of ``text`` (which starts at ``at``) in [low, high], where a cut changes nothing."""
+    """Ends of pre-tokens of ``text`` (which starts at ``at``) in [low, high], where a cut changes nothing.
+
+    The library encodes the pieces, another engine looks for their borders. Only borders that hold in both
+    count: behind an ASCII letter or digit, before ASCII white space or the end.
+    """
     found = []
     for match in regex.finditer(pattern, text):
         end = match.end()
-        if low <= at + end <= high and (end < len(text) or ends) and not text[end - 1].isspace():
+        if low <= at + end <= high and text[end - 1] in PLAIN and (text[end] in BLANK if end < len(text) else ends):
             found.append(at + end)
     return found
 
@@ -76,7 +72,7 @@ def _encode(ranks_path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks_path, pattern)
         for batch in batches:
-            ids = [array("I", encode_text(enc, pattern, t.as_py())).tobytes() for t in batch.column("text")]
+            ids = [array("I", enc.encode_ordinary(t.as_py())).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), batch.column("piece"), pa.array(ids, pa.binary())],
                 ["row", "id", "piece", "ids"])

@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tillwatch.llm.bpe import encode_text
 from tillwatch.llm.common import bound_batches, per_process, stage
 
 
@@ -160,28 +159,29 @@ def pack(staged: DataFrame, limits: Limits, length_col: str = "length") -> DataF
 
 
 def tokenizer(json_path: str, ranks_path: str, pattern: str):
-    """Ids of a text as the tokenizer file gives them, its special tokens read as ordinary text.
+    """Ids of a text as the tokenizer file gives them by its default settings.
 
     The rank file holds the same vocabulary and merges and is several times faster. Texts with code
     points beyond Latin-1 go to the tokenizer itself, so that the two libraries' Unicode tables, which
-    may be of different age, never decide.
+    may be of different age, never decide; so do texts that hold an added token of the file.
     """
     def load():
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         fast = tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         exact = Tokenizer.from_file(json_path)
-        exact.encode_special_tokens = True
-        return fast, exact
+        return fast, exact, [t.content for t in exact.get_added_tokens_decoder().values()]
 
-    fast, exact = per_process(f"both {json_path} {ranks_path}", load)
+    fast, exact, added = per_process(f"both {json_path} {ranks_path}", load)
 
     def ids(text: str) -> list[int]:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return exact.encode(text, add_special_tokens=False).ids
-        return encode_text(fast, pattern, text)
+        if any(token in text for token in added):
+            return exact.encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
 
     return ids
 
