@@ -86,6 +86,31 @@ def test_archives_round_trip(spark, tmp_path, split, roll):
         assert gzip.open(f"{where}/{name}").read().count(b"WARC/1.1\r\n") >= 1
 
 
+def test_headers_of_any_length_and_a_task_per_range(spark, tmp_path):
+    """A url of over a million characters, records before and after it, ranges that start inside them."""
+    rng = random.Random(1)
+    url = "http://h/" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(1_500_000))
+    rows = [(i, url if i == 2 else f"http://h/{i}", f"page {i} " * 500, "", "") for i in range(5)]
+    manifest = warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), str(tmp_path))
+    for split in (100_000, 1 << 26):
+        read = warc.read_archives(manifest, str(tmp_path), split_bytes=split)
+        assert sorted((r.page_id, r.url) for r in read.collect()) == [(r[0], r[1]) for r in rows]
+        total = sum(r.bytes for r in manifest.collect())
+        assert read.rdd.getNumPartitions() == -(-total // split)
+
+
+def test_a_record_that_cannot_be_read_is_an_error(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 500, "", "") for i in range(5)]
+    manifest = warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), str(tmp_path))
+    file = next(tmp_path.glob("*.warc.gz"))
+    data = bytearray(file.read_bytes())
+    third = [m.start() for m in re.finditer(b"\x1f\x8b\x08", data)][2]
+    data[third + 30] ^= 0xFF
+    file.write_bytes(data)
+    with pytest.raises(Exception, match="no record can be read"):
+        warc.read_archives(manifest, str(tmp_path)).count()
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     df = spark.createDataFrame(pages_of(["aa", "aa", "bbbb", "bbbb"]), PAGES)
     got = warc.read_archives(warc.write_archives(df, str(tmp_path), min_bytes=3), str(tmp_path)).collect()
@@ -200,6 +225,15 @@ def test_wrapper_finds_furniture_inside_the_main_element(spark):
     assert got == want | {i: f"Title {x} {x} one {x} two Read our letter" for i, x in ((20, "a"), (21, "b"))}
 
 
+def test_recurring_headings_go_with_what_they_head(spark):
+    """A heading on every page stays before text of the page, and goes before text of the host."""
+    page = ("<body><article><h1>Title {0}</h1><h2>Summary</h2><p>{0} one<h2>Conclusion</h2><h3>In short</h3><p>{0} two"
+            "<dl><dt>Price<dd>{0} coins</dl><h2>Our letter</h2><p>Write to us</article>")
+    rows = [(i, "http://news/x", page.format(f"story {i}"), "", "") for i in range(6)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    assert got == {i: f"Title story {i} Summary story {i} one Conclusion In short story {i} two Price story {i} coins" for i in range(6)}
+
+
 def test_one_word_of_a_name_drops_no_content(spark):
     cases = {
         "a": ("<article><h2 id='related-work'>Related work</h2><section id='search-methods'><p class='social'>Body</p></section>"

@@ -34,6 +34,8 @@ LONGEST_GROUP = 12
 SHARES = 16
 SAME_WORDS_PAGES = 3
 MAIN = ("A", "M")
+#: Elements of the HTML standard that name what follows them.
+LABELS = {"h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "caption", "summary"}
 TIERS = (*MAIN, "B", "SC")  # regions of which the first with content is read
 
 
@@ -169,7 +171,8 @@ def content_leaves(wrapper: list[Node], page: list[Node], host_pages: int) -> li
     """For each leaf of a page's expression whether it is a content slot of the wrapper.
 
     A slot with the same words on all its pages is furniture. Inside the main element, where tags speak for
-    content, at least half of the host's different pages must also have it. Text that only a class name
+    content, at least half of the host's different pages must also have it, and a label (heading, term) that
+    stands right before a content slot belongs to it however often it recurs. Text that only a class name
     marks as furniture counts where the page has no other.
     """
     leaves = [leaf for n in page for leaf in n.leaves()]
@@ -189,6 +192,10 @@ def content_leaves(wrapper: list[Node], page: list[Node], host_pages: int) -> li
         found = [content(leaf, tier) for leaf in leaves]
         if any(found):
             break
+    if tier in MAIN:
+        slots = [n for n, leaf in enumerate(leaves) if leaf.key[0] == "#" and leaf.key[1] in tier]
+        for n, following in zip(reversed(slots[:-1]), reversed(slots[1:])):
+            found[n] = found[n] or (found[following] and leaves[n].key.split("|")[1] in LABELS)
     return found
 
 
