@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,20 +18,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends here and lost executors cost nothing."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    settle(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle(spark: SparkSession) -> None:
-    """Let go of what finished plans hold.
-
-    Spark's cleaner drops shuffle files and broadcasts once the driver has collected the plans that made
-    them. Operators of dozens of small jobs leave the driver too little to do for that to happen by itself.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1,000 rows and, where the version knows the setting, about 8 MB.
 
