@@ -292,15 +292,18 @@ def _(c: Context):
     """What the detectors keep when the stream stops inside an attack, ten minutes later and a day later."""
     tune(c.spark, streaming=True)
     facts = c.wh.facts
-    cut = facts.where("transaction_id LIKE 'C%-3'").agg(F.max("event_ts")).first()[0]
-    found = []
+    cut = facts.where("transaction_id LIKE 'C%-3'").agg(F.max(F.unix_millis("event_ts"))).first()[0]
+    none = "detector string, phase string, id string, transaction_id string, ms bigint"
+    found = [c.spark.createDataFrame([], none)]
+    if cut is None:  # no attack to stop in
+        return found[0]
     for name, key, build in (("card", "device_id", detectors.card_testing_stream), ("travel", "user_id", detectors.travel_stream)):
-        rows = c.stream_of(facts, "facts").where(F.col("event_ts") <= F.lit(cut))
+        rows = c.stream_of(facts, "facts").where(F.unix_millis("event_ts") <= cut)
         source, ck, path = Closable(c.spark, rows, c.scratch("closing")), c.scratch("ck"), c.scratch(name)
         stream = build(source.stream)
         for phase, later in (("stopped", None), ("ten minutes", 10 * MINUTE), ("a day", DAY)):
             if later is not None:
-                source.advance(round(cut.timestamp() * 1000) - 10 * SECOND + later)
+                source.advance(cut - 10 * SECOND + later)
             sinks.start(stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck), finite=True)
             kept = detectors.state_of(c.spark, ck).select(
                 F.lit(name).alias("detector"), F.lit(phase).alias("phase"), F.col(key).alias("id"), F.inline("kept"))
