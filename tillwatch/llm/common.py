@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.session import scratch
@@ -21,6 +23,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df: DataFrame, name: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """``stage`` and aggregates over the rows written, from the writing job itself."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *(c.alias(k) for k, c in figures.items())), name)
+    return staged, seen.get
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs started inside; what was set before comes back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, with underscores in front until none is a column, whatever the case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1,000 rows and, where the version knows the setting, about 8 MB.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import stage
+from tillwatch.llm.common import stage_observed
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -32,9 +32,9 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _mark(links: DataFrame) -> tuple[int, int | None]:
-    """Count and combined hash of a set of links; the same for the same set."""
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _staged(links: DataFrame) -> tuple[DataFrame, dict]:
+    """The written links with their count and combined hash, which are the same for the same set."""
+    return stage_observed(links, "links", n=F.count(F.lit(1)), mark=F.bit_xor(F.xxhash64("a", "b")))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,13 +43,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links work both ways; repeated links and links of a node to itself do no harm, links with a null end
     are ignored. Nodes without links do not appear; an empty table gives no rows.
     """
-    now = stage(
+    now, mark = _staged(
         links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-        .where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("a <> b").distinct(), "links")
-    mark = _mark(now)
-    while mark[0]:
-        now = stage(_star(_star(now, large=True), large=False), "links")
-        if mark == (mark := _mark(now)):
+        .where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("a <> b").distinct())
+    while mark["n"]:
+        before = mark
+        now, mark = _staged(_star(_star(now, large=True), large=False))
+        if mark == before:
             break
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -30,11 +30,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import bound_batches, per_process, small_side, stage
+from tillwatch.llm.common import bound_batches, per_process, settings, small_side, stage, stage_observed
 from tillwatch.llm.components import components
 
 WORDS = 5
@@ -50,6 +51,12 @@ HOT_ROWS = 4_096
 LEAST_PERCENT = 70
 BLOCK = 4_096
 STRIP = 256
+#: For the tables written on the way: one join plan at every size, no relations built on the driver for each of
+#: some dozens of joins, and shuffle files that go as soon as the table they led to is written.
+ON_THE_WAY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
@@ -240,8 +247,8 @@ def _frequencies(first: DataFrame) -> np.ndarray:
     return np.minimum(np.maximum(table - int(np.median(table)), 0), np.iinfo(np.int32).max).astype(np.int32)
 
 
-def _entries(docs: DataFrame, frequencies: np.ndarray, words: int, percent: int) -> DataFrame:
-    table = docs.sparkSession.sparkContext.broadcast(frequencies)
+def _entries(docs: DataFrame, table: Broadcast, words: int, percent: int) -> DataFrame:
+    """Index entries of the sets; ``table`` holds the frequencies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, done, counts = per_process("shingle words", WordHashes), set(), table.value
@@ -279,11 +286,11 @@ def _sets(docs: DataFrame, first: DataFrame, pairs: DataFrame, words: int) -> Da
     """The shingle sets of all nodes in ``pairs``, from one row each."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     rows = first.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "mark")).alias("row"))
-    wanted = stage(rows.join(nodes, "node", "left_semi").select(
+    wanted, many = stage_observed(rows.join(nodes, "node", "left_semi").select(
         F.coalesce("row.id", F.lit(0)).alias("want_id"), F.col("row.id").isNull().alias("want_null"),
-        F.col("row.mark").alias("want_mark")).distinct(), "wanted")
+        F.col("row.mark").alias("want_mark")).distinct(), "wanted", n=F.count(F.lit(1)))
     one = docs.join(
-        small_side(wanted, wanted.count()),
+        small_side(wanted, many["n"]),
         (F.coalesce("id", F.lit(0)) == F.col("want_id")) & (F.col("id").isNull() == F.col("want_null"))
         & (F.col("mark") == F.col("want_mark")), "left_semi")
 
@@ -325,9 +332,9 @@ def _linked(rows, first, pairs, known, words: int, percent: int) -> tuple[DataFr
 
 def _bits_of(first: DataFrame, nodes: DataFrame) -> DataFrame:
     """``of, size, bits`` of the given nodes."""
-    nodes = stage(nodes, "nodes")
+    nodes, many = stage_observed(nodes, "nodes", n=F.count(F.lit(1)))
     return first.where("node is not null").select(F.col("node").alias("of"), "size", "bits").join(
-        small_side(nodes, nodes.count()), "of", "left_semi").groupBy("of").agg(
+        small_side(nodes, many["n"]), "of", "left_semi").groupBy("of").agg(
         F.max("size").alias("of_size"), F.max("bits").alias("bits"))
 
 
@@ -396,26 +403,11 @@ def _across_groups(ranked: DataFrame, groups: DataFrame, first: DataFrame, perce
     return _ordered_pairs(placed.groupBy("cluster", "i", "j").applyInArrow(compare, "a bigint, b bigint"), "a", "b")
 
 
-def near_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
-) -> DataFrame:
-    """One row per document: its id, ``n_shingles``, ``component_id``, ``mark`` (hash of its text), ``group``.
-
-    ``group`` names the linked group of sets, also where ids repeat; it is null for an empty set.
-    ``component_id`` is the smallest id reachable by links, itself included. Null and empty texts and
-    texts without words have an empty set and link with nothing; documents with equal sets link. Rows
-    that repeat an id are documents of their own; a null id is never the smallest. An empty table gives
-    no rows; other columns are ignored. ``percent`` is from 70 to 100. Sets and shingles are compared by
-    64-bit hashes.
-    """
-    if not LEAST_PERCENT <= percent <= 100:
-        raise ValueError(f"percent must lie between {LEAST_PERCENT} and 100")
-    bound_batches(docs.sparkSession)
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+def _grouped(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Each row with its node, and the component of each node that links with another."""
     first = _first_pass(rows, words)
-    members = first.where("slice is null")
-    entries = _entries(rows.select("text"), _frequencies(first), words, percent)
+    frequencies = rows.sparkSession.sparkContext.broadcast(_frequencies(first))
+    entries = _entries(rows.select("text"), frequencies, words, percent)
 
     # Each set that shares an entry, with the smallest node of the entry (and salt) as its hub.
     spot = Window.partitionBy("sig", "salt").orderBy("node")
@@ -425,6 +417,7 @@ def near_documents(
         .withColumn("before", F.lag("node").over(spot))
         # a set alone under its salt still meets the sets of the other salts
         .where("before <> node or (salted and before is null)").drop("before", "salted"), "shared")
+    frequencies.destroy()
     # Of the sets of an entry the one that shares most entries is the hub: the text that others copied.
     everyone = shared.select("sig", "salt", "node", "size").union(
         shared.select("sig", "salt", F.col("hub").alias("node"), F.col("hub_size").alias("size"))).distinct()
@@ -442,10 +435,34 @@ def near_documents(
     known = _possible(_ordered_pairs(stars.where(_fits("size", "hub_size", percent)), "node", "hub"), first, percent)
     known, links = _linked(rows, first, known, None, words, percent)
 
-    # Then the members of entries that are not yet one group, against those of other groups.
-    more = _across_groups(ranked, components(links), first, percent)
-    links = links.union(_linked(rows, first, more, known, words, percent)[1])
-    final = components(links)
+    # Then the members of entries that are not yet one group, against those of other groups. In the end the groups
+    # found so far stand for their links.
+    groups = components(links)
+    more = _across_groups(ranked, groups, first, percent)
+    late = _linked(rows, first, more, known, words, percent)[1]
+    return first.where("slice is null"), components(
+        groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
+
+
+def near_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+) -> DataFrame:
+    """One row per document: its id, ``n_shingles``, ``component_id``, ``mark`` (hash of its text), ``group``.
+
+    ``group`` names the linked group of sets, also where ids repeat; it is null for an empty set.
+    ``component_id`` is the smallest id reachable by links, itself included. Null and empty texts and
+    texts without words have an empty set and link with nothing; documents with equal sets link. Rows
+    that repeat an id are documents of their own; a null id is never the smallest. An empty table gives
+    no rows; other columns are ignored. ``percent`` is from 70 to 100. Sets and shingles are compared by
+    64-bit hashes.
+    """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must lie between {LEAST_PERCENT} and 100")
+    bound_batches(docs.sparkSession)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    with settings(docs.sparkSession, ON_THE_WAY):
+        members, final = _grouped(rows, words, percent)
 
     # Smallest id per node, then per component, then back to the rows.
     least = members.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
