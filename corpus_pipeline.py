@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import stage, table
+from tillwatch.llm.common import free_names, stage, table
 from tillwatch.llm.quality import score_quality
 from tillwatch.llm.queries import packed, quality_model, toxicity_model
 from tillwatch.llm.shingle_join import near_documents
@@ -49,14 +49,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = found.where("group is not null").groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("row"))
     empty = found.where("group is null").select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
-    keys = ["__no_id", "__id", "__mark"]
+    *keys, nth = free_names(docs.columns, "no_id", "id", "mark", "nth")
     keep = stage(first.select("row.*").union(empty).distinct().select(
         F.col("no_id").alias(keys[0]), F.coalesce("doc_id", F.lit(0)).alias(keys[1]), F.col("mark").alias(keys[2])), "keep")
     marked = docs.withColumns({
         keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
         keys[2]: F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
     order = Window.partitionBy(*keys).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    rows = marked.join(keep, keys, "left_semi").withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
+    rows = marked.join(keep, keys, "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
     return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
