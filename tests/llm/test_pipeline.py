@@ -76,6 +76,13 @@ def test_odd_rows_through_every_stage(spark):
     assert {r.doc_id for r in corpus_pipeline.packing(spark, kept, SF).collect()} == {1, None, 2, 3, 5}
 
 
+def test_helper_columns_leave_the_documents_columns_alone(spark):
+    base = "the quick brown fox jumps over the lazy dog again and again until it rests"
+    rows = [(1, base, 10, 7, "a"), (2, base, 20, 8, "b"), (3, "another text", 30, 9, "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id bigint, MARK bigint, nth string")
+    assert sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, SF).collect())) == [rows[0], rows[2]]
+
+
 def F_row(i, t):
     from pyspark.sql import Row
     return Row(doc_id=i, t=t)
