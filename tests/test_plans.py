@@ -45,6 +45,12 @@ def test_no_python_no_pairs(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name, most", [("q12_slipping_customers", 11), ("a18_transitions", 11), ("q1_rule_worth", 8),
+                                        ("w8_rule_before_after", 8), ("a10_loyalty_analytics", 6)])
+def test_a_mart_is_planned_once(spark, name, most):
+    assert plan_of(registered.queries()[name](spark, SF)).count("FileScan") <= most
+
+
 def test_dates_prune_folders(spark):
     plan = plan_of(registered.queries()["s9_lake_scan"](spark, SF))
     assert re.search(r"PartitionFilters: \[.*dt#\d+ >= 2024-01-05", plan)

@@ -133,13 +133,17 @@ def written_history(table: DatedTable) -> DataFrame:
 
 
 def moves(state_rows: DataFrame, before: str, after: str) -> DataFrame:
-    """State of each user at two dates, with the 30-day volume at the earlier one."""
+    """State of each user seen at two dates, with the 30-day volume at the earlier one, in one pass over the states."""
 
-    def at(date: str, *cols) -> DataFrame:
-        return state_rows.where(F.col("as_of") == F.lit(date).cast("date")).select("user_id", *cols)
+    def at(date: str, name: str):
+        return F.max(F.when(F.col("as_of") == F.lit(date).cast("date"), F.col(name)))
 
-    return at(before, F.col("state").alias("state_from"), F.col("gmv_30d").alias("gmv_30d_before")).join(
-        at(after, F.col("state").alias("state_to")), "user_id")
+    return (
+        state_rows.where(F.col("as_of").isin(*[F.lit(d).cast("date") for d in (before, after)]))
+        .groupBy("user_id").agg(
+            at(before, "state").alias("state_from"), at(before, "gmv_30d").alias("gmv_30d_before"),
+            at(after, "state").alias("state_to"))
+        .where("state_from IS NOT NULL AND state_to IS NOT NULL"))
 
 
 def transitions(state_rows: DataFrame, before: str, after: str) -> DataFrame:

@@ -51,23 +51,23 @@ def group_totals(users: DataFrame, by: list[str]) -> DataFrame:
         .withColumn("arpu", ratio(F.col("gmv"), F.col("active_users"))))
 
 
-def lift(totals: DataFrame, by: list[str], costs: DataFrame) -> DataFrame:
-    """Treatment against control: lift, incremental revenue, cost of the extra points, return.
+def sides() -> dict[str, Column]:
+    """The figures of both groups as aggregates over the rows of one comparison."""
+    return {
+        f"{name}_{suffix}": F.max(F.when(F.col("experiment_group") == group, F.col(name)))
+        for group, suffix in (("TREATMENT", "t"), ("CONTROL", "c"))
+        for name in ("active_users", "gmv", "points_issued", "arpu")}
+
+
+def compared(pairs: DataFrame) -> DataFrame:
+    """Columns of the comparison, from the figures of both groups and the assumptions ``c``.
 
     The control points are scaled to the size of the treatment group; both point numbers are turned
     into money before they are subtracted.
     """
-
-    def of(group: str, name: str) -> Column:
-        return F.max(F.when(F.col("experiment_group") == group, F.col(name)))
-
-    pairs = totals.groupBy(*by).agg(*[
-        of(group, name).alias(f"{name}_{suffix}")
-        for group, suffix in (("TREATMENT", "t"), ("CONTROL", "c"))
-        for name in ("active_users", "gmv", "points_issued", "arpu")])
     scaled = F.col("points_issued_c") * ratio(F.col("active_users_t"), F.col("active_users_c"))
     return (
-        per_scenario(pairs, costs)
+        pairs
         .withColumn("incremental_lift", ratio(F.col("arpu_t") - F.col("arpu_c"), F.col("arpu_c")))
         .withColumn("incremental_revenue",
                     (F.col("arpu_t") - F.col("arpu_c")) * F.col("active_users_t"))
@@ -75,8 +75,24 @@ def lift(totals: DataFrame, by: list[str], costs: DataFrame) -> DataFrame:
                     (F.col("points_issued_t") - scaled) * F.col("c.cost_per_point").cast("double"))
         .withColumn("program_roi", ratio(
             F.col("incremental_revenue") * F.col("c.gross_margin_rate").cast("double"),
-            F.col("point_cost")))
-        .drop("c"))
+            F.col("point_cost"))))
+
+
+def lift(totals: DataFrame, by: list[str], costs: DataFrame) -> DataFrame:
+    """Treatment against control: lift, incremental revenue, cost of the extra points, return."""
+    pairs = totals.groupBy(*by).agg(*[v.alias(k) for k, v in sides().items()])
+    return compared(per_scenario(pairs, costs)).drop("c")
+
+
+def owing(rows: DataFrame) -> DataFrame:
+    """What is still owed of ``points_issued`` and ``points_redeemed``, and its cost by the assumptions ``c``."""
+    return (
+        rows
+        .withColumn("outstanding_points", F.col("points_issued") - F.col("points_redeemed"))
+        .withColumn("liability_vnd",
+                    rounded_money(money(F.col("outstanding_points")) * F.col("c.cost_per_point")))
+        .withColumn("redemption_rate", ratio(F.col("points_redeemed"), F.col("points_issued")))
+        .withColumn("breakage_rate", 1 - F.col("redemption_rate")))
 
 
 def liability(users: DataFrame, redeemed: DataFrame, by: list[str], costs: DataFrame) -> DataFrame:
@@ -90,33 +106,30 @@ def liability(users: DataFrame, redeemed: DataFrame, by: list[str], costs: DataF
                 .agg(F.max("points_issued").alias("points_issued"),
                      F.max("points_redeemed").alias("points_redeemed")))
     filled = both.fillna(0, ["points_issued", "points_redeemed"])
-    return (
-        per_scenario(filled, costs)
-        .withColumn("outstanding_points", F.col("points_issued") - F.col("points_redeemed"))
-        .withColumn("liability_vnd",
-                    rounded_money(money(F.col("outstanding_points")) * F.col("c.cost_per_point")))
-        .withColumn("redemption_rate", ratio(F.col("points_redeemed"), F.col("points_issued")))
-        .withColumn("breakage_rate", 1 - F.col("redemption_rate"))
-        .drop("c"))
+    return owing(per_scenario(filled, costs)).drop("c")
 
 
 def fct_loyalty_analytics(users: DataFrame, redeemed: DataFrame, costs: DataFrame) -> DataFrame:
-    """Grain: day x tier x group. Comparison columns stand on the treatment row of a day and tier."""
+    """Grain: day x tier x group. Comparison columns stand on the treatment row of a day and tier.
+
+    The users are aggregated once; both groups of a day and tier meet in a window of two rows.
+    """
     day = ["date_day", "account_tier"]
-    totals = group_totals(users, day)
-    compared = lift(totals, day, costs).select(
-        *day, F.lit("TREATMENT").alias("experiment_group"), "incremental_lift",
-        "incremental_revenue", "point_cost", "program_roi")
-    owed = liability(users, redeemed, [*day, "experiment_group"], costs).select(
-        *day, "experiment_group", "points_redeemed", "outstanding_points", "liability_vnd",
-        "redemption_rate", "breakage_rate")
+    keys = [*day, "experiment_group"]
+    spent = redeemed.groupBy(*keys).agg(F.sum("points_redeemed").alias("points_redeemed"))
+    both = W.partitionBy(*day)
+    rows = group_totals(users, day).join(spent, keys, "full").withColumns(
+        {name: side.over(both) for name, side in sides().items()})
+    filled = rows.fillna(0, ["active_users", "gmv", "points_issued", "points_redeemed"])
     to_date = (W.partitionBy(*CELL).orderBy("date_day")
                .rowsBetween(W.unboundedPreceding, W.currentRow))
-    keys = [*day, "experiment_group"]
-    return (
-        totals.join(owed, keys, "full").join(compared, keys, "left")
-        .fillna(0, ["active_users", "gmv", "points_issued"])
-        .withColumn("outstanding_points_to_date", F.sum("outstanding_points").over(to_date)))
+    treated = F.col("experiment_group") == "TREATMENT"
+    return compared(owing(per_scenario(filled, costs))).select(
+        *keys, "active_users", "gmv", "points_issued", "arpu", "points_redeemed", "outstanding_points",
+        "liability_vnd", "redemption_rate", "breakage_rate",
+        *[F.when(treated, F.col(name)).alias(name)
+          for name in ("incremental_lift", "incremental_revenue", "point_cost", "program_roi")],
+        F.sum("outstanding_points").over(to_date).alias("outstanding_points_to_date"))
 
 
 def holdout_balance(users: DataFrame, programme_start: str) -> DataFrame:

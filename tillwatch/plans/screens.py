@@ -191,29 +191,30 @@ def shift_series(rows: DataFrame, alerts: DataFrame) -> DataFrame:
 
 
 def rule_before_after(fraud_fact: DataFrame, deployed: str, min_coverage: float = 0.0) -> DataFrame:
-    """Seven days from the deployment against the seven days before, same weekday by same weekday."""
-    start = F.lit(deployed).cast("date")
-    daily = fraud_fact.groupBy("date_day", "rule_type").agg(
-        *[F.sum(F.col(c).cast("decimal(28,2)")).alias(c)
-          for c in ("net_loss_prevented_vnd", "friction_cost_vnd")],
-        F.avg("label_coverage_rate").alias("coverage"))
-    after = daily.where((F.col("date_day") >= start) & (F.col("date_day") < F.date_add(start, 7))
-                        & (F.col("coverage") >= min_coverage))
-    before = daily.where((F.col("date_day") < start) & (F.col("date_day") >= F.date_sub(start, 7))
-                         & (F.col("coverage") >= min_coverage)).select(
-        F.date_add("date_day", 7).alias("date_day"), "rule_type",
-        F.col("net_loss_prevented_vnd").alias("_net_before"),
-        F.col("friction_cost_vnd").alias("_friction_before"))
-    paired = after.join(before, ["date_day", "rule_type"], "full")
-
-    def delta(now: str, then: str) -> Column:
-        return F.sum(F.coalesce(now, F.lit(0)) - F.coalesce(then, F.lit(0))).cast("double")
+    """Seven days from the deployment against the seven days before, same weekday by same weekday.
+
+    The days before are moved a week ahead and counted negative, so the mart is read once.
+    """
+    start, values = F.lit(deployed).cast("date"), ("net_loss_prevented_vnd", "friction_cost_vnd")
+    later = F.col("date_day") >= start
+    daily = (
+        fraud_fact.where(F.col("date_day").between(F.date_sub(start, 7), F.date_add(start, 6)))
+        .groupBy("date_day", "rule_type").agg(
+            *[F.sum(F.col(c).cast("decimal(28,2)")).alias(c) for c in values],
+            F.avg("label_coverage_rate").alias("coverage"))
+        .where(F.col("coverage") >= min_coverage))
+    paired = daily.groupBy(
+        F.when(later, F.col("date_day")).otherwise(F.date_add("date_day", 7)).alias("weekday"), "rule_type").agg(
+        *[F.sum(F.coalesce(F.when(later, F.col(c)).otherwise(-F.col(c)), F.lit(0))).alias(c) for c in values])
+
+    def delta(name: str) -> Column:
+        return F.sum(name).cast("double")
 
     return (
         paired.groupBy("rule_type").agg(
             F.count("*").alias("weekday_pairs"),
-            delta("net_loss_prevented_vnd", "_net_before").alias("delta_net_loss_prevented"),
-            delta("friction_cost_vnd", "_friction_before").alias("delta_friction_cost"))
+            delta("net_loss_prevented_vnd").alias("delta_net_loss_prevented"),
+            delta("friction_cost_vnd").alias("delta_friction_cost"))
         .withColumn("switch_off", F.col("delta_friction_cost") > F.col("delta_net_loss_prevented")))
 
 
