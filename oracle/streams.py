@@ -230,6 +230,27 @@ UNION ALL SELECT 'quarantine', rule_id, count(*), NULL, NULL, NULL FROM rule_cha
 oracle("s12_profiles_topic", """
 SELECT user_id, account_tier, kyc_status, 0::BIGINT AS unreadable FROM profiles WHERE user_id NOT LIKE '%7'
 UNION ALL SELECT user_id, NULL, NULL, count(*) FROM profile_changes WHERE user_id LIKE '%7' GROUP BY user_id""")
+# every label record with its arrival, older ones of revised labels included
+ALL_LABELS = f"""
+SELECT transaction_id, {', '.join(f'{e} AS {n}' for n, e in tb.LABEL.items())} FROM expanded, (VALUES (0), (1)) o(old)
+WHERE ({tb.LABEL_PRESENT}) AND (old = 0 OR {tb.REVISED})"""
+oracle("s15_labels_topic", f"""
+SELECT label_source AS kind, count(*) AS records, count(*) FILTER (is_fraud_confirmed) AS confirmed FROM labels_t GROUP BY 1
+UNION ALL SELECT 'quarantine', count(*), NULL FROM ({ALL_LABELS}) WHERE {tb.LABEL_CUT}""")
+oracle("s15_redemptions_topic", f"""
+SELECT redemption_id, user_id, points_spent, ms AS event_ts, 0::BIGINT AS unreadable FROM redemptions
+UNION ALL SELECT concat('D', id), NULL, NULL, NULL, (CASE WHEN {tb.REDEEMED_TWICE} THEN 2 ELSE 1 END)::BIGINT
+FROM (SELECT *, ms0 AS ms FROM ev) WHERE ({tb.REDEMPTION_CONDITION}) AND {tb.REDEMPTION_CUT}""")
+oracle("a6_refreshed_by_labels", f"""
+WITH runs AS (
+  SELECT c.dt, max(CASE WHEN resolved_ms >= epoch_ms(TIMESTAMP '2024-02-22') THEN 2
+    WHEN resolved_ms >= epoch_ms(TIMESTAMP '2024-01-19') THEN 1 ELSE 0 END) AS run
+  FROM ({ALL_LABELS}) l JOIN clean c ON c.transaction_id = l.transaction_id GROUP BY c.dt)
+SELECT f.* REPLACE (date_day::VARCHAR AS date_day, round(false_positive_rate, 6) AS false_positive_rate,
+  round(precision, 6) AS precision, round(recall, 6) AS recall, friction_cost_vnd::DOUBLE AS friction_cost_vnd,
+  net_loss_prevented_vnd::DOUBLE AS net_loss_prevented_vnd, round(label_coverage_rate, 6) AS label_coverage_rate),
+  coalesce(r.run, 0)::BIGINT AS refreshed_in
+FROM fraud_fact f LEFT JOIN runs r ON r.dt = f.date_day""")
 oracle("x6_rules_topic", f"""
 WITH changed AS (
   SELECT r.*, ms0, {PIECE.format(at='ms0')} AS piece FROM rule_changes r JOIN ev ON ev.id = version WHERE NOT ({tb.RULE_BROKEN})),

@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from tillwatch.catalog import query
 from tillwatch.context import Context
 from tillwatch.operators.arrival import with_arrival_watermark
+from tillwatch.operators.latest import content_order, latest
 from tillwatch.operators.points import earns_points
 from tillwatch.operators.slices import DAY, MINUTE, SECOND
+from tillwatch.plans import fraud
+from tillwatch.plans.refresh import refresh_days, touched_days
 from tillwatch.plans.silver import merge_late_into
-from tillwatch.schemas import FRAUD_RULE, USER_PROFILE
+from tillwatch.schemas import FRAUD_LABEL, FRAUD_RULE, REDEMPTION, USER_PROFILE
 from tillwatch.session import tune
 from tillwatch.sources.manifest import DatedTable
 from tillwatch.operators.panes import sliding_from_panes
@@ -24,6 +27,7 @@ from tillwatch.streaming.compacted import CompactedTopic, RuleBook
 from tillwatch.streaming.closing import Closable
 from tillwatch.streaming.decisions import DecisionStream
 from tillwatch.streaming.idle import PartitionClock
+from tillwatch.streaming.records import RecordTopic
 from tillwatch.testbed import SILENT_PARTITION
 
 # Arrival dates at which the replayed topic is cut into separate runs. One partition is silent during
@@ -32,6 +36,8 @@ RUN_CUTS = ["2024-01-11", "2024-01-21"]
 MICRO_BATCHES = 6
 # The rules topic is replayed in pieces of eight days.
 RULE_PIECES, PIECES_FROM_MS = 4, 1704067200000
+# Labels arrive a week to six weeks late; these cut their topic into three runs.
+LABEL_CUTS = ["2024-01-19", "2024-02-22"]
 SILVER = ["transaction_id", "user_id", "merchant_id", "amount", "currency", "amount_vnd", "channel", "status", "txn_type",
           "event_ts", "ingested_at", "dt"]
 # A finite run ends with the watermark this far beyond the last row, so that its windows close.
@@ -221,6 +227,76 @@ def _(c: Context):
             "account_tier": F.lit(None).cast("string"), "kyc_status": F.lit(None).cast("string")}))
 
 
+def _labels_topic(c: Context, after_run: Callable[[int, RecordTopic], None] = lambda n, t: None) -> RecordTopic:
+    """The labels topic in three runs by arrival, each read by a new process."""
+    topic = topics.Topic("fraud_labels", path=c.scratch("labels_topic"))
+    out, ck, at = c.scratch("labels"), c.scratch("ck"), F.col("ingested_at")
+    first, second = [F.lit(x).cast("timestamp") for x in LABEL_CUTS]
+    run_of = F.when(at >= second, 2).when(at >= first, 1).otherwise(0)
+    for run in range(len(LABEL_CUTS) + 1):
+        topics.write_topic(c.tb.raw_labels.where(run_of == run), topic)
+        labels = RecordTopic(c.spark, out, FRAUD_LABEL, "transaction_id", "resolved_at", "resolved_at")
+        labels.run(topics.read_stream(c.spark, topic), ck)
+        after_run(run, labels)
+    return labels
+
+
+def _newest_labels(labels: RecordTopic) -> DataFrame:
+    rows = labels.records().select("transaction_id", "is_fraud_confirmed", "label_source", "resolved_at")
+    return latest(rows, ["transaction_id"], [F.desc("resolved_at"), content_order(rows)])
+
+
+@query("s15_labels_topic")
+def _(c: Context):
+    labels = _labels_topic(c)
+    return _newest_labels(labels).groupBy(F.col("label_source").alias("kind")).agg(
+        F.count("*").alias("records"), F.count_if("is_fraud_confirmed").alias("confirmed")).unionByName(
+            labels.quarantine().agg(F.count("*").alias("records")).select(
+                F.lit("quarantine").alias("kind"), "records", F.lit(None).cast("bigint").alias("confirmed")))
+
+
+@query("s15_redemptions_topic")
+def _(c: Context):
+    topic = topics.Topic("loyalty_redemptions", path=c.scratch("redemptions_topic"))
+    topics.write_topic(c.tb.raw_redemptions, topic)
+    redeemed = RecordTopic(c.spark, c.scratch("redemptions"), REDEMPTION, "redemption_id", "timestamp", "event_ts")
+    redeemed.run(topics.read_stream(c.spark, topic), c.scratch("ck"))
+    rows = redeemed.records().select("redemption_id", "user_id", "points_spent", "event_ts")
+    once = latest(rows, ["redemption_id"], [F.asc("event_ts"), content_order(rows)])
+    return once.select("redemption_id", "user_id", "points_spent", "event_ts", F.lit(0).cast("bigint").alias("unreadable")).unionByName(
+        redeemed.quarantine().groupBy(F.col("key").alias("redemption_id")).agg(F.count("*").alias("unreadable")),
+        allowMissingColumns=True)
+
+
+@query("a6_refreshed_by_labels")
+def _(c: Context):
+    """The fraud mart written with the first labels; every later run rewrites the days its labels speak of."""
+    decided = c.stage(c.wh.decided, "decided")
+    attacks = c.stage(c.wh.card_testing.select("transaction_id"), "attacks")
+    travels = c.stage(c.wh.travel.select("transaction_id"), "travels")
+    days = [r["dt"] for r in decided.select("dt").distinct().collect()]
+    table, seen = None, -1
+
+    def after_run(run: int, labels: RecordTopic) -> None:
+        nonlocal table, seen
+        newest = _newest_labels(labels)
+
+        def mart_of(wanted: list) -> DataFrame:
+            outcome = fraud.outcomes(decided.where(F.col("dt").isin(wanted)), attacks, travels, newest)
+            return fraud.fct_fraud_performance(outcome, c.seeds.cost_assumptions).withColumns(
+                {"dt": F.col("date_day"), "refreshed_in": F.lit(run).cast("bigint")})
+
+        if table is None:
+            table = DatedTable(c.spark, c.scratch("fraud_mart"), mart_of(days).schema)
+            refresh_days(table, days, mart_of)
+        else:
+            refresh_days(table, touched_days(labels.records(after=seen), decided), mart_of)
+        seen = labels.newest_batch()
+
+    _labels_topic(c, after_run)
+    return table.read().drop("dt")
+
+
 @query("x6_rules_topic")
 def _(c: Context):
     """Rules and events in one replay: a row is judged by the rules that had arrived with its piece."""

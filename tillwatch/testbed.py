@@ -167,6 +167,8 @@ LABEL = {
     "resolved_ms": "ms + 86400000 * (7 + id % 39 - old)",
 }
 REDEEMED_TWICE = "id % 20 = 5"
+# Of these a first attempt came cut short, by the time in milliseconds.
+LABEL_CUT, REDEMPTION_CUT = "resolved_ms % 40 = 3", "ms % 4 = 3"
 REDEMPTION_CONDITION = "event_type = 'signup' AND id % 10 = 5"
 USER_NUMBER = "cast(regexp_extract(user_id, '([0-9]+)', 1) AS bigint)"
 ACTIVITY_MS = """1719792000000 - 86400000 * cast(CASE u % 7 WHEN 3 THEN 3 WHEN 4 THEN 40 WHEN 5 THEN 75
@@ -343,6 +345,28 @@ class Testbed:
             (F.col("id") % 40 + 1).alias("points_spent"), F.lit("VOUCHER").alias("reward_type"),
             F.timestamp_millis("ms0").alias("event_ts"))
 
+    @staticmethod
+    def _with_cut_copies(rows: DataFrame, key: str, at: str, cut) -> DataFrame:
+        """Rows as JSON records that arrive when they hold; of some a copy cut short."""
+        fields = [iso_millis(F.col(at)).alias("timestamp" if at == "event_ts" else at) if c == at else F.col(c)
+                  for c in rows.columns]
+        return rows.select(
+            F.col(key).alias("key"), F.to_json(F.struct(*fields)).alias("json"), F.col(at).alias("ingested_at"), cut.alias("cut"),
+        ).select("key", "ingested_at", F.explode(F.when(
+            F.col("cut"), F.array("json", F.substring("json", 1, 25))).otherwise(F.array("json"))).alias("value"))
+
+    @cached_property
+    def raw_labels(self) -> DataFrame:
+        """The labels topic: JSON by transaction, arriving when the case is resolved."""
+        cut = F.expr(LABEL_CUT.replace("resolved_ms", "unix_millis(resolved_at)"))
+        return self._with_cut_copies(self.labels, "transaction_id", "resolved_at", cut)
+
+    @cached_property
+    def raw_redemptions(self) -> DataFrame:
+        """The redemptions topic: JSON by redemption, some of them twice."""
+        cut = F.expr(REDEMPTION_CUT.replace("ms", "unix_millis(event_ts)"))
+        return self._with_cut_copies(self.redemptions, "redemption_id", "event_ts", cut)
+
     @cached_property
     def injected(self) -> DataFrame:
         """Ground truth of the injected scenarios, one record per attack."""
