@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import BASE, PAYMENT, payment
-from tillwatch.operators.rules import checked_rules, decide
+from tillwatch.operators.rules import checked_rules, decide, matches_by_type
 
 RULE = ("rule_id string, rule_type string, scope map<string,string>, params map<string,string>, action string, "
         "priority bigint, enabled boolean, effective_from timestamp, version bigint, updated_at timestamp")
@@ -86,3 +86,17 @@ def test_problems_are_named(spark):
     assert {r.rule_id: r.problem for r in checked_rules(table).collect()} == {
         "ok": None, "a": "limit", "b": "window", "c": "word", "d": "devices", "e": "scope", "f": "type", "g": "incomplete",
         "h": "scope"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matches_by_type_are_the_decisions_of_each_type_alone(spark, rows, seed):
+    rng = random.Random(100 + seed)
+    rules = spark.createDataFrame([random_rule(rng, i) for i in range(14)], RULE)
+    want = set()
+    for kind in [r.rule_type for r in rules.select("rule_type").distinct().collect()]:
+        alone = decide(rows, rules.where(F.col("rule_type") == kind)).where("rule_id IS NOT NULL")
+        want |= {tuple(r) for r in alone.select("transaction_id", "rule_id", "rule_type", "decision").collect()}
+    for limit in (200, 0):
+        assert {tuple(r) for r in matches_by_type(rows, rules, limit).collect()} == want
+    assert len({w[2] for w in want}) > 1
+    assert matches_by_type(rows, rules.where("false")).count() == 0

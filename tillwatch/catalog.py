@@ -15,7 +15,7 @@ from tillwatch.functions.exprs import (
 )
 from tillwatch.operators import arrival, enrich, latest, panes, points, retries, slices
 from tillwatch.operators import card_testing as card
-from tillwatch.operators.rules import active_rules, decide
+from tillwatch.operators.rules import active_rules, decide, matches_by_type
 from tillwatch.plans import fraud, lifecycle, loyalty, merchant, quality, screens
 from tillwatch.plans.silver import clean, merge_late, protect
 from tillwatch.sources import changelog, files, seeds
@@ -176,12 +176,8 @@ def _(c: Context):
 
 @query("p7_rule_predicates")
 def _(c: Context):
-    # one decision per rule type, each type on its own
-    parts = None
-    for kind in ("AMOUNT_THRESHOLD", "COUNTRY_BLOCK", "DEVICE_BLACKLIST", "VELOCITY", "CHANNEL_BLOCK"):
-        part = _rule_hits(c, c.wh.rules.where(F.col("rule_type") == kind))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    return matches_by_type(_enriched_once(c), c.wh.rules).groupBy("rule_id", "rule_type", "decision").agg(
+        F.count("*").alias("txns"))
 
 
 @query("p8_device_hash")

@@ -123,16 +123,20 @@ def _condition(rule: Row) -> Column:
     return cond
 
 
-def _compiled(payments: DataFrame, rules: list[Row]) -> DataFrame:
-    """Few rules: one chain of conditions per row, no join and no shuffle."""
+def _verdict(rules: list[Row]) -> Column:
+    """The best of a few rules that holds on a row, null if none does."""
     ordered = sorted(
         rules, key=lambda r: (r["priority"], r["version"], r["rule_id"], r["rule_type"], r["action"]), reverse=True)
-    verdict = F.coalesce(*[
+    return F.coalesce(*[
         F.when(_condition(r), F.struct(
             F.lit(r["rule_id"]).alias("rule_id"), F.lit(r["rule_type"]).alias("rule_type"),
             F.lit(r["action"]).alias("decision")))
         for r in ordered])
-    return payments.withColumn("_v", verdict).select(*payments.columns, "_v.*")
+
+
+def _compiled(payments: DataFrame, rules: list[Row]) -> DataFrame:
+    """Few rules: one chain of conditions per row, no join and no shuffle."""
+    return payments.withColumn("_v", _verdict(rules)).select(*payments.columns, "_v.*")
 
 
 def _with_device_scopes(rules: DataFrame) -> DataFrame:
@@ -149,11 +153,11 @@ def _with_device_scopes(rules: DataFrame) -> DataFrame:
         "entries", F.when(F.col("device").isNotNull() & own.isNull(), added).otherwise(F.col("entries"))).drop("device", "devices")
 
 
-def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFrame:
-    """Many rules: equi-join on the scope, then the best match per transaction.
+def _hits(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFrame:
+    """Many rules: equi-join on the scope, one row per transaction and rule that holds.
 
     The distinct sets of scope keys are read to the driver (subsets of the known attributes); the rules
-    themselves stay distributed. Partial aggregation keeps one match per transaction and task.
+    themselves stay distributed.
     """
     keyed = _with_device_scopes(rules).select(
         F.col("entries").alias("scope_key"),
@@ -181,14 +185,31 @@ def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFr
         .when(kind == "DEVICE_BLACKLIST", F.lit(True))
         .when(kind == "VELOCITY", F.col("counts")[F.col("window_sec")] > F.col("limit"))
         .when(kind == "CHANNEL_BLOCK", F.col("channel") == F.col("word")))
-    best = (
-        probes.join(keyed, "scope_key").where((F.col("effective_from") <= F.col("event_ts")) & holds)
-        .groupBy("transaction_id").agg(F.max("verdict").alias("_v")))
+    return probes.join(keyed, "scope_key").where((F.col("effective_from") <= F.col("event_ts")) & holds).select(
+        "transaction_id", "verdict")
+
+
+def _joined(payments: DataFrame, rules: DataFrame, windows: list[int]) -> DataFrame:
+    """Many rules: the best hit per transaction. Partial aggregation keeps one per transaction and task."""
+    best = _hits(payments, rules, windows).groupBy("transaction_id").agg(F.max("verdict").alias("_v"))
     return (
         payments.join(best, "transaction_id", "left")
         .select(*payments.columns, "_v.rule_id", "_v.rule_type", F.col("_v.action").alias("decision")))
 
 
+def _few(rules: list[Row], compile_limit: int) -> bool:
+    return len(rules) <= compile_limit and sum(len(r["devices"] or []) for r in rules) <= COMPILE_DEVICES
+
+
+def _least_counts(rules: list[Row]) -> dict[int, int]:
+    """As :func:`_thresholds`, of rules that have been read."""
+    least: dict[int, int] = {}
+    for r in rules:
+        if r["rule_type"] == "VELOCITY":
+            least[r["window_sec"]] = min(r["limit"], least.get(r["window_sec"], r["limit"]))
+    return least
+
+
 def decide(
     enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_LIMIT,
     recent: DataFrame | None = None,
@@ -207,15 +228,29 @@ def decide(
         out = enriched.withColumns({
             "rule_id": F.lit(None).cast("string"), "rule_type": F.lit(None).cast("string"),
             "decision": F.lit(None).cast("string")})
-    elif len(rows) <= compile_limit and sum(len(r["devices"] or []) for r in rows) <= COMPILE_DEVICES:
-        thresholds: dict[int, int] = {}
-        for r in rows:
-            if r["rule_type"] == "VELOCITY":
-                thresholds[r["window_sec"]] = min(r["limit"], thresholds.get(r["window_sec"], r["limit"]))
-        out = _compiled(with_velocity(enriched, thresholds, recent), rows)
+    elif _few(rows, compile_limit):
+        out = _compiled(with_velocity(enriched, _least_counts(rows), recent), rows)
     else:
         thresholds = _thresholds(usable)
         out = _joined(with_velocity(enriched, thresholds, recent), usable, sorted(thresholds))
     return out.select(
         *columns, "rule_id", "rule_type", F.coalesce("decision", F.lit("PASS")).alias("decision"),
         F.lit(not rows).alias("rules_not_ready"))
+
+
+def matches_by_type(enriched: DataFrame, rules: DataFrame, compile_limit: int = COMPILE_LIMIT) -> DataFrame:
+    """The winning rule of every rule type that holds on a transaction, in one pass over the transactions.
+
+    Rows ``transaction_id``, ``rule_id``, ``rule_type``, ``decision``; a transaction without a match has none.
+    """
+    usable = checked_rules(rules).where("problem IS NULL").drop("problem")
+    rows = usable.limit(compile_limit + 1).collect()
+    if not _few(rows, compile_limit):
+        thresholds = _thresholds(usable)
+        hits = _hits(with_velocity(enriched, thresholds), usable, sorted(thresholds))
+        best = hits.groupBy("transaction_id", F.col("verdict.rule_type").alias("rule_type")).agg(F.max("verdict").alias("_v"))
+        return best.select("transaction_id", "_v.rule_id", "rule_type", F.col("_v.action").alias("decision"))
+    kinds = sorted({r["rule_type"] for r in rows})
+    found = F.array(*[_verdict([r for r in rows if r["rule_type"] == kind]) for kind in kinds]) if kinds else F.expr(
+        "cast(array() AS array<struct<rule_id:string,rule_type:string,decision:string>>)")
+    return with_velocity(enriched, _least_counts(rows)).select("transaction_id", F.inline(F.array_compact(found)))
