@@ -448,6 +448,13 @@ SELECT dt, gold_gmv, silver_gmv, gold_gmv - silver_gmv AS difference FROM
 (SELECT dt, coalesce(sum(amount_vnd) FILTER ({GMV}), 0)::BIGINT AS silver_gmv FROM clean GROUP BY 1) USING (dt)"""
 oracle("j12_layer_reconciliation", f"SELECT * REPLACE (dt::VARCHAR AS dt) FROM ({RECONCILED})")
 oracle("qf_gmv_mismatch", f"SELECT dt::VARCHAR AS dt, gold_gmv, silver_gmv FROM ({RECONCILED}) WHERE difference <> 0")
+oracle("a13_refreshed_by_late_rows", f"""
+WITH early AS (SELECT dt, coalesce(sum(amount_vnd) FILTER ({GMV}), 0)::BIGINT AS gmv FROM ontime_clean GROUP BY 1)
+SELECT r.dt::VARCHAR AS dt, r.silver_gmv AS gold_gmv, r.silver_gmv, 0::BIGINT AS difference,
+  r.dt IN (SELECT c.dt FROM clean c JOIN arrivals a ON a.transaction_id = c.transaction_id WHERE a.late) AS rewritten,
+  e.gmv IS DISTINCT FROM r.silver_gmv AS was_wrong,
+  CASE WHEN e.gmv IS DISTINCT FROM r.silver_gmv THEN e.gmv END AS gold_gmv_before
+FROM ({RECONCILED}) r LEFT JOIN early e ON e.dt = r.dt""")
 oracle("m4_layers_meet", f"""
 SELECT sum(gold_gmv)::BIGINT AS gold_gmv, sum(silver_gmv)::BIGINT AS silver_gmv, count(*) FILTER (difference <> 0) AS days_off
 FROM ({RECONCILED})""")

@@ -17,6 +17,7 @@ from tillwatch.operators import arrival, enrich, latest, panes, points, retries,
 from tillwatch.operators import card_testing as card
 from tillwatch.operators.rules import active_rules, decide, matches_by_type
 from tillwatch.plans import fraud, lifecycle, loyalty, merchant, quality, screens
+from tillwatch.plans.refresh import refresh_days, touched_days
 from tillwatch.plans.silver import clean, merge_late, protect
 from tillwatch.sources import changelog, files, seeds
 from tillwatch.sources.manifest import DatedTable
@@ -687,6 +688,23 @@ def _(c: Context):
     return quality.gmv_mismatch(c.wh.merchant_margin(c.wh.facts), c.wh.facts)
 
 
+@query("a13_refreshed_by_late_rows")
+def _(c: Context):
+    """The merchant mart written before the late rows came: the data test finds its days, and only theirs are rewritten."""
+    marked, silver = _watermarked(c), c.wh.facts
+    early = clean(marked.where("NOT late").select(*c.tb.payments.columns), c.seeds.fx_rate)
+    mart = c.wh.merchant_margin(early).withColumn("dt", F.col("date_day"))
+    table = DatedTable(c.spark, c.scratch("merchant_mart"), mart.schema)
+    first = table.append(mart)
+    wrong = c.stage(quality.gmv_mismatch(table.read(), silver).select("dt", F.col("gold_gmv").alias("gold_gmv_before")), "wrong")
+    refresh_days(table, touched_days(marked.where("late"), silver), lambda days: c.wh.merchant_margin(
+        silver.where(F.col("dt").isin(days))).withColumn("dt", F.col("date_day")))
+    rewritten = table.files().groupBy("dt").agg((F.max("commit") > first).alias("rewritten"))
+    return (
+        screens.layer_reconciliation(table.read(), silver).join(rewritten, "dt", "left")
+        .join(wrong.withColumn("was_wrong", F.lit(True)), "dt", "left").fillna(False, ["was_wrong"]))
+
+
 def _stream_points(c: Context) -> DataFrame:
     """Points as the stream would emit them: only rows that were on time when they arrived."""
     on_time = _watermarked(c).where("NOT late").select(*c.tb.payments.columns)
