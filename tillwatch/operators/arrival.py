@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,8 +37,10 @@ def with_arrival_watermark(
         instants.withColumn("in_bucket", F.max("top").over(inside))
         .join(buckets.drop("bucket_top"), [*by, "bucket"])
         .select(*by, "arrived_ms", F.greatest("in_bucket", "before_bucket").alias("max_seen_ms")))
+    # every row has its mark; a left join never sends the rows to all tasks, however narrow they are
+    timed = rows.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in [*by, "arrived_ms"]]))
     return (
-        rows.join(marks, [*by, "arrived_ms"])
+        timed.join(marks, [*by, "arrived_ms"], "left")
         .withColumns({
             "out_of_order": F.coalesce(F.col("event_ms") < F.col("max_seen_ms"), F.lit(False)),
             "late": F.coalesce(F.col("event_ms") < F.col("max_seen_ms") - bound_ms, F.lit(False)),
