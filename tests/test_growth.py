@@ -27,3 +27,42 @@ def test_rows_never_go_to_every_task_for_their_marks(spark, payments):
     marked = with_arrival_watermark(spark.read.parquet(path).select("transaction_id", "event_ts", "ingested_at"))
     assert {r["transaction_id"]: r["late"] for r in marked.collect()} == {"a": False, "b": False, "c": True}
     assert "LeftOuter" in _plan(marked)
+
+
+def test_points_are_summed_over_narrow_rows(stream, topic, monkeypatch):  # noqa: F811
+    seen = []
+    real = decisions.loyalty_points
+    monkeypatch.setattr(decisions, "loyalty_points", lambda rows: seen.append(rows.columns) or real(rows))
+    t, publish = topic
+    publish(record("a", 0, amount=3_000_000), record("f", 1, status="FAILED", amount=9_000_000))
+    stream(drain=False)
+    publish(record("b", 60, amount=3_000_000), record("x", 90, amount=100_000))
+    stream()
+    assert seen and all(set(c) == {
+        "transaction_id", "user_id", "dt", "event_ts", "amount_vnd", "status", "txn_type", "decision", "_ours",
+        "experiment_group"} for c in seen)
+    assert [(p["transaction_id"], p["total_15m"]) for p in sorted(stream.route("loyalty_points"), key=lambda p: p["event_ts"])] == [
+        ("a", 3_000_000), ("b", 6_000_000), ("x", 6_100_000)]
+
+
+def test_detectors_carry_a_mark_of_the_row_that_alerts(payments):
+    rows = payments(*[payment(f"f{n}", n, amount=5_000, status="FAILED") for n in range(5)], payment("big", 9, amount=20_000_000),
+                    payment("far", 60, location=(10.7769, 106.7009))).withColumn("_ours", F.col("transaction_id") != "far")
+    assert [(r["transaction_id"], r["_ours"]) for r in card_testing(rows, also=("_ours",)).collect()] == [("big", True)]
+    assert [(r["transaction_id"], r["_ours"]) for r in impossible_travel(rows, also=("_ours",)).collect()] == [("far", False)]
+
+
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    path = scratch(spark, "events")
+    spark.range(1_600_000).select(F.xxhash64("id").alias("id")).coalesce(1).write.parquet(path)  # about 13 MB
+    before, split = spark.conf.get(key, None), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        size_shuffles(spark, spark.read.parquet(path))
+        assert 3 <= int(spark.conf.get(key)) <= 5
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

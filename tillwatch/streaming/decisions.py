@@ -73,7 +73,7 @@ class DecisionStream:
     of that moment, so a changed rule or profile takes effect without a restart. The data side only
     reads them. ``rules`` may be a ``RuleBook``, which notes the version that each batch has used.
 
-    Below ``out``: ``admitted`` and ``decided`` rows, ``topics``, ``kpi_minute``, ``quarantine`` and
+    Below ``out``: ``parsed``, ``admitted`` and ``decided`` rows, ``topics``, ``kpi_minute``, ``quarantine`` and
     ``rules_quarantine`` by batch, and ``marks``, one row per batch with the event times it covers, by
     which later batches choose the folders they read. A batch without a mark is repeated as a whole.
     """
@@ -151,12 +151,15 @@ class DecisionStream:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        parsed = with_parsed(batch, PAYMENT_EVENT)
-        sinks.write_batch(parsed.where("NOT ok").select("key", "value", "ingested_at"),
-                          f"{self.out}/quarantine", batch_id)
-        events = parsed.where("ok").select(
-            *[F.col(f"e.{f.name}").alias(f.name) for f in PAYMENT_EVENT.fields if f.name != "timestamp"],
-            "event_ts", "ingested_at", F.to_date("event_ts").alias("dt"))
+        # text is parsed once
+        names = [f.name for f in PAYMENT_EVENT.fields if f.name != "timestamp"]
+        parsed = with_parsed(batch, PAYMENT_EVENT).select(
+            "key", F.when(~F.col("ok"), F.col("value")).alias("value"), "ingested_at", "event_ts",
+            *[F.col(f"e.{n}").alias(n) for n in names], "ok")
+        stored = self.spark.read.schema(parsed.schema).parquet(
+            sinks.write_batch(parsed, f"{self.out}/parsed", batch_id, by=["ok"]))
+        sinks.write_batch(stored.where("NOT ok").select("key", "value", "ingested_at"), f"{self.out}/quarantine", batch_id)
+        events = stored.where("ok").select(*names, "event_ts", "ingested_at", F.to_date("event_ts").alias("dt"))
         before = self._before(batch_id)
         rows = dedup(events).persist()
         try:
@@ -166,7 +169,9 @@ class DecisionStream:
                 return
             # a repeat carries the event time of its first copy, so only those hours are read
             seen = self._stored("admitted", self._marks_from(lo, batch_id), lo, hi + 1, sorted(hours))
-            fresh = rows if seen is None else rows.join(seen.select("transaction_id"), "transaction_id", "left_anti")
+            # both sides meet by transaction, as the rows already lie; the ids seen do not go to every task
+            fresh = rows if seen is None else rows.join(
+                seen.select("transaction_id").hint("merge"), "transaction_id", "left_anti")
             late = F.lit(False) if before.top_ms is None else F.unix_millis("event_ts") < before.top_ms - WATERMARK_MS
             # the rate serves the decision only; Silver converts again
             admitted = self._write(
@@ -207,16 +212,13 @@ class DecisionStream:
                 self._mark(mark, reach)
                 return
             target = ready[0] if len(ready) == 1 else ready[0].unionByName(ready[1])
-            target = target.persist()
-            try:
-                lo, hi, below = target.agg(F.min(ms), F.max(ms), F.min(F.when(ms < before.passed_ms, ms))).first()
-                if lo is not None:
-                    self._judge(target, rules, admitted, before, mark, reach, below)
-                    mark.done_lo_ms, mark.done_hi_ms = lo, hi
-                elif admitted is not None:
-                    self._publish(None, None, admitted, before, mark)
-            finally:
-                target.unpersist()
+            # a column of stored files: nothing is worth keeping in memory
+            lo, hi, below = target.agg(F.min(ms), F.max(ms), F.min(F.when(ms < before.passed_ms, ms))).first()
+            if lo is not None:
+                self._judge(target, rules, admitted, before, mark, reach, below)
+                mark.done_lo_ms, mark.done_hi_ms = lo, hi
+            elif admitted is not None:
+                self._publish(None, None, admitted, before, mark)
             self._mark(mark, reach)
         finally:
             rules.unpersist()
@@ -227,19 +229,24 @@ class DecisionStream:
         floor = before.passed_ms - reach if below is None else below - reach
         known = self._stored("decided", self._marks_from(floor, mark.batch_id), floor, mark.passed_ms)
         decided = self._write(decide(target, rules, recent=known), "decided", mark.batch_id)
-        context = decided if known is None else decided.unionByName(known.select(*decided.columns))
+        context = decided.withColumn("_ours", F.lit(True))
+        if known is not None:
+            context = context.unionByName(known.select(*decided.columns, F.lit(False).alias("_ours")))
         self._publish(decided, context, admitted, before, mark)
 
     def _publish(self, decided, context, admitted, before: Mark, mark: Mark) -> None:
+        """``context`` is ``decided`` with the look-back; ``_ours`` tells the rows of this batch."""
         routes = []
         if decided is not None:
-            ours = decided.select("transaction_id")
-            alerts = alert_stream(decided, card_testing(context), impossible_travel(context)).join(
-                ours, "transaction_id", "left_semi")
-            points = loyalty_points(context.where("NOT late").withColumn(
-                "experiment_group", experiment_group(F.col("user_id")))).where(earns_points()).select(
-                "transaction_id", "user_id", "dt", "event_ts", "total_15m", "multiplier", "points").join(
-                ours, "transaction_id", "left_semi")
+            alerts = alert_stream(
+                decided, card_testing(context, also=("_ours",)).where("_ours"),
+                impossible_travel(context, also=("_ours",)).where("_ours"))
+            # rows that cannot earn count for nothing, and only these columns are needed
+            earning = context.where("NOT late").where(earns_points()).select(
+                "transaction_id", "user_id", "dt", "event_ts", "amount_vnd", "status", "txn_type", "decision", "_ours",
+                experiment_group(F.col("user_id")).alias("experiment_group"))
+            points = loyalty_points(earning).where("_ours").select(
+                "transaction_id", "user_id", "dt", "event_ts", "total_15m", "multiplier", "points")
             routes += [
                 sinks.routed(decided.where("decision = 'BLOCK'").drop("late"), "blocked_transactions", "user_id"),
                 sinks.routed(alerts, "fraud_alerts", "user_id"),
