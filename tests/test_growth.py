@@ -52,6 +52,21 @@ def test_detectors_carry_a_mark_of_the_row_that_alerts(payments):
     assert [(r["transaction_id"], r["_ours"]) for r in impossible_travel(rows, also=("_ours",)).collect()] == [("far", False)]
 
 
+def test_windows_are_written_out_last(spark):
+    rows = [("u", 0, 5), ("u", 70_000, None), ("u", 20 * 60_000, None), (None, 0, 3), ("u", 70_000, 2)]
+    table = spark.createDataFrame(rows, "user_id string, ms bigint, amount_vnd bigint").withColumn("event_ts", F.timestamp_millis("ms"))
+    got = sliding_from_panes(panes_of(table))
+    want = {}
+    for user, ms, amount in rows:
+        for k in range(15):
+            key = (user, ms // 60_000 - k)
+            parts = [x for x in (want.get(key), amount) if x is not None]
+            want[key] = sum(parts) if parts else None
+    found = got.select("user_id", (F.unix_millis("window_start") / 60_000).cast("bigint"), "total").collect()
+    assert len(found) == len(want) and {(r[0], r[1]): r[2] for r in found} == want
+    assert _plan(got).count("HashAggregate") == 2  # the panes; no table of windows
+
+
 def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     path = scratch(spark, "events")

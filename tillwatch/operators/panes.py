@@ -2,12 +2,14 @@
 
 A sliding window of 15 minutes that moves every minute puts every row into 15 windows. Rows are therefore
 summed per user and minute first; a pane is then shuffled at most twice, to the hour of the first and of the
-last window that it counts in, and only there becomes its 15 windows.
+last window that it counts in. There a running sum over the panes in order gives the windows; they are written
+out last, so no task holds them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwatch.operators.slices import MINUTE, slice_of
@@ -30,10 +32,22 @@ def sliding_from_panes(panes: DataFrame, minutes: int = WINDOW_MINUTES) -> DataF
         panes.select("user_id", "amount_vnd", at.alias("at"), F.explode(F.sequence(
             F.floor(first / HOUR_MINUTES), F.floor(at / HOUR_MINUTES))).alias("hour"))
         .repartition("user_id", "hour"))
-    # the windows of this hour that the pane counts in
-    starts = F.sequence(F.greatest(F.col("at") - (minutes - 1), hour * HOUR_MINUTES),
-                        F.least(F.col("at"), hour * HOUR_MINUTES + HOUR_MINUTES - 1))
-    return (
-        dealt.select("user_id", "hour", "amount_vnd", F.explode(starts).alias("start"))
-        .groupBy("user_id", "hour", "start").agg(F.sum("amount_vnd").alias("total"))
-        .select("user_id", F.timestamp_millis(F.col("start") * MINUTE).alias("window_start"), "total"))
+    # a pane enters the sum with the first window of this hour that counts it and leaves it after the last one
+    end = (hour + 1) * HOUR_MINUTES
+
+    def change(start: Column, sign: int) -> Column:
+        return F.struct(start.alias("start"), (F.col("amount_vnd") * sign).alias("d"), F.lit(sign).alias("panes"),
+                        F.when(F.col("amount_vnd").isNotNull(), sign).otherwise(0).alias("known"))
+
+    enter = change(F.greatest(F.col("at") - (minutes - 1), hour * HOUR_MINUTES), 1)
+    leave = change(F.least(F.col("at") + 1, end), -1)
+    by_start = W.partitionBy("user_id", "hour").orderBy("start")
+    upto = by_start.rangeBetween(W.unboundedPreceding, W.currentRow)
+    stretches = dealt.select("user_id", "hour", F.inline(F.array(enter, leave))).select(
+        "user_id", "hour", "start", F.sum("d").over(upto).alias("d"), F.sum("panes").over(upto).alias("panes"),
+        F.sum("known").over(upto).alias("known"), F.lead("start").over(by_start).alias("next"))
+    # of changes at one start only the last one reaches further; every window up to the next change has this sum
+    held = stretches.where("panes > 0 AND next > start")
+    return held.select(
+        "user_id", F.explode(F.sequence("start", F.col("next") - 1)).alias("at"), F.when(F.col("known") > 0, F.col("d")).alias("total"),
+    ).select("user_id", F.timestamp_millis(F.col("at") * MINUTE).alias("window_start"), "total")
