@@ -67,6 +67,29 @@ def test_windows_are_written_out_last(spark):
     assert _plan(got).count("HashAggregate") == 2  # the panes; no table of windows
 
 
+def test_the_days_of_the_history_share_their_states(spark, monkeypatch):
+    calls = []
+    real = lifecycle.gaps
+    monkeypatch.setattr(lifecycle, "gaps", lambda *a, **kw: calls.append(1) or real(*a, **kw))
+    first = date.fromisoformat(catalog.LAST_WEEK[0])
+    rows = [(f"t{u}-{n}", f"u{u}", first - timedelta(days=40 * u - 3 * n), 10 * u) for u in range(1, 4) for n in range(8)]
+    history = spark.createDataFrame(rows, "transaction_id string, user_id string, day date, amount_vnd bigint").withColumn(
+        "event_ts", F.col("day").cast("timestamp"))
+    suspended = spark.createDataFrame([("u1",)], "user_id string")
+
+    def stage(df, name):
+        path = scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    c = SimpleNamespace(spark=spark, stage=stage, history=history, wh=SimpleNamespace(suspended=suspended),
+                        scratch=lambda name: scratch(spark, name))
+    got = catalog.QUERIES["w6_history_by_day"](c).collect()
+    assert len(calls) == 1
+    want = lifecycle.history(lifecycle.states(history, suspended, catalog.LAST_WEEK)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     path = scratch(spark, "events")
