@@ -90,6 +90,20 @@ def test_the_days_of_the_history_share_their_states(spark, monkeypatch):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_the_clock_parses_text_once(spark, topic, monkeypatch):  # noqa: F811
+    plans = []
+    real = idle.with_partition_watermark
+    monkeypatch.setattr(idle, "with_partition_watermark", lambda rows, **kw: plans.append(
+        rows._jdf.queryExecution().optimizedPlan().toString()) or real(rows, **kw))
+    t, publish = topic
+    publish(record("a", 0, 0), record("b", 50, 1), ("k", "{cut", 2, at(3)))
+    clock = idle.PartitionClock(spark, scratch(spark, "clock"))
+    clock.run(topics.read_stream(spark, t), scratch(spark, "ck"), finite=True)
+    assert plans and not any("from_json" in p or "SQLExecutionRDD" in p for p in plans)
+    assert {r["transaction_id"] for r in clock.rows().collect()} == {"a", "b"}
+    assert [tuple(r) for r in spark.read.parquet(f"{clock.out}/quarantine").select("key", "value", "partition").collect()] == [("k", "{cut", 2)]
+
+
 def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     path = scratch(spark, "events")

@@ -103,8 +103,9 @@ def with_partition_watermark(
     inside = W.partitionBy("bucket").orderBy("arrived_ms").rowsBetween(W.unboundedPreceding, W.currentRow)
     marks = swept.withColumn("mark", F.max("mark").over(inside)).join(tops, "bucket").select(
         "arrived_ms", F.greatest("mark", "before_bucket").alias("watermark_ms"))
+    # every row has its mark; a left join never sends the rows to all tasks
     return (
-        timed.join(marks, "arrived_ms")
+        timed.where("arrived_ms IS NOT NULL").join(marks, "arrived_ms", "left")
         .withColumn("late", F.coalesce(F.col("event_ms") < F.col("watermark_ms"), F.lit(False)))
         .drop("arrived_ms", "event_ms"))
 

@@ -18,7 +18,8 @@ from tillwatch.streaming import sinks
 
 
 class PartitionClock:
-    """Below ``out``: ``rows`` by batch and lateness, ``quarantine``, and ``clock``, the state by batch."""
+    """Below ``out``: ``parsed`` records by batch and whether they are usable, ``rows`` by batch and lateness,
+    ``quarantine``, and ``clock``, the state by batch."""
 
     def __init__(self, spark: SparkSession, out: str, bound_ms: int = BOUND_MS, idle_ms: int = IDLE_MS):
         self.spark, self.out, self.bound_ms, self.idle_ms = spark, out, bound_ms, idle_ms
@@ -33,12 +34,16 @@ class PartitionClock:
             return self.spark.createDataFrame([], CLOCK)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = with_parsed(batch, PAYMENT_EVENT)
-        sinks.write_batch(parsed.where("NOT ok").select("key", "value", "partition", "ingested_at"),
+        # the clock takes several passes: text is parsed once, and each pass reads the columns it needs
+        names = [f.name for f in PAYMENT_EVENT.fields if f.name != "timestamp"]
+        parsed = with_parsed(batch, PAYMENT_EVENT).select(
+            "key", F.when(~F.col("ok"), F.col("value")).alias("value"), F.col("partition").alias("src_partition"),
+            "ingested_at", "event_ts", *[F.col(f"e.{n}").alias(n) for n in names], "ok")
+        stored = self.spark.read.schema(parsed.schema).parquet(
+            sinks.write_batch(parsed, f"{self.out}/parsed", batch_id, by=["ok"]))
+        sinks.write_batch(stored.where("NOT ok").select("key", "value", F.col("src_partition").alias("partition"), "ingested_at"),
                           f"{self.out}/quarantine", batch_id)
-        rows = parsed.where("ok").select(
-            F.col("partition").alias("src_partition"), "ingested_at", "event_ts",
-            *[F.col(f"e.{f.name}").alias(f.name) for f in PAYMENT_EVENT.fields if f.name != "timestamp"])
+        rows = stored.where("ok").select("src_partition", "ingested_at", "event_ts", *names)
         before = self._before(batch_id)
         marked = with_partition_watermark(rows, bound_ms=self.bound_ms, idle_ms=self.idle_ms, before=before)
         path = sinks.write_batch(marked, f"{self.out}/rows", batch_id, by=["late"])
