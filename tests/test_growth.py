@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
-from conftest import at, payment
+from conftest import HANOI, HCMC, PAYMENT, at, payment
 from test_streaming import record, stream, topic  # noqa: F401  (fixtures)
 from tillwatch import catalog
 from tillwatch.operators.arrival import with_arrival_watermark
@@ -13,8 +13,8 @@ from tillwatch.operators.card_testing import card_testing
 from tillwatch.operators.panes import panes_of, sliding_from_panes
 from tillwatch.operators.travel import impossible_travel
 from tillwatch.plans import lifecycle
-from tillwatch.session import scratch, size_shuffles
-from tillwatch.streaming import decisions, idle, topics
+from tillwatch.session import scratch, size_shuffles, tune
+from tillwatch.streaming import decisions, detectors, idle, sinks, topics
 
 
 def _plan(df):
@@ -118,3 +118,36 @@ def test_shuffles_grow_with_the_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", shuffled)
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_keys_share_their_calls_to_the_state_store(spark):
+    """Two hundred devices and users in four pools: as many cells, and what each key keeps and alerts is its own."""
+    rows = [payment(f"f{u:03}-{n}", n * 10 + u % 7, device_id=f"d{u}", user_id=f"u{u}", amount=9_000, status="FAILED")
+            for u in range(200) for n in range(5)]
+    rows += [payment(f"b{u:03}", 60, device_id=f"d{u}", user_id=f"u{u}", amount=15_000_000, location=HCMC if u % 2 else HANOI)
+             for u in range(0, 200, 5)]
+    rows += [payment(f"o{n}", 20 + n, device_id=None, user_id=None, location=HCMC if n else HANOI) for n in range(2)]
+    rows.append(payment("later", 100, device_id="z", user_id="z"))
+    got, query, ck = {}, {}, {}
+    for name, build in (("card", detectors.card_testing_stream), ("travel", detectors.travel_stream)):
+        tune(spark, streaming=True)
+        source, path, ck[name] = scratch(spark, "src"), scratch(spark, "alerts"), scratch(spark, "ck")
+        spark.createDataFrame(rows, PAYMENT).repartition(3).write.parquet(source)
+        stream = build(spark.readStream.schema(spark.createDataFrame([], PAYMENT).schema).parquet(source), pools=4)
+        sinks.start(stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck[name]), finite=True)
+        got[name] = spark.read.schema(stream.schema).parquet(path).collect()
+    assert {r["transaction_id"] for r in got["card"]} == {f"b{u:03}" for u in range(0, 200, 5)}
+    assert all(r["evidence_id"][1:4] == r["transaction_id"][1:4] for r in got["card"]) and len(got["card"]) == 5 * 40
+    assert {(r["prev_transaction_id"], r["transaction_id"]) for r in got["travel"]} == {
+        (f"f{u:03}-4", f"b{u:03}") for u in range(5, 200, 10)} | {("o0", "o1")}
+    cells = {name: detectors.state_of(spark, ck[name]) for name in ck}
+    assert all(0 < c.count() <= 4 for c in cells.values())
+    kept = {name: [tuple(r) for r in c.select(F.inline("kept")).select("key", "transaction_id").collect()] for name, c in cells.items()}
+    assert sorted(kept["card"]) == sorted((f"d{u}", f"f{u:03}-{n}") for u in range(200) if u % 5 for n in range(5))
+    assert sorted(kept["travel"], key=str) == sorted(
+        [(f"u{u}", f"f{u:03}-4" if u % 5 else f"b{u:03}") for u in range(200)] + [(None, "o1")], key=str)
+
+
+def test_pools_grow_with_the_traffic(spark):
+    assert detectors.pools_of(spark.range(10)) == detectors.LEAST_POOLS
+    assert detectors.pools_of(spark.range(detectors.POOL_ROWS * 3 * detectors.LEAST_POOLS)) == 3 * detectors.LEAST_POOLS
