@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import HANOI, HCMC, PAYMENT, at, payment
 from test_streaming import record, stream, topic  # noqa: F401  (fixtures)
-from tillwatch import catalog
+from tillwatch import catalog, stream_catalog  # noqa: F401  (registers the streaming queries)
 from tillwatch.operators.arrival import with_arrival_watermark
 from tillwatch.operators.card_testing import card_testing
 from tillwatch.operators.panes import panes_of, sliding_from_panes
@@ -151,3 +151,19 @@ def test_keys_share_their_calls_to_the_state_store(spark):
 def test_pools_grow_with_the_traffic(spark):
     assert detectors.pools_of(spark.range(10)) == detectors.LEAST_POOLS
     assert detectors.pools_of(spark.range(detectors.POOL_ROWS * 3 * detectors.LEAST_POOLS)) == 3 * detectors.LEAST_POOLS
+
+
+def test_a_registered_detector_takes_its_pools_from_the_traffic(spark, monkeypatch):
+    monkeypatch.setattr(detectors, "POOL_ROWS", 30)
+    monkeypatch.setattr(detectors, "LEAST_POOLS", 2)
+    asked, real = [], detectors.travel_stream
+    monkeypatch.setattr(detectors, "travel_stream", lambda rows, **kw: asked.append(kw.get("pools")) or real(rows, **kw))
+    rows = [payment(f"t{u:02}-{n}", u + 240 * n, user_id=f"u{u}", location=HCMC if n and u % 3 == 0 else HANOI) for u in range(60) for n in range(2)]
+    path = scratch(spark, "facts")
+    spark.createDataFrame(rows, PAYMENT).write.parquet(path)
+    facts = spark.read.schema(spark.createDataFrame([], PAYMENT).schema).parquet(path)
+    c = SimpleNamespace(spark=spark, wh=SimpleNamespace(facts=facts), scratch=lambda name: scratch(spark, name),
+                        stream_of=lambda staged, name: spark.readStream.schema(staged.schema).parquet(path))
+    got = catalog.QUERIES["x10_travel_stream"](c).collect()
+    assert asked == [4]
+    assert sorted((r["prev_transaction_id"], r["transaction_id"]) for r in got) == [(f"t{u:02}-0", f"t{u:02}-1") for u in range(0, 60, 3)]
