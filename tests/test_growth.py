@@ -159,10 +159,10 @@ def test_a_registered_detector_takes_its_pools_from_the_traffic(spark, monkeypat
     asked, real = [], detectors.travel_stream
     monkeypatch.setattr(detectors, "travel_stream", lambda rows, **kw: asked.append(kw.get("pools")) or real(rows, **kw))
     rows = [payment(f"t{u:02}-{n}", u + 240 * n, user_id=f"u{u}", location=HCMC if n and u % 3 == 0 else HANOI) for u in range(60) for n in range(2)]
-    path = scratch(spark, "facts")
+    path = scratch(spark, "own")
     spark.createDataFrame(rows, PAYMENT).write.parquet(path)
     facts = spark.read.schema(spark.createDataFrame([], PAYMENT).schema).parquet(path)
-    c = SimpleNamespace(spark=spark, wh=SimpleNamespace(facts=facts), scratch=lambda name: scratch(spark, name),
+    c = SimpleNamespace(spark=spark, wh=SimpleNamespace(facts=facts), scratch=lambda name: scratch(spark, f"own-{name}"),
                         stream_of=lambda staged, name: spark.readStream.schema(staged.schema).parquet(path))
     got = catalog.QUERIES["x10_travel_stream"](c).collect()
     assert asked == [4]
