@@ -7,7 +7,7 @@ import pytest
 
 from tillwatch.llm.components import components
 from tillwatch.llm.near_vectors import near_vectors
-from tillwatch.llm.top_products import top_products
+from tillwatch.llm.top_products import hash_sample, top_products
 
 VECS = "vec_id bigint, embedding array<float>, label int, key string"
 
@@ -124,3 +124,26 @@ def test_top_products_beyond_doubles_and_odd_ids(spark):
     assert sorted(map(tuple, got.collect())) == brute_top(rows, {0}, 3)
     assert top_products(df.limit(0), df, 3).count() == 0
     assert top_products(df, df.limit(0), 3).count() == 0
+
+
+def test_top_products_sends_the_driver_one_sample_not_one_per_task(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(v)) for v in x]) for i, x in enumerate(rng.normal(size=(12_000, 32)))]
+    df = spark.createDataFrame([(i, v, 0, "") for i, v in rows], VECS).repartition(24)
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", "2m")  # 12,000 rows of 256 bytes are more
+    try:
+        got = top_products(df, df.where("vec_id % 2000 = 0"), 5).collect()
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+    assert sorted(map(tuple, got)) == brute_top(rows, {i for i, _ in rows if i % 2000 == 0}, 5)
+
+
+def test_hash_sample_takes_the_smallest_hashes(spark):
+    rows = [(i, int(i).to_bytes(8, "little")) for i in range(3_000)] + [(7, b"copied")] * 2_000 + [(None, b"no id")]
+    df = spark.createDataFrame(rows, "id bigint, vec binary").repartition(6)
+    hashed = sorted((r.hash, bytes(r.vec)) for r in df.selectExpr("xxhash64(vec, id) hash", "vec").collect())
+    for most in (1, 100, 1_400, 4_999, 6_000):
+        assert [bytes(v) for v in hash_sample(df, len(rows), most)] == [v for _, v in hashed[:most]]
+    assert hash_sample(df.limit(0), 0) == []

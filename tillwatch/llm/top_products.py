@@ -69,6 +69,22 @@ def quantiser(scale: int):
     return quantised
 
 
+def hash_sample(rows: DataFrame, n: int, most: int = SAMPLE_ROWS) -> list[bytes]:
+    """Vectors of the ``most`` rows with the smallest hashes, in that order, out of the ``n`` of ``rows``.
+
+    Rows whose hash may be among the smallest meet in a task and only the sample is sent to the driver; were it
+    collected from the tasks that read the rows, each of them would send as many.
+    """
+    hashed = rows.select(F.xxhash64("vec", "id").alias("hash"), "vec")
+    share = 2 * most / max(1, n)
+    while True:
+        low = hashed if share >= 1 else hashed.where(F.col("hash") < int(share * (1 << 64)) - (1 << 63))
+        found = stage(low.orderBy("hash").limit(most), "sample").collect()
+        if len(found) >= min(most, n) or share >= 1:
+            return [r.vec for r in sorted(found, key=lambda r: r.hash)]
+        share *= 8  # rows that repeat id and vector share a hash
+
+
 def build_index(keyed: DataFrame, pivot_rows: int = PIVOT_ROWS, block: int = BLOCK) -> tuple[DataFrame, dict[int, Space]]:
     """Blocks of the usable rows of ``keyed`` in order of (length, pivot, distance, id), staged.
 
@@ -86,7 +102,7 @@ def build_index(keyed: DataFrame, pivot_rows: int = PIVOT_ROWS, block: int = BLO
 
     tops = {r["size"]: (r["top"], r["n"]) for r in rows.mapInArrow(norms, "size int, norm double").groupBy("size").agg(
         F.max("norm").alias("top"), F.count("*").alias("n")).collect()}
-    sample = [r.vec for r in rows.orderBy(F.xxhash64("vec", "id")).limit(SAMPLE_ROWS).select("vec").collect()]
+    sample = hash_sample(rows, sum(n for _, n in tops.values()))
     spaces = {}
     for size, (top, n) in sorted(tops.items()):
         seen = [v for v in sample if len(v) == 8 * size]
