@@ -7,7 +7,7 @@ import pytest
 
 from tillwatch.llm.components import components
 from tillwatch.llm.near_vectors import near_vectors
-from tillwatch.llm.top_products import hash_sample, top_products
+from tillwatch.llm.top_products import cut, hash_sample, top_products
 
 VECS = "vec_id bigint, embedding array<float>, label int, key string"
 
@@ -147,3 +147,25 @@ def test_hash_sample_takes_the_smallest_hashes(spark):
     for most in (1, 100, 1_400, 4_999, 6_000):
         assert [bytes(v) for v in hash_sample(df, len(rows), most)] == [v for _, v in hashed[:most]]
     assert hash_sample(df.limit(0), 0) == []
+
+
+def test_top_products_with_several_blocks_and_lots_in_a_place(spark, monkeypatch):
+    monkeypatch.setattr("tillwatch.llm.top_products.PLACES_A_TASK", 1)
+    monkeypatch.setattr("tillwatch.llm.top_products.QUERIES_A_LOT", (700, 700))
+    rng = np.random.default_rng(6)
+    many = [[float(np.float32(v)) for v in x] for x in rng.normal(size=(1_300, 4))]
+    many[900:] = [many[0]] * 60 + [[*v[:2]] for v in many[960:]]  # copies, and vectors of another length
+    rows = [(i, v) for i, v in enumerate(many)] + [(5, many[0]), (5, many[0])]
+    df = spark.createDataFrame([(i, v, 0, "") for i, v in rows], VECS).repartition(4)
+    got = top_products(df, df, 3, pivot_rows=300, block=16).collect()
+    assert sorted(map(tuple, got)) == brute_top(rows, {i for i, _ in rows}, 3)
+
+
+@pytest.mark.parametrize("dtype", [np.float32, np.float64, np.int64, object])
+def test_cut_takes_the_largest_scores_and_equal_ones_by_id(dtype):
+    low = -(1 << 63) if dtype in (np.int64, object) else -9.0
+    found = [(1, 7, 5), (0, 3, low), (0, 2, 1), (0, 9, 1), (0, 1, -1), (1, 6, 5), (0, 3, low)]
+    query, ids, score = zip(*found)
+    query, ids, score = cut(np.array(query), np.array(ids), np.array(score, dtype=dtype), 4)
+    assert list(zip(query.tolist(), ids.tolist(), score.tolist())) == [
+        (0, 2, 1), (0, 9, 1), (0, 1, -1), (0, 3, low), (1, 6, 5), (1, 7, 5)]

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +25,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import shuffle_partitions, stage
+from tillwatch.llm.common import shuffle_partitions, small_side, stage
 from tillwatch.llm.vectors import keyed_vectors, spread_pivots, stacked
 
 BLOCK = 2_048
 PIVOT_ROWS = 4_000
 MOST_PIVOTS = 512
 SAMPLE_ROWS = 4_096
-QUERIES_A_TASK = 4_096
+#: Queries that meet a place in one task: as many as LOT_BYTES and k allow, between these.
+QUERIES_A_LOT = 4_096, 16_384
+LOT_BYTES = 8 << 20
+QUERIES_AT_ONCE = 256
+#: Blocks in a place: as many as leave so many places a task, and no more than these.
+PLACES_A_TASK = 8
+MOST_TOGETHER = 16
+PLACE_BYTES = 16 << 20
 FIRST_PIVOTS = 2
 EXACT = float(1 << 53)
+EXACT_FLOAT = float(1 << 24)
 LONG = (1 << 63) - 1
 
 
@@ -52,8 +59,10 @@ class Space:
 
 
 def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products of integer vectors: doubles where they hold every partial sum, else whole numbers."""
+    """Inner products of integer vectors: floats or doubles where they hold every partial sum, else whole numbers."""
     bound = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1])
+    if bound < EXACT_FLOAT:
+        return queries.astype(np.float32) @ rows.T.astype(np.float32)
     if bound < EXACT:
         return queries @ rows.T
     exact = [[int(v) for v in r] for r in queries.tolist()], [[int(v) for v in r] for r in rows.tolist()]
@@ -154,41 +163,87 @@ def build_index(keyed: DataFrame, pivot_rows: int = PIVOT_ROWS, block: int = BLO
     return stage(index, "index"), spaces
 
 
-def search(visits: DataFrame, index: DataFrame, k: int, chunks: int) -> DataFrame:
-    """Best k rows of each visited block for each of its queries: (query, own, id, score)."""
+def cut(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k largest scores of each query, equal ones by id."""
+    if score.dtype == object:
+        order = np.array(sorted(range(len(query)), key=lambda n: (query[n], -score[n], ids[n])), dtype=np.int64)
+    else:  # ~ turns longs around where - has no room for the least
+        order = np.lexsort((ids, ~score if score.dtype == np.int64 else -score, query))
+    order = order[np.arange(len(order)) - np.searchsorted(query[order], query[order]) < k]
+    return query[order], ids[order], score[order]
+
+
+def best_rows(table: np.ndarray, ids: np.ndarray, own: np.ndarray, least: list, k: int):
+    """Of scores of some queries (down) by the rows ``ids``: (query, id, score) of the best k, as longs.
+
+    Rows with a query's own id and scores below its ``least`` are out.
+    """
+    kept = ids[None, :] != own[:, None]
+    if table.dtype == object:
+        floor = np.array([-math.inf if x is None else int(x) for x in least], dtype=object)
+        kept &= (table >= floor[:, None]).astype(bool)
+    else:
+        kept &= table >= np.array([-math.inf if x is None else float(x) for x in least])[:, None]
+        many = np.flatnonzero(kept.sum(axis=1) > 4 * k)
+        if len(many):  # keep ties at the k-th place
+            part = np.where(kept[many], table[many], -np.inf)
+            part.partition(part.shape[1] - k, axis=1)
+            kept[many] &= table[many] >= part[:, [part.shape[1] - k]]
+    query, at = np.nonzero(kept)
+    query, found, score = cut(query, ids[at], table[query, at], k)
+    if score.dtype == object:
+        score = np.array([max(-LONG - 1, min(LONG, v)) for v in score.tolist()], dtype=np.int64)
+    return query, found, score.astype(np.int64)
+
+
+def search(visits: DataFrame, asked: DataFrame, index: DataFrame, k: int, chunks: int, together: int) -> DataFrame:
+    """Best k rows for each query among those of its visited blocks in a place: (query, own, id, score).
+
+    A place is up to ``together`` blocks that follow each other. A query comes to it once, with a bit for each block
+    that it visits.
+    """
     schema = T.StructType.fromDDL("query binary, own bigint, id bigint, score decimal(38,0)")
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], []]
+        left = left.combine_chunks()
+        at, found, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if left.num_rows and right.num_rows:
-            ids = np.frombuffer(right.column("ids")[0].as_py(), "<i8")
-            rows = np.frombuffer(right.column("vecs")[0].as_py(), "<f8").reshape(len(ids), -1)
-            own, least = left.column("own").to_numpy(), left.column("least").to_pylist()
-            table = scores(stacked(left.column("vec").to_pylist()), rows)
-            for n, key in enumerate(left.column("query").to_pylist()):
-                row = table[n]
-                kept = ids != own[n]
-                if least[n] is not None:
-                    floor = float(least[n]) if row.dtype != object else int(least[n])
-                    kept &= (row >= floor).astype(bool)
-                at = np.flatnonzero(kept)
-                if len(at) > 4 * k and row.dtype != object:  # keep ties at the k-th place
-                    edge = np.partition(row[at], len(at) - k)[len(at) - k]
-                    at = at[row[at] >= edge]
-                at = sorted(at.tolist(), key=lambda i: (-row[i], ids[i]))[:k]
-                out[0] += [key] * len(at)
-                out[1] += [int(own[n])] * len(at)
-                out[2] += [int(ids[i]) for i in at]
-                out[3] += [int(row[i]) for i in at]
+            blocks = []
+            for n, ids, vecs in zip(*(right.column(c) for c in ("nth", "ids", "vecs")), strict=True):
+                ids = np.frombuffer(ids.as_buffer(), "<i8")
+                blocks.append((n.as_py(), ids, np.frombuffer(vecs.as_buffer(), "<f8").reshape(len(ids), -1)))
+            own, bits = left.column("own").to_numpy(), left.column("bits").to_numpy()
+            for first in range(0, left.num_rows, QUERIES_AT_ONCE):
+                few = slice(first, first + QUERIES_AT_ONCE)
+                least = left.column("least")[few].to_pylist()
+                vecs = left.column("vec")[few].to_pylist()
+                some = []
+                for nth, ids, rows in blocks:
+                    here = np.flatnonzero(bits[few] >> nth & 1)
+                    if len(here):
+                        query, *rest = best_rows(
+                            scores(stacked([vecs[i] for i in here]), rows), ids, own[few][here],
+                            [least[i] for i in here], k)
+                        some.append((here[query], *rest))
+                if some:
+                    query, ids, values = cut(*(np.concatenate(x) for x in zip(*some, strict=True)), k)
+                    at.append(query + first)
+                    found.append(ids)
+                    score.append(values)
+        at = pa.array(np.concatenate(at))
         return pa.table({
-            "query": pa.array(out[0], pa.binary()), "own": pa.array(out[1], pa.int64()),
-            "id": pa.array(out[2], pa.int64()),
-            "score": pa.array([Decimal(max(-LONG - 1, min(LONG, s))) for s in out[3]], pa.decimal128(38, 0))})
+            "query": left.column("query").take(at), "own": left.column("own").take(at),
+            "id": pa.array(np.concatenate(found)),
+            "score": pa.array(np.concatenate(score)).cast(pa.decimal128(38, 0))})
 
-    dealt = visits.select("query", "own", "vec", "least", (F.col("block") + 0).alias("place"),
-                          F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int").alias("lot"))
-    blocks = index.select("block", "ids", "vecs", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    return dealt.groupBy("place", "lot").cogroup(blocks.groupBy("block", "chunk")).applyInArrow(best, schema)
+    nth = F.col("block") % (1 << 32) % together
+    dealt = visits.groupBy("query", (F.col("block") - nth).alias("place")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(block % {1 << 32} % {together} as int))")).alias("bits")).join(
+        asked, "query").select("query", "own", "vec", "least", "place", "bits",
+                               F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int").alias("lot"))
+    blocks = index.select((F.col("block") - nth).alias("group"), nth.cast("int").alias("nth"), "ids", "vecs",
+                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    return dealt.groupBy("place", "lot").cogroup(blocks.groupBy("group", "chunk")).applyInArrow(best, schema)
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
@@ -217,47 +272,52 @@ def top_products(
         .dropDuplicates(["id", "key"]).select(
             F.concat(F.col("key"), F.encode(F.col("id").cast("string"), "utf-8")).alias("query"), F.col("id").alias("own"), "vec"),
         "queries")
-    chunks = max(1, math.ceil(asked.count() / QUERIES_A_TASK))
+    longest = max(spaces, default=1)
+    lot = max(QUERIES_A_LOT[0], min(QUERIES_A_LOT[1], LOT_BYTES // (8 * longest), 20 * QUERIES_A_LOT[1] // k))
+    chunks = max(1, math.ceil(asked.count() / lot))
+    blocks = index.count()
+    together = max(1, min(MOST_TOGETHER, PLACE_BYTES // (8 * longest * block),
+                          blocks * chunks // (PLACES_A_TASK * shuffle_partitions(keyed.sparkSession))))
 
     def rings(nearest: int | None):
         def run(batches):
             for batch in batches:
-                take, pivot, away, size, norm = [], [], [], [], []
-                for i, v in enumerate(batch.column("vec")):
-                    x = np.frombuffer(v.as_py(), "<f8")
-                    if (space := spaces.get(len(x))) is None:
-                        continue
-                    d = space.distances(x, as_query=True)
-                    for p in np.argsort(d, kind="stable")[:nearest]:
-                        take.append(i)
-                        pivot.append(int(p))
-                        away.append(float(d[p]))
-                        size.append(len(x))
-                        norm.append(float(x @ x) + space.top)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.take(pa.array(take, pa.int64())).columns, pa.array(size, pa.int32()),
-                     pa.array(pivot, pa.int32()), pa.array(away, pa.float64()), pa.array(norm, pa.float64())],
-                    [*batch.schema.names, "size", "pivot", "away", "norm"])
+                for few in (batch.slice(n, 128) for n in range(0, batch.num_rows, 128)):
+                    take, pivot, away, size, norm = ([np.zeros(0)] for _ in range(5))
+                    for i, v in enumerate(few.column("vec")):
+                        x = np.frombuffer(v.as_py(), "<f8")
+                        if (space := spaces.get(len(x))) is None:
+                            continue
+                        d = space.distances(x, as_query=True)
+                        near = np.argsort(d, kind="stable")[:nearest]
+                        take.append(np.full(len(near), i))
+                        pivot.append(near)
+                        away.append(d[near])
+                        size.append(np.full(len(near), len(x)))
+                        norm.append(np.full(len(near), float(x @ x) + space.top))
+                    take, pivot, away, size, norm = map(np.concatenate, (take, pivot, away, size, norm))
+                    own = few.select(["query", "least"]).take(pa.array(take.astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [*own.columns, *(pa.array(x.astype(np.int32)) for x in (size, pivot)), pa.array(away), pa.array(norm)],
+                        ["query", "least", "size", "pivot", "away", "norm"])
 
         return run
 
-    ring = "size int, pivot int, away double, norm double"
-    directory = index.select("block", "size", "pivot", "near", "far")
+    ring = "query binary, least decimal(38,0), size int, pivot int, away double, norm double"
+    directory = small_side(index.select("block", "size", "pivot", "near", "far"), blocks)
     gap = F.greatest(F.lit(0.0), F.col("near") - F.col("away"), F.col("away") - F.col("far"))
-    first = asked.mapInArrow(rings(FIRST_PIVOTS), f"query binary, own bigint, vec binary, {ring}").join(
-        directory, ["size", "pivot"]).groupBy("query", "pivot").agg(
-        F.min_by("block", F.struct(gap, "block")).alias("block")).join(asked, "query").select(
-        "query", "own", "vec", "block", F.lit(None).cast("decimal(38,0)").alias("least"))
-    bounds = best_of(search(first, index, k, chunks), k).where(F.col("rank") == k).select(
+    asked = asked.withColumn("least", F.lit(None).cast("decimal(38,0)"))
+    first = asked.mapInArrow(rings(FIRST_PIVOTS), ring).join(directory, ["size", "pivot"]).groupBy("query", "pivot").agg(
+        F.min_by("block", F.struct(gap, "block")).alias("block")).select("query", "block")
+    bounds = best_of(search(first, asked, index, k, chunks, together), k).where(F.col("rank") == k).select(
         "query", F.col("score").alias("least"))
-    bounds = stage(asked.join(bounds, "query", "left"), "bounds")
+    bounds = stage(asked.drop("least").join(bounds, "query", "left"), "bounds")
     # |q - x|^2 <= |q|^2 + M^2 - 2 * least, with room for rounding
     reach = F.when(F.col("least").isNull(), F.lit(float("inf"))).otherwise(
         F.sqrt(F.greatest(F.lit(0.0), F.col("norm") - 2 * F.col("least").cast("double"))) + F.sqrt("norm") * 1e-6 + 1e-6)
-    visits = bounds.mapInArrow(rings(None), f"query binary, own bigint, vec binary, least decimal(38,0), {ring}").withColumn(
-        "reach", reach).join(directory, ["size", "pivot"]).where(
+    visits = bounds.mapInArrow(rings(None), ring).withColumn("reach", reach).join(directory, ["size", "pivot"]).where(
         (F.col("near") <= F.col("away") + F.col("reach")) & (F.col("far") >= F.col("away") - F.col("reach"))).select(
-        "query", "own", "vec", "block", "least")
-    return best_of(search(visits, index, k, chunks), k).select(
+        "query", "block")
+    return best_of(search(visits, bounds, index, k, chunks, together), k).select(
         F.col("own").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"),
         F.col("score").cast("bigint").alias("score"))
