@@ -7,7 +7,7 @@ import pytest
 
 from tillwatch.llm.components import components
 from tillwatch.llm.near_vectors import near_vectors
-from tillwatch.llm.top_products import cut, hash_sample, top_products
+from tillwatch.llm.top_products import cut, hash_sample, narrow, top_products, wide
 
 VECS = "vec_id bigint, embedding array<float>, label int, key string"
 
@@ -169,3 +169,10 @@ def test_cut_takes_the_largest_scores_and_equal_ones_by_id(dtype):
     query, ids, score = cut(np.array(query), np.array(ids), np.array(score, dtype=dtype), 4)
     assert list(zip(query.tolist(), ids.tolist(), score.tolist())) == [
         (0, 2, 1), (0, 9, 1), (0, 1, -1), (0, 3, low), (1, 6, 5), (1, 7, 5)]
+
+
+def test_narrow_numbers_come_back_as_they_were():
+    for most, size in ((0, 1), (127, 1), (128, 2), (-128, 2), (32_767, 2), (40_000, 4), (2**31 - 1, 4), (-2**31, 8), (2.0**80, 8)):
+        x = np.array([most, -1.0, 0.0, 3.0])
+        assert len(narrow(x.tobytes())) == 2 + 4 * size
+        assert wide(narrow(x.tobytes())).tobytes() == x.tobytes()

@@ -43,6 +43,7 @@ PLACE_BYTES = 16 << 20
 FIRST_PIVOTS = 2
 EXACT = float(1 << 53)
 EXACT_FLOAT = float(1 << 24)
+NARROW = "<i1", "<i2", "<i4"
 LONG = (1 << 63) - 1
 
 
@@ -69,6 +70,19 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.array([[sum(a * b for a, b in zip(q, x, strict=True)) for x in exact[1]] for q in exact[0]], dtype=object)
 
 
+def narrow(raw: bytes) -> bytes:
+    """Whole numbers, given as doubles, in the fewest bytes that hold each of them, behind two that name their type."""
+    x = np.frombuffer(raw, "<f8")
+    most = float(np.abs(x).max(initial=0))
+    kind = next((t for t in NARROW if most <= np.iinfo(t).max), "<f8")
+    return kind[1:].encode() + x.astype(kind).tobytes()
+
+
+def wide(raw: bytes | pa.Buffer) -> np.ndarray:
+    """The doubles that ``narrow`` was given."""
+    return np.frombuffer(raw, "<" + bytes(memoryview(raw)[:2]).decode(), offset=2).astype(np.float64)
+
+
 def quantiser(scale: int):
     def quantised(x: np.ndarray) -> np.ndarray | None:
         with np.errstate(over="ignore"):
@@ -144,7 +158,7 @@ def build_index(keyed: DataFrame, pivot_rows: int = PIVOT_ROWS, block: int = BLO
                 [pa.array([x], k) for x, k in (
                     ((part << 32) + made, pa.int64()), (held[0][0], pa.int32()), (held[0][1], pa.int32()),
                     (held[0][2], pa.float64()), (held[-1][2], pa.float64()), (ids.tobytes(), pa.binary()),
-                    (b"".join(h[4] for h in held), pa.binary()))],
+                    (narrow(b"".join(h[4] for h in held)), pa.binary()))],
                 ["block", "size", "pivot", "near", "far", "ids", "vecs"])
 
         for batch in batches:
@@ -211,18 +225,18 @@ def search(visits: DataFrame, asked: DataFrame, index: DataFrame, k: int, chunks
             blocks = []
             for n, ids, vecs in zip(*(right.column(c) for c in ("nth", "ids", "vecs")), strict=True):
                 ids = np.frombuffer(ids.as_buffer(), "<i8")
-                blocks.append((n.as_py(), ids, np.frombuffer(vecs.as_buffer(), "<f8").reshape(len(ids), -1)))
+                blocks.append((n.as_py(), ids, wide(vecs.as_buffer()).reshape(len(ids), -1)))
             own, bits = left.column("own").to_numpy(), left.column("bits").to_numpy()
             for first in range(0, left.num_rows, QUERIES_AT_ONCE):
                 few = slice(first, first + QUERIES_AT_ONCE)
                 least = left.column("least")[few].to_pylist()
-                vecs = left.column("vec")[few].to_pylist()
+                vecs = [wide(v) for v in left.column("vec")[few].to_pylist()]
                 some = []
                 for nth, ids, rows in blocks:
                     here = np.flatnonzero(bits[few] >> nth & 1)
                     if len(here):
                         query, *rest = best_rows(
-                            scores(stacked([vecs[i] for i in here]), rows), ids, own[few][here],
+                            scores(np.stack([vecs[i] for i in here]), rows), ids, own[few][here],
                             [least[i] for i in here], k)
                         some.append((here[query], *rest))
                 if some:
@@ -267,10 +281,17 @@ def top_products(
     quantised = quantiser(scale)
     keyed = keyed_vectors(vectors, id_col, vec_col, quantised)
     index, spaces = build_index(keyed, pivot_rows, block)
+
+    def narrowed(batches):
+        for batch in batches:
+            vecs = pa.array([narrow(v) for v in batch.column("vec").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("own"), vecs], ["query", "own", "vec"])
+
     asked = stage(
         keyed_vectors(queries, id_col, vec_col, quantised).where("key is not null and id is not null")
         .dropDuplicates(["id", "key"]).select(
-            F.concat(F.col("key"), F.encode(F.col("id").cast("string"), "utf-8")).alias("query"), F.col("id").alias("own"), "vec"),
+            F.concat(F.col("key"), F.encode(F.col("id").cast("string"), "utf-8")).alias("query"), F.col("id").alias("own"), "vec")
+        .mapInArrow(narrowed, "query binary, own bigint, vec binary"),
         "queries")
     longest = max(spaces, default=1)
     lot = max(QUERIES_A_LOT[0], min(QUERIES_A_LOT[1], LOT_BYTES // (8 * longest), 20 * QUERIES_A_LOT[1] // k))
@@ -285,7 +306,7 @@ def top_products(
                 for few in (batch.slice(n, 128) for n in range(0, batch.num_rows, 128)):
                     take, pivot, away, size, norm = ([np.zeros(0)] for _ in range(5))
                     for i, v in enumerate(few.column("vec")):
-                        x = np.frombuffer(v.as_py(), "<f8")
+                        x = wide(v.as_py())
                         if (space := spaces.get(len(x))) is None:
                             continue
                         d = space.distances(x, as_query=True)
